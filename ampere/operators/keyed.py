@@ -106,10 +106,12 @@ def insert_absent(
     """K4: append batch rows whose key is absent from the target, by column
     name; columns missing on either side become NULL; existing rows win.
 
-    ``batch_order`` first dedupes the batch first-wins (A10)."""
-    keys = list(keys)
-    b = dedupe_first(batch, keys, batch_order) if batch_order else batch
-    new_rows = not_in(b, target, keys[0]) if len(keys) == 1 else anti_join(b, target, keys)
+    ``batch_order`` dedupes the batch first-wins (A10). The anti join runs
+    before the dedupe — equivalent, since it depends on the key only — so
+    keys already stored never reach the dedupe's shuffle and sort."""
+    new_rows = new_rows_absent(target, batch, keys)
+    if batch_order:
+        new_rows = dedupe_first(new_rows, list(keys), batch_order)
     return target.unionByName(new_rows, allowMissingColumns=True)
 
 
