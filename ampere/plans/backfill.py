@@ -48,6 +48,8 @@ THRESHOLD_HEADER = "Residential threshold for lower tier price (kWh per month)"
 HIGHER_HEADER = "Higher tier price (¢ per kWh)"
 LOWER_HEADER = "Lower tier price (¢ per kWh)"
 RATE_UNIT = " ¢ per kWh"
+# Accepted effective-date layouts (cell cleaning removes commas).
+DATE_FORMATS = ["MMMM d yyyy", "MMM d yyyy", "MMMM d, yyyy", "MMM d, yyyy", "yyyy-MM-dd"]
 
 
 def rename_keep(df: DataFrame, mapping: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
@@ -109,11 +111,7 @@ def rates_from_tables(tables: DataFrame) -> DataFrame:
     date_s = lookup(DATE_HEADER)
     t = t.withColumn(
         "effective_date",
-        F.coalesce(
-            F.try_to_timestamp(date_s, F.lit("MMMM d, yyyy")),
-            F.try_to_timestamp(date_s, F.lit("MMM d, yyyy")),
-            F.try_to_timestamp(date_s, F.lit("yyyy-MM-dd")),
-        ).cast("date"),
+        F.coalesce(*[F.try_to_timestamp(date_s, F.lit(p)) for p in DATE_FORMATS]).cast("date"),
     )
     tw = Window.partitionBy("page_id", "table_pos")
     t = t.withColumn("_table_ok", F.min(F.col("effective_date").isNotNull().cast("int")).over(tw) == 1)

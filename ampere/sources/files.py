@@ -40,6 +40,55 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return out
 
 
+def expand_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Concrete file paths behind ``paths`` (globs expanded, missing skipped)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        st = hp.getFileSystem(conf).globStatus(hp)
+        for s in st or []:
+            if s.isFile():
+                out.append(s.getPath().toString())
+    return out
+
+
+def header_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, read through the Hadoop FileSystem."""
+    jvm = spark._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hp.getFileSystem(spark._jsc.hadoopConfiguration()).open(hp)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+        return (line or "").lstrip("\ufeff")
+    finally:
+        stream.close()
+
+
+def read_csv_by_layout(spark: SparkSession, paths: Sequence[str], rename=None) -> DataFrame | None:
+    """CSV files whose header layout drifts between files.
+
+    Spark's CSV reader applies one header to all files of a scan, so files
+    are grouped by their header line (one line read per file — file metadata,
+    bounded by the number of files) and each group is one scan; the groups
+    are unioned by (renamed) column name, absent columns NULL."""
+    files = expand_paths(spark, paths)
+    if not files:
+        return None
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        groups.setdefault(header_line(spark, f), []).append(f)
+    out = None
+    for _, group in sorted(groups.items()):
+        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(group)
+        if rename is not None:
+            df = df.toDF(*[rename(c) for c in df.columns])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -70,17 +119,16 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
         + [T.StructField(f, T.DoubleType()) for f in fuels]
         + [T.StructField("other", T.DoubleType())]
     )
-    found = existing_paths(spark, paths)
-    if not found:
+    df = read_csv_by_layout(spark, paths, rename=normalize_header_name)
+    if df is None or "date" not in df.columns or "hour" not in df.columns:
         return empty_frame(spark, out_schema)
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(found)
-    df = normalize_headers(raw)
     ts = hour_ending_to_start(F.col("date"), F.col("hour"))
     vals = [
         (F.nullif(F.trim(F.col(f)), F.lit("")).cast("double") if f in df.columns else F.lit(None).cast("double")).alias(f)
         for f in fuels
     ]
-    return df.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
+    out = df.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
+    return out.filter(F.col("timestamp").isNotNull())
 
 
 def plan_months(start: dt.date, end: dt.date) -> list[dt.date]:
@@ -179,6 +227,60 @@ def latest_nonempty_mapping(gens: DataFrame) -> DataFrame:
     return m.groupBy(F.col("name_key").alias("_mkey")).agg(F.max("fuel").alias("_mclass"))
 
 
+def scan_generation(
+    spark: SparkSession,
+    plant_paths: dict[int | str, Sequence[str]],
+    csv_root: str,
+    start: dt.date,
+    end: dt.date,
+    mapping: DataFrame | None = None,
+) -> DataFrame:
+    """Three-era generation scan clipped to [start, end] (S4):
+
+    * yearly plant-level tables up to 2018 and the Jan–Apr 2019 table
+      (``plant_paths``: year or label → landed CSV paths), aggregated to fuels
+      with the generator dictionary (``mapping``) and the name rules;
+    * monthly fuel-mix CSVs from May 2019 (``csv_root/YYYYMM.csv``).
+
+    Each era is a separate scan with its own date clip; the union is by name,
+    a fuel absent from an era is NULL.
+    """
+    from ampere.operators.reshape import plants_to_fuels
+    from ampere.schemas import FUELS
+
+    parts: list[DataFrame] = []
+    lo = F.lit(start).cast("timestamp_ntz")
+    hi = F.lit(end + dt.timedelta(days=1)).cast("timestamp_ntz")
+    if start < ERA_CSV_START:
+        for year, paths in plant_paths.items():
+            found = existing_paths(spark, paths)
+            if not found:
+                continue
+            raw = spark.read.option("header", True).csv(found)
+            wide = scan_plant_wide(raw, year if isinstance(year, int) else None)
+            wide = wide.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
+            fuels = plants_to_fuels(wide, ["timestamp"], mapping, total_col="TOTAL", classes=FUELS).drop("_row")
+            parts.append(fuels)
+    csv_from = max(start, ERA_CSV_START)
+    if csv_from <= end:
+        paths = month_file_paths(csv_root, csv_from, end)
+        csv = scan_fuel_csv(spark, paths, [f for f in FUELS if f != "other"] + ["total"])
+        parts.append(csv.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < hi)))
+    if not parts:
+        from ampere.schemas import GENERATION_RAW
+
+        return empty_frame(spark, GENERATION_RAW)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Parquet mart scan for the serving layer."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
