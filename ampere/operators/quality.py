@@ -123,16 +123,23 @@ def gaps(
     shards: int | None = None,
 ) -> DataFrame:
     """Gaps between consecutive distinct timestamps (per ``by`` group) longer
-    than ``threshold_seconds``: (by..., gap_start, gap_end, gap_seconds)."""
+    than ``threshold_seconds``: (by..., gap_start, gap_end, gap_seconds).
+
+    One pass: distinct timestamps (partial aggregate) → range partitioning
+    into balanced shards → per shard ``lead`` and the shard minimum. A shard's
+    last row (no successor) carries the shard's edges; ``lead`` over those
+    few edge rows gives the gaps across shard boundaries. Both branches read
+    the same shuffle output."""
     by = list(by)
     spark = df.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = df.select(*by, F.col(ts).alias("_t")).where(F.col("_t").isNotNull()).distinct()
     r = d.repartitionByRange(n, *by, "_t").withColumn("_shard", F.spark_partition_id())
     w = Window.partitionBy("_shard", *by).orderBy("_t")
-    inner = r.select(*by, F.col("_t").alias("gap_start"), F.lead("_t").over(w).alias("gap_end"))
-    inner = inner.where(F.col("gap_end").isNotNull())
-    edges = r.groupBy("_shard", *by).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    whole = Window.partitionBy("_shard", *by)
+    x = r.select(*by, "_t", F.lead("_t").over(w).alias("_next"), F.min("_t").over(whole).alias("_lo"))
+    inner = x.where(F.col("_next").isNotNull()).select(*by, F.col("_t").alias("gap_start"), F.col("_next").alias("gap_end"))
+    edges = x.where(F.col("_next").isNull()).select(*by, "_lo", F.col("_t").alias("_hi"))
     we = Window.partitionBy(*by).orderBy("_lo")
     across = edges.select(*by, F.col("_hi").alias("gap_start"), F.lead("_lo").over(we).alias("gap_end"))
     across = across.where(F.col("gap_end").isNotNull())
@@ -169,6 +176,9 @@ def missing_buckets(
         *by, "_lo", "_hi",
         F.explode(F.sequence(trunc_ntz("day", F.col("_lo")), trunc_ntz("day", F.col("_hi")), F.expr("INTERVAL 1 DAY"))).alias("_day"),
     )
+    # spread the per-day expansion over tasks (a span is one row before this)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    days = days.repartition(n)
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_seconds))
     day_end = F.col("_day") + F.expr("INTERVAL 1 DAY") - step
     all_b = days.select(

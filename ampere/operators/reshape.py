@@ -96,6 +96,22 @@ def classify_lookup(
     return joined.withColumn(out, to_known_class(cls, classes)).drop("_mkey", "_mclass")
 
 
+def classify_names(
+    spark,
+    names: Sequence[str],
+    mapping: DataFrame | None,
+    classes: Sequence[str],
+    rules: Rules = FUEL_RULES,
+) -> dict[str, str]:
+    """Class of each column name: the same ``classify_lookup`` expression as
+    for rows, run by Spark over the list of names. The result is schema
+    metadata — one entry per column — so it is returned to the driver."""
+    if not names:
+        return {}
+    df = spark.createDataFrame([(n,) for n in names], "_plant string")
+    return {r["_plant"]: r["_fuel"] for r in classify_lookup(df, "_plant", mapping, classes, rules, out="_fuel").collect()}
+
+
 def plants_to_fuels(
     wide: DataFrame,
     id_cols: Sequence[str],
@@ -106,33 +122,38 @@ def plants_to_fuels(
     row_col: str = "_row",
 ) -> DataFrame:
     """Plant-level wide table → one row per input row with a column per fuel
-    class and ``total`` (M6: melt → classify → conditional sums → prefer the
+    class and ``total`` (M6: classify plants → per-class sums → prefer the
     reported total).
 
-    Blank cells are skipped. The plant column names become the melt variable,
-    so classification runs on Spark with the plant dictionary broadcast; the
-    melt and the lookup are narrow, and the only shuffle is the final
-    aggregation. ``row_col`` carries the input row id so the caller can apply
-    first-wins dedupe by timestamp afterwards (A10).
+    Plants are columns, so they are classified once as metadata
+    (:func:`classify_names`) and each output class is a sum over its columns
+    inside one projection: no melt, no join, no shuffle, whatever the width.
+    Blank or NULL cells are skipped; a class without cells is 0. Sums run in
+    column order, as a row loop over the columns would. ``row_col`` carries
+    the input row id for a first-wins dedupe by timestamp afterwards (A10).
     """
     tot_names = {total_col.upper()} if total_col else set()
     plant_cols = [c for c in wide.columns if c not in set(id_cols) and c.upper() not in tot_names]
     tcol = next((c for c in wide.columns if c.upper() in tot_names), None)
-    reported = F.col(tcol).cast("double") if tcol else F.lit(None).cast("double")
-    base = wide.select(
-        *id_cols,
-        F.monotonically_increasing_id().alias(row_col),
-        reported.alias("_reported"),
-        *[F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).cast("double").alias(c) for c in plant_cols],
-    )
-    long = base.unpivot([*id_cols, row_col, "_reported"], plant_cols, "_plant", "_mw")
-    classified = classify_lookup(long, "_plant", mapping, classes, rules, out="_fuel")
-    sums = [
-        F.coalesce(F.sum(F.when(F.col("_fuel") == F.lit(c), F.col("_mw"))), F.lit(0.0)).alias(c)
-        for c in classes
-    ]
-    agg = classified.groupBy(*id_cols, row_col).agg(*sums, F.max("_reported").alias("_reported"))
-    return agg.withColumn("total", prefer_total("_reported", list(classes))).drop("_reported")
+    cls = classify_names(wide.sparkSession, plant_cols, mapping, classes, rules)
+
+    def cell(c: str) -> Column:
+        v = F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit(""))
+        return F.coalesce(v.cast("double"), F.lit(0.0))
+
+    sums = []
+    for k in classes:
+        members = [cell(c) for c in plant_cols if cls.get(c) == k]
+        if not members:
+            expr = F.lit(0.0)
+        elif len(members) == 1:
+            expr = F.lit(0.0) + members[0]
+        else:
+            expr = F.aggregate(F.array(*members), F.lit(0.0), lambda acc, x: acc + x)
+        sums.append(expr.alias(k))
+    reported = F.col(f"`{tcol}`").cast("double") if tcol else F.lit(None).cast("double")
+    out = wide.select(*id_cols, F.monotonically_increasing_id().alias(row_col), reported.alias("_reported"), *sums)
+    return out.withColumn("total", prefer_total("_reported", list(classes))).drop("_reported")
 
 
 def cells_to_long(df: DataFrame, headers: str, cells: str, var: str = "column", value: str = "value") -> DataFrame:
