@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Broadcast hint behind a checked size bound.
 
-    The check reads at most ``max_rows + 1`` rows of ``df`` (a bounded job).
-    Use it only for dimension-like inputs (a dictionary, a list of keys from
-    a small batch); a fact table must never go through it.
+    The check counts at most ``max_rows + 1`` rows of ``probe`` (default
+    ``df``) — a job that stops reading once the bound is exceeded. ``probe``
+    may be any frame with at least as many rows as ``df`` that is cheaper to
+    read (for example the raw batch before a distinct), so the bound is
+    proven without computing ``df`` twice. Use it only for dimension-like
+    inputs; a fact table never goes through it.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

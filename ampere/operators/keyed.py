@@ -73,7 +73,8 @@ def upsert(
     """
     keys = list(keys)
     b = dedupe_latest(batch, keys, batch_order) if batch_order else batch
-    bkeys = broadcast_if_small(b.select(*keys).distinct())
+    # the raw batch bounds its distinct keys: proven without a shuffle
+    bkeys = broadcast_if_small(b.select(*keys).distinct(), probe=batch.select(*keys))
     kept = target.join(bkeys, keys, "left_anti")
     return kept.unionByName(b, allowMissingColumns=True)
 

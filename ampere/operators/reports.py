@@ -34,11 +34,20 @@ def max_value(df: DataFrame, col: str) -> Column:
 
 def trailing(df: DataFrame, ts: str, days: int, anchor=None) -> DataFrame:
     """Rows with ``ts >= anchor - days``; the anchor is the data's own max by
-    default (P13), or a given wall-clock instant (P14)."""
+    default (P13), or a given wall-clock instant / Column (P14). Pass a
+    cheaper anchor (for example ``hour_anchor(raw, 'ts')``) when ``df`` is an
+    aggregate, so the scalar subquery does not recompute it."""
     a = max_value(df, ts) if anchor is None else _lit_ts(anchor)
     return df.filter(F.col(ts) >= a - F.make_dt_interval(F.lit(days)))
 
 
+def hour_anchor(raw: DataFrame, ts: str) -> Column:
+    """``max(date_trunc('hour', ts))`` of an hourly aggregate, computed from its
+    raw input as ``date_trunc('hour', max(ts))`` (truncation is monotone): a
+    one-column scan instead of re-running the aggregate."""
+    return raw.select(trunc_ntz("hour", F.max(ts))).scalar()
+
+
 def clip(df: DataFrame, ts: str, start, end) -> DataFrame:
     """Inclusive date range on the date of ``ts`` (P10), written as a sargable
     half-open timestamp range so the bounds reach the Parquet scan."""

@@ -165,12 +165,16 @@ def q_seconds(later: str, earlier: str) -> str:
 # ── shared building blocks ───────────────────────────────────────────────────
 
 
-def hourly_pivot(spark: SparkSession, d: str) -> DataFrame:
+def hourly_pivot_of(ev: DataFrame) -> DataFrame:
     """events → one row per hour, a column per event type + total."""
-    ev = t(spark, d, "events").withColumn("hour", trunc_ntz("hour", "ts"))
+    ev = ev.withColumn("hour", trunc_ntz("hour", "ts"))
     return pivot_sum(ev, ["hour"], "event_type", "value", EVENT_TYPES, exact_scale=2, extra_aggs=[exact_sum("value").alias("total")])
 
 
+def hourly_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return hourly_pivot_of(t(spark, d, "events"))
+
+
 Q_PIVOT = (
     "SELECT date_trunc('hour', ts) AS hour, "
     + ", ".join(
@@ -202,9 +206,15 @@ SELECT hour, date_trunc('day', hour) AS day, date_trunc('month', hour) AS month,
 FROM p"""
 
 
-def purchase_vs_error(spark: SparkSession, d: str, strategy: str = "split") -> DataFrame:
-    """Flagship (M5 shape): purchases per hour ⟗ first error reading per hour."""
+def purchase_vs_error(spark: SparkSession, d: str, strategy: str = "split", since=None) -> DataFrame:
+    """Flagship (M5 shape): purchases per hour ⟗ first error reading per hour.
+
+    ``since`` (an hour-aligned bound) keeps only output hours >= it; it is
+    applied to the raw rows of both sides, which is equivalent because the
+    output hour of every row equals the hour of the side(s) it came from."""
     ev = t(spark, d, "events")
+    if since is not None:
+        ev = ev.filter(F.col("ts") >= since)
     left = (
         ev.filter(F.col("event_type") == "purchase")
         .groupBy(trunc_ntz("hour", "ts").alias("hour"))
@@ -490,12 +500,17 @@ def _daily_avg(df: DataFrame) -> DataFrame:
 
 @register("trailing_days", _daily_avg_sql("hour >= (SELECT max(hour) FROM f) - INTERVAL 7 DAY"))
 def trailing_days(spark: SparkSession, d: str) -> DataFrame:
-    return _daily_avg(reports.trailing(hourly_pivot(spark, d), "hour", 7))
+    # hour >= max(hour) - 7 days  ⇔  ts >= trunc_hour(max(ts)) - 7 days (hour-aligned bound),
+    # so the window is applied to the raw rows before the hourly aggregate
+    ev = t(spark, d, "events")
+    recent = reports.trailing(ev, "ts", 7, anchor=reports.hour_anchor(ev, "ts"))
+    return _daily_avg(hourly_pivot_of(recent))
 
 
 @register("trailing_asof", _daily_avg_sql(f"hour >= TIMESTAMP '{ASOF_WALL}' - INTERVAL 7 DAY"))
 def trailing_asof(spark: SparkSession, d: str) -> DataFrame:
-    return _daily_avg(reports.trailing(hourly_pivot(spark, d), "hour", 7, anchor=ASOF_WALL))
+    ev = t(spark, d, "events")
+    return _daily_avg(hourly_pivot_of(reports.trailing(ev, "ts", 7, anchor=ASOF_WALL)))
 
 
 @register(
@@ -506,9 +521,10 @@ SELECT hour, err_value AS co2 FROM j
 WHERE hour >= (SELECT max(hour) FROM j) - INTERVAL 7 DAY AND err_value IS NOT NULL""",
 )
 def trend_trailing(spark: SparkSession, d: str) -> DataFrame:
-    j = purchase_vs_error(spark, d)
-    tr = reports.trailing(j, "hour", 7)
-    return tr.filter(F.col("err_value").isNotNull()).select("hour", F.col("err_value").alias("co2"))
+    ev = t(spark, d, "events").filter(F.col("event_type").isin("purchase", "error"))
+    since = reports.hour_anchor(ev, "ts") - F.make_dt_interval(F.lit(7))
+    j = purchase_vs_error(spark, d, since=since)
+    return j.filter(F.col("err_value").isNotNull()).select("hour", F.col("err_value").alias("co2"))
 
 
 @register(

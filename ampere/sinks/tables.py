@@ -150,7 +150,9 @@ def export_sorted(df: DataFrame, path: str, order: Sequence[str], partitions: in
     obs = Observation("export")
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # observe above the range exchange: the partitioner's sampling job runs
+    # only the subtree below it, so rows are counted once, by the write
+    out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").parquet(path)
     return obs.get
 
