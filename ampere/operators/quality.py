@@ -337,6 +337,60 @@ def enforce_schema(df: DataFrame, schema: T.StructType, mode: str = "freeze") ->
     return df.select(*cols)
 
 
+def keyed_checks(
+    df: DataFrame,
+    key: str,
+    null_cols: Sequence[str] = (),
+    bounds: dict[str, tuple[float, float]] | None = None,
+    max_null_pct: float = 5.0,
+) -> DataFrame:
+    """NULL share, range violations and key uniqueness of a keyed table in one
+    pass (C2, C3, C5 → C8 rows: check_name, subject, value, severity).
+
+    Counts are taken per key first — for a table already partitioned by the
+    key (an hourly mart) that group needs no exchange — then summed."""
+    bounds = bounds or {}
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(null_cols)],
+        *[F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(f"_rng{i}") for i, (c, (lo, hi)) in enumerate(bounds.items())],
+    )
+    null_keys = df.filter(F.col(key).isNull()).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(null_cols)],
+        *[F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(f"_rng{i}") for i, (c, (lo, hi)) in enumerate(bounds.items())],
+    ).withColumn(key, F.lit(None).cast(df.schema[key].dataType))
+    tot = per_key.unionByName(null_keys).agg(
+        F.sum("_n").alias("_rows"),
+        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dups"),
+        *[F.sum(f"_null{i}").alias(f"_null{i}") for i in range(len(null_cols))],
+        *[F.sum(f"_rng{i}").alias(f"_rng{i}") for i in range(len(bounds))],
+    )
+    rows = []
+    for i, c in enumerate(null_cols):
+        pct = F.col(f"_null{i}").cast("double") * F.lit(100.0) / F.col("_rows").cast("double")
+        rows.append(F.struct(F.lit("null_share").alias("check_name"), F.lit(c).alias("subject"),
+                             round_half_away(pct, 3).alias("value"),
+                             F.when(pct > F.lit(max_null_pct), F.lit("error")).otherwise(F.lit("ok")).alias("severity")))
+    for i, c in enumerate(bounds):
+        v = F.coalesce(F.col(f"_rng{i}"), F.lit(0)).cast("double")
+        rows.append(F.struct(F.lit("range").alias("check_name"), F.lit(c).alias("subject"), v.alias("value"),
+                             F.when(v > 0, F.lit("error")).otherwise(F.lit("ok")).alias("severity")))
+    dv = F.col("_dups").cast("double")
+    rows.append(F.struct(F.lit("unique").alias("check_name"), F.lit(key).alias("subject"), dv.alias("value"),
+                         F.when(dv > 0, F.lit("error")).otherwise(F.lit("ok")).alias("severity")))
+    return tot.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
+def continuity_check(df: DataFrame, ts: str, max_gap_seconds: float, severity: str = "warning") -> DataFrame:
+    """Count of gaps longer than ``max_gap_seconds`` as one check row."""
+    n = gaps(df, ts, max_gap_seconds).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return n.select(
+        F.lit("continuity").alias("check_name"), F.lit(ts).alias("subject"), "value",
+        F.when(F.col("value") > 0, F.lit(severity)).otherwise(F.lit("ok")).alias("severity"),
+    )
+
+
 def validation_report(*checks: DataFrame) -> DataFrame:
     """Union of normalised check rows (check, subject, value, severity)."""
     out = None

@@ -849,23 +849,8 @@ UNION ALL SELECT check_name, subject, value, CASE WHEN value > 0 THEN 'warning'
 )
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
     f = fct_events(spark, d)
-    ns = quality.null_share(f, ["clean_pct"], 5.0).select(
-        F.lit("null_share").alias("check_name"), F.col("column_name").alias("subject"),
-        F.col("null_pct").alias("value"), "severity",
-    )
-    rg = quality.range_violations(f, {"total": (0.0, 30000.0)}).select(
-        F.lit("range").alias("check_name"), F.col("column_name").alias("subject"),
-        F.col("violations").cast("double").alias("value"), "severity",
-    )
-    uq = quality.check_unique(f, ["hour"]).agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("unique").alias("check_name"), F.lit("hour").alias("subject"), "value",
-        F.when(F.col("value") > 0, F.lit("error")).otherwise(F.lit("ok")).alias("severity"),
-    )
-    gp = quality.gaps(f, "hour", 7200).agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("continuity").alias("check_name"), F.lit("hour").alias("subject"), "value",
-        F.when(F.col("value") > 0, F.lit("warning")).otherwise(F.lit("ok")).alias("severity"),
-    )
-    return quality.validation_report(ns, rg, uq, gp)
+    checks = quality.keyed_checks(f, "hour", ["clean_pct"], {"total": (0.0, 30000.0)}, max_null_pct=5.0)
+    return quality.validation_report(checks, quality.continuity_check(f, "hour", 7200))
 
 
 # ── 2.10 incremental / streaming (batch-equal forms) ─────────────────────────

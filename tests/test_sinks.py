@@ -44,3 +44,28 @@ def test_replace_and_ensure(spark, scratch):
     replace_table(spark.createDataFrame([(1,), (2,)], schema), path)
     replace_table(spark.createDataFrame([(3,)], schema), path)
     assert [r.k for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_load_batch_gate_contract_and_log(spark, scratch):
+    import pytest
+
+    from ampere.operators.quality import SchemaViolation
+    from ampere.plans.load import load_batch
+    from ampere.schemas import GENERATION_RAW, GENERATION_SPEC
+
+    path, log = f"{scratch}/gen", f"{scratch}/runs"
+    t = dt.datetime(2026, 6, 19, 10)
+    row = (t, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, None, 21.0)
+    batch = spark.createDataFrame([row], GENERATION_RAW)
+    assert load_batch(spark, GENERATION_SPEC, batch, path, "generation", log, asof=t) == "success"
+    # 12 hours later the table is fresh (1 day threshold): skipped
+    assert load_batch(spark, GENERATION_SPEC, batch, path, "generation", log, asof=t + dt.timedelta(hours=12)) == "skipped"
+    # full refresh bypasses the gate
+    assert load_batch(spark, GENERATION_SPEC, batch, path, "generation", log, full_refresh=True, asof=t) == "success"
+    # schema contract: an unexpected column fails and is logged
+    with pytest.raises(SchemaViolation):
+        load_batch(spark, GENERATION_SPEC, batch.withColumn("coal", batch["gas"]), path, "generation", log,
+                   asof=t + dt.timedelta(days=3))
+    statuses = sorted(r.status for r in spark.read.parquet(log).collect())
+    assert statuses == ["failed", "skipped", "success", "success"]
+    assert spark.read.parquet(path).count() == 1
