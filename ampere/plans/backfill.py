@@ -37,7 +37,7 @@ READINGS_COLUMN_MAP = {
     "Exports (MW)": "exports_mw",
     "Net Import/Exports (MW)": "net_import_exports_mw",
     "Power Generated (MW)": "power_generated_mw",
-    "Ontario Demand (MW)": "ontario_demand_mw",
+    "Ontario Demand (MW)": "demand_mw",
     "Total Emissions (tonnes)": "total_emissions_tonnes",
     "CO2e Intensity (g/kWh)": "co2e_intensity_gco2_per_kwh",
 }

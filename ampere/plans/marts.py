@@ -17,7 +17,7 @@ from ampere.sources.files import table_or_empty
 CLEAN_FUELS = ["nuclear", "hydro", "wind", "solar", "biofuel"]
 # Live reading columns carried into the wide fact, in order.
 LIVE_COLS = [
-    "ontario_demand_mw",
+    "demand_mw",
     "imports_mw",
     "exports_mw",
     "net_import_exports_mw",
@@ -59,8 +59,8 @@ def fct_intensity(fct_gen: DataFrame, stg_read: DataFrame, strategy: str = "spli
         "ts",
         right_cols=[*LIVE_COLS, *gw],
         rename=rename,
-        left_flag="has_ieso",
-        right_flag="has_gridwatch",
+        left_flag="has_generation",
+        right_flag="has_readings",
         strategy=strategy,
     )
 
@@ -72,30 +72,30 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str | None = None)
     r = raw_root.rstrip("/")
     gen = staging.stg_generation(
         spark,
-        table_or_empty(spark, f"{r}/ieso_generation_historical", GENERATION_RAW),
-        table_or_empty(spark, f"{r}/ieso_generation", GENERATION_RAW),
+        table_or_empty(spark, f"{r}/generation_history", GENERATION_RAW),
+        table_or_empty(spark, f"{r}/generation_live", GENERATION_RAW),
     )
     rd = staging.stg_readings(
         spark,
-        table_or_empty(spark, f"{r}/gridwatch_readings_historical", READINGS_RAW),
-        table_or_empty(spark, f"{r}/gridwatch_readings", READINGS_RAW),
+        table_or_empty(spark, f"{r}/readings_history", READINGS_RAW),
+        table_or_empty(spark, f"{r}/readings_live", READINGS_RAW),
     )
     rates = staging.stg_rates(
         spark,
-        table_or_empty(spark, f"{r}/oeb_rates_historical", RATES_RAW),
-        table_or_empty(spark, f"{r}/oeb_rates", RATES_RAW),
+        table_or_empty(spark, f"{r}/rates_history", RATES_RAW),
+        table_or_empty(spark, f"{r}/rates_live", RATES_RAW),
     )
-    for name, df in (("stg_ieso_generation", gen), ("stg_gridwatch", rd), ("stg_oeb_rates", rates)):
+    for name, df in (("stg_generation", gen), ("stg_readings", rd), ("stg_rates", rates)):
         df.createOrReplaceTempView(name)
     fg = fct_generation(gen)
     fi = fct_intensity(fg, rd)
     if out_root:
         o = out_root.rstrip("/")
-        fg.write.mode("overwrite").parquet(f"{o}/fct_grid_generation")
-        fg = spark.read.parquet(f"{o}/fct_grid_generation")
+        fg.write.mode("overwrite").parquet(f"{o}/fct_generation")
+        fg = spark.read.parquet(f"{o}/fct_generation")
         fi = fct_intensity(fg, rd)
-        fi.write.mode("overwrite").parquet(f"{o}/fct_co2_intensity")
-        fi = spark.read.parquet(f"{o}/fct_co2_intensity")
-    fg.createOrReplaceTempView("fct_grid_generation")
-    fi.createOrReplaceTempView("fct_co2_intensity")
-    return {"stg_ieso_generation": gen, "stg_gridwatch": rd, "stg_oeb_rates": rates, "fct_grid_generation": fg, "fct_co2_intensity": fi}
+        fi.write.mode("overwrite").parquet(f"{o}/fct_intensity")
+        fi = spark.read.parquet(f"{o}/fct_intensity")
+    fg.createOrReplaceTempView("fct_generation")
+    fi.createOrReplaceTempView("fct_intensity")
+    return {"stg_generation": gen, "stg_readings": rd, "stg_rates": rates, "fct_generation": fg, "fct_intensity": fi}

@@ -22,7 +22,7 @@ READING_MEASURES = [
     "exports_mw",
     "net_import_exports_mw",
     "power_generated_mw",
-    "ontario_demand_mw",
+    "demand_mw",
     "total_emissions_tonnes",
     "co2e_intensity_gco2_per_kwh",
     "nuclear_mw",

@@ -54,9 +54,9 @@ def test_staging_and_marts(spark):
         for r in rows:
             by_hour.setdefault(r.hour, []).append(r)
         assert len(by_hour[H(0)]) == 2  # two readings in one hour fan out
-        assert all(r.has_ieso and r.has_gridwatch for r in by_hour[H(0)])
-        assert [(r.has_ieso, r.has_gridwatch) for r in by_hour[H(5)]] == [(False, True)]  # only in readings
-        assert [(r.has_ieso, r.has_gridwatch) for r in by_hour[H(3)]] == [(True, False)]  # only in generation
+        assert all(r.has_generation and r.has_readings for r in by_hour[H(0)])
+        assert [(r.has_generation, r.has_readings) for r in by_hour[H(5)]] == [(False, True)]  # only in readings
+        assert [(r.has_generation, r.has_readings) for r in by_hour[H(3)]] == [(True, False)]  # only in generation
         assert by_hour[H(5)][0].gw_nuclear_mw == 1.0 and by_hour[H(5)][0].nuclear_mw is None
         assert len(rows) == 6
 
@@ -96,8 +96,8 @@ def test_rates_staging_and_reports(spark):
 
 def test_build_marts_from_files(spark, scratch):
     raw = f"{scratch}/raw"
-    gen_rows(spark, [(H(0), 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0)]).write.parquet(f"{raw}/ieso_generation")
+    gen_rows(spark, [(H(0), 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0)]).write.parquet(f"{raw}/generation_live")
     marts = build_marts(spark, raw, f"{scratch}/marts")
-    assert marts["fct_grid_generation"].count() == 1
-    assert marts["fct_co2_intensity"].count() == 1
-    assert spark.sql("select count(*) from fct_co2_intensity").collect()[0][0] == 1
+    assert marts["fct_generation"].count() == 1
+    assert marts["fct_intensity"].count() == 1
+    assert spark.sql("select count(*) from fct_intensity").collect()[0][0] == 1

@@ -93,19 +93,19 @@ def test_plant_date_range_misses_everything(spark):
 
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
-<IMODocument xmlns="http://www.theIMO.com/schema">
-  <IMODocBody>
+<Document xmlns="http://example.org/grid/schema">
+  <DocBody>
     <Generators>
       <Generator><GeneratorName> New Plant X </GeneratorName><FuelType>WIND</FuelType></Generator>
       <Generator><GeneratorName>Pickering G1</GeneratorName><FuelType>NUCLEAR</FuelType></Generator>
     </Generators>
-  </IMODocBody>
-</IMODocument>"""
+  </DocBody>
+</Document>"""
 
 
 def test_generator_xml_and_latest(spark, scratch):
-    write(f"{scratch}/xml/PUB_GenOutputCapability_20240101.xml", XML.replace("WIND", "SOLAR"))
-    write(f"{scratch}/xml/PUB_GenOutputCapability_20240102.xml", XML)
+    write(f"{scratch}/xml/generator_report_20240101.xml", XML.replace("WIND", "SOLAR"))
+    write(f"{scratch}/xml/generator_report_20240102.xml", XML)
     gens = scan_generator_xml(spark, [f"{scratch}/xml/*.xml"])
     m = {r._mkey: r._mclass for r in latest_nonempty_mapping(gens).collect()}
     assert m == {"NEW PLANT X": "wind", "PICKERING G1": "nuclear"}
