@@ -80,12 +80,14 @@ def parse_reading_time(c, asof, strict: bool = False) -> Column:
     c = as_col(c)
     asof = F.lit(asof) if isinstance(asof, (str, dt.date)) else as_col(asof)
     asof = asof.cast("date")
-    p = READING_TIME_PATTERN
-    hit = c.rlike(p)
-    mon = F.array_position(F.array(*[F.lit(m) for m in MONTH_ABBR]), F.lower(F.regexp_extract(c, p, 1)))
-    day = F.regexp_extract(c, p, 2).try_cast("int")
-    h12 = F.regexp_extract(c, p, 3).try_cast("int")
-    pm = F.regexp_extract(c, p, 4) == F.lit("PM")
+    # one regex pass: a matching label becomes "Mon|d|h|AM"; others stay as they are
+    canon = F.regexp_replace(c, "(?s)" + READING_TIME_PATTERN + ".*$", "$1|$2|$3|$4")
+    hit = canon != c
+    parts = F.split(canon, r"\|")
+    mon = F.array_position(F.array(*[F.lit(m) for m in MONTH_ABBR]), F.lower(parts.getItem(0)))
+    day = parts.getItem(1).try_cast("int")
+    h12 = parts.getItem(2).try_cast("int")
+    pm = parts.getItem(3) == F.lit("PM")
     hour = (
         F.when(pm & (h12 != 12), h12 + 12)
         .when(~pm & (h12 == 12), F.lit(0))

@@ -145,3 +145,8 @@ def test_round_and_share(spark):
     got = [r[0] for r in df.select(share_pct(["a", "b"], "t", 1)).collect()]
     assert got == [100.0, None, 12.5]
     assert one(spark, [(2.5,), (-2.5,), (0.125,)], "x double", round_half_away("x", 0)) == [3.0, -3.0, 0.0]
+
+
+def test_parse_reading_time_multiline_label(spark):
+    df = spark.createDataFrame([("Thu Oct 14, 8 AM - 9 AM\nupdated",)], "raw string")
+    assert df.select(parse_reading_time("raw", "2026-06-19")).collect()[0][0] == dt.datetime(2026, 10, 14, 8)

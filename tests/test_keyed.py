@@ -119,3 +119,15 @@ def test_insert_absent_table(spark, scratch):
     insert_absent_table(spark, path, batch, ["timestamp"], schema=schema)
     rows = spark.read.parquet(path).collect()
     assert len(rows) == 1 and rows[0].extra_col is None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(-1000, 1000), st.integers(-1000, 1000)), min_size=1, max_size=20, unique_by=lambda r: r[0]))
+def test_melt_then_pivot_round_trip(spark, rows):
+    from ampere.operators.reshape import melt, pivot_sum
+
+    wide = spark.createDataFrame([(k, a / 100, b / 100) for k, a, b in rows], "k int, a double, b double")
+    long = melt(wide, ["k"], ["a", "b"], "var", "val")
+    assert long.count() == 2 * len(rows)
+    back = pivot_sum(long, ["k"], "var", "val", ["a", "b"], exact_scale=2)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wide.collect()))
