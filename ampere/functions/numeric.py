@@ -85,3 +85,31 @@ def exact_avg(c, scale: int = 2) -> Column:
     """Average built from :func:`exact_sum` and a count of non-null values."""
     c = as_col(c)
     return exact_sum(c, scale) / F.count(c).cast("double")
+
+
+# SQL-text forms of the same expressions, for wide projections built with
+# ``selectExpr`` / ``F.expr`` (one JVM call per expression instead of one per
+# Column function). They compute exactly what the Column forms compute.
+
+
+def exact_sum_sql(expr: str, scale: int = 2) -> str:
+    unit = f"{float(10**scale)!r}D"
+    return f"(CAST(sum(CAST(rint(CAST({expr} AS DOUBLE) * {unit}) AS BIGINT)) AS DOUBLE) / {unit})"
+
+
+def exact_avg_sql(expr: str, scale: int = 2) -> str:
+    return f"({exact_sum_sql(expr, scale)} / CAST(count({expr}) AS DOUBLE))"
+
+
+def round_half_away_sql(expr: str, digits: int = 0) -> str:
+    if digits == 0:
+        return f"round({expr}, 0)"
+    scale = f"{float(10**digits)!r}D"
+    return f"(round(({expr}) * {scale}, 0) / {scale})"
+
+
+def share_pct_sql(parts, total: str, digits: int = 1, scale: float = 100.0) -> str:
+    num = parts[0]
+    for p in parts[1:]:
+        num = f"({num} + {p})"
+    return round_half_away_sql(f"{float(scale)!r}D * {num} / nullif({total}, 0.0D)", digits)

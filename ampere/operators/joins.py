@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.time import trunc_ntz
 
 
 def hourly_full_outer(
@@ -43,33 +42,34 @@ def hourly_full_outer(
     lcols = [c for c in left.columns if c != left_hour]
     rcols = [c for c in (right_cols or right.columns) if c != right_ts]
     rnames = {c: rename.get(c, prefix + c if c in lcols or c == left_hour else c) for c in rcols}
+    q = lambda n: "`" + n.replace("`", "``") + "`"
 
-    L = left.select(F.col(left_hour).alias("_lh"), *lcols)
-    R = right.select(
-        trunc_ntz("hour", F.col(right_ts)).alias("_rh"),
-        F.col(right_ts).alias("_rts"),
-        *[F.col(c).alias(rnames[c]) for c in rcols],
+    # wide projections as SQL text: one JVM call each, same plan
+    L = left.selectExpr(f"{q(left_hour)} AS _lh", *[q(c) for c in lcols])
+    R = right.selectExpr(
+        f"CAST(date_trunc('HOUR', {q(right_ts)}) AS TIMESTAMP_NTZ) AS _rh",
+        f"{q(right_ts)} AS _rts",
+        *[f"{q(c)} AS {q(rnames[c])}" for c in rcols],
     )
-
-    def finish(df: DataFrame) -> DataFrame:
-        return df.select(
-            F.coalesce(F.col("_lh"), F.col("_rh")).alias("hour"),
-            *lcols,
-            *[rnames[c] for c in rcols],
-            F.col("_lh").isNotNull().alias(left_flag),
-            F.col("_rts").isNotNull().alias(right_flag),
-        )
+    out_cols = [
+        "coalesce(_lh, _rh) AS hour",
+        *[q(c) for c in lcols],
+        *[q(rnames[c]) for c in rcols],
+        f"_lh IS NOT NULL AS {q(left_flag)}",
+        f"_rts IS NOT NULL AS {q(right_flag)}",
+    ]
 
     if strategy == "native":
-        return finish(L.join(R, F.col("_lh") == F.col("_rh"), "full_outer"))
+        return L.join(R, F.expr("_lh = _rh"), "full_outer").selectExpr(*out_cols)
 
-    matched_or_right = R.join(L, F.col("_rh") == F.col("_lh"), "left")
-    right_hours = R.select(F.col("_rh").alias("_dh")).where(F.col("_dh").isNotNull()).distinct()
-    left_only = (
-        L.join(right_hours, F.col("_lh") == F.col("_dh"), "left_anti")
-        .withColumn("_rh", F.lit(None).cast("timestamp_ntz"))
-        .withColumn("_rts", F.lit(None).cast(R.schema["_rts"].dataType))
+    matched_or_right = R.join(L, F.expr("_rh = _lh"), "left")
+    right_hours = R.selectExpr("_rh AS _dh").where("_dh IS NOT NULL").distinct()
+    rtypes = {f.name: f.dataType.simpleString() for f in R.schema.fields}
+    left_only = L.join(right_hours, F.expr("_lh = _dh"), "left_anti").selectExpr(
+        "_lh",
+        *[q(c) for c in lcols],
+        "CAST(NULL AS TIMESTAMP_NTZ) AS _rh",
+        f"CAST(NULL AS {rtypes['_rts']}) AS _rts",
+        *[f"CAST(NULL AS {rtypes[rnames[c]]}) AS {q(rnames[c])}" for c in rcols],
     )
-    for c in rcols:
-        left_only = left_only.withColumn(rnames[c], F.lit(None).cast(R.schema[rnames[c]].dataType))
-    return finish(matched_or_right).unionByName(finish(left_only))
+    return matched_or_right.selectExpr(*out_cols).unionByName(left_only.selectExpr(*out_cols))

@@ -30,16 +30,27 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """Keep the first row per key under ``order`` (put ``desc`` terms first for
-    latest-wins). NULL keys form one group. Give a total order for determinism."""
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    latest-wins). NULL keys form one group. Give a total order for determinism.
+
+    ``order`` holds Columns or SQL sort terms (``"ts DESC NULLS LAST"``); with
+    SQL terms the window is a single expression (one JVM call to build)."""
+    if all(isinstance(o, str) for o in order):
+        spec = f"PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {', '.join(order)}"
+        rn = F.expr(f"row_number() OVER ({spec})")
+    else:
+        rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*_cols(order)))
+    return df.withColumn("_rn", rn).where("_rn = 1").drop("_rn")
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First-wins dedupe on key (A10): the first row in ascending ``order``."""
-    return dedupe_latest(df, keys, [F.col(c).asc_nulls_first() for c in order])
+    return dedupe_latest(df, keys, [f"{_q(c)} ASC NULLS FIRST" for c in order])
 
 
 def union_by_priority(*sides: tuple[DataFrame | None, int]) -> DataFrame:
@@ -58,7 +69,8 @@ def latest_by_priority(
 ) -> DataFrame:
     """U1 + Q1: highest priority wins per key; the priority column is dropped."""
     u = union_by_priority(*sides)
-    return dedupe_latest(u, keys, [F.col(PRIORITY).desc(), *tiebreak]).drop(PRIORITY)
+    first = f"{PRIORITY} DESC" if all(isinstance(x, str) for x in tiebreak) else F.col(PRIORITY).desc()
+    return dedupe_latest(u, keys, [first, *tiebreak]).drop(PRIORITY)
 
 
 def upsert(

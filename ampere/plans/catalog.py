@@ -1244,3 +1244,7 @@ def conditional_fill_q(spark: SparkSession, d: str) -> DataFrame:
     s, w = seasonal_split("raw")
     hi, s2, w2 = conditional_fill("higher", "lower", s, w)
     return o.select("o_orderkey", hi.alias("higher"), s2.alias("summer"), w2.alias("winter"))
+
+
+# the composite plans (staging, marts, dashboard) register themselves on import
+from ampere.plans import catalog_marts  # noqa: E402,F401

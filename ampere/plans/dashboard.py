@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.numeric import exact_avg, round_half_away
+from ampere.functions.numeric import exact_avg, exact_avg_sql, round_half_away_sql
 from ampere.operators import reports
 
 FUELS6 = ["nuclear", "hydro", "wind", "solar", "biofuel", "gas"]
@@ -16,12 +16,10 @@ ULO = "Ultra-Low Overnight (ULO)"
 
 
 def latest(fct_int: DataFrame) -> DataFrame:
-    """M9: the newest hour with total, share and intensity."""
-    return reports.newest_n(
-        fct_int.select("hour", "total_mw", "clean_pct", "co2e_intensity_gco2_per_kwh"),
-        [F.col("hour").desc_nulls_last()],
-        1,
-    )
+    """M9: the newest hour with total, share and intensity (rows sharing the
+    newest hour are ordered by the remaining columns, so the pick is stable)."""
+    cols = ["hour", "total_mw", "clean_pct", "co2e_intensity_gco2_per_kwh"]
+    return reports.newest_n(fct_int.select(*cols), [F.col(c).desc_nulls_last() for c in cols], 1)
 
 
 def generation(fct_gen: DataFrame, n: int = 8760) -> DataFrame:
@@ -30,11 +28,12 @@ def generation(fct_gen: DataFrame, n: int = 8760) -> DataFrame:
     return reports.newest_n(fct_gen.select(*cols), [F.col("hour").desc_nulls_last()], n)
 
 
-def monthly(fct_gen: DataFrame, days: int = 30, anchor=None) -> DataFrame:
+def monthly(fct_gen: DataFrame, days: int = 30, anchor=None, exact_scale: int | None = None) -> DataFrame:
     """Daily averages over the trailing ``days`` (anchored on the
-    data's max hour, or on ``anchor``)."""
+    data's max hour, or on ``anchor``). ``exact_scale`` averages values with
+    that many decimals exactly (order-independent) instead of in floating point."""
     t = reports.trailing(fct_gen, "hour", days, anchor)
-    return reports.avg_by(t, "date", "hour", {f: f"{f}_mw" for f in FUELS6}, exact_scale=None, out_key="day").orderBy("day")
+    return reports.avg_by(t, "date", "hour", {f: f"{f}_mw" for f in FUELS6}, exact_scale=exact_scale, out_key="day").orderBy("day")
 
 
 def co2trend(fct_int: DataFrame, days: int = 30, anchor=None) -> DataFrame:
@@ -47,21 +46,25 @@ def co2trend(fct_int: DataFrame, days: int = 30, anchor=None) -> DataFrame:
     )
 
 
-def _avg_report(fct_gen: DataFrame, grain: str, names: dict[str, str]) -> DataFrame:
+def _avg(c: str, exact_scale: int | None) -> str:
+    return exact_avg_sql(c, exact_scale) if exact_scale is not None else f"avg({c})"
+
+
+def _avg_report(fct_gen: DataFrame, grain: str, names: dict[str, str], exact_scale: int | None) -> DataFrame:
     key = "year" if grain == "year" else "month"
-    aggs = [round_half_away(F.avg(f"{f}_mw"), 0).alias(names[f]) for f in FUELS6 + ["total"]]
-    aggs.append(round_half_away(F.avg("clean_pct") / F.lit(100.0), 3).alias("avg_clean_pct"))
+    aggs = [F.expr(f"{round_half_away_sql(_avg(f'{f}_mw', exact_scale), 0)} AS {names[f]}") for f in FUELS6 + ["total"]]
+    aggs.append(F.expr(f"{round_half_away_sql(_avg('clean_pct', exact_scale) + ' / 100.0D', 3)} AS avg_clean_pct"))
     return fct_gen.groupBy(reports.bucket(grain, "hour").alias(key)).agg(*aggs).orderBy(key)
 
 
-def generation_full_history(fct_gen: DataFrame) -> DataFrame:
+def generation_full_history(fct_gen: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Monthly rounded averages + share."""
-    return _avg_report(fct_gen, "month", {f: f"avg_{f}" for f in FUELS6 + ["total"]})
+    return _avg_report(fct_gen, "month", {f: f"avg_{f}" for f in FUELS6 + ["total"]}, exact_scale)
 
 
-def generation_annual(fct_gen: DataFrame) -> DataFrame:
+def generation_annual(fct_gen: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Annual rounded averages + share."""
-    return _avg_report(fct_gen, "year", {f: f"avg_{f}_mw" for f in FUELS6 + ["total"]})
+    return _avg_report(fct_gen, "year", {f: f"avg_{f}_mw" for f in FUELS6 + ["total"]}, exact_scale)
 
 
 def co2_full_history(fct_int: DataFrame) -> DataFrame:

@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.functions.numeric import share_pct
-from ampere.functions.time import calendar_columns
+from ampere.functions.numeric import share_pct_sql
 from ampere.operators.joins import hourly_full_outer
 from ampere.plans import staging
 from ampere.schemas import GENERATION_RAW, RATES_RAW, READINGS_RAW, READING_SOURCES
@@ -28,15 +27,12 @@ LIVE_COLS = [
 
 def fct_generation(stg: DataFrame) -> DataFrame:
     """hour/day/month + six fuels + total + clean_pct (`other_mw` dropped)."""
-    cal = calendar_columns("ts")
     fuels = ["nuclear", "gas", "hydro", "wind", "solar", "biofuel"]
-    return stg.select(
-        cal["hour"].alias("hour"),
-        cal["day"].alias("day"),
-        cal["month"].alias("month"),
+    return stg.selectExpr(
+        *[f"CAST(date_trunc('{u}', ts) AS TIMESTAMP_NTZ) AS {u.lower()}" for u in ("HOUR", "DAY", "MONTH")],
         *[f"{f}_mw" for f in fuels],
         "total_mw",
-        share_pct([f"{f}_mw" for f in CLEAN_FUELS], "total_mw", 1).alias("clean_pct"),
+        f"{share_pct_sql([f'{f}_mw' for f in CLEAN_FUELS], 'total_mw', 1)} AS clean_pct",
     )
 
 

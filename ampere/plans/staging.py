@@ -8,39 +8,41 @@ the plan, S14); both missing gives a typed empty frame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ampere.functions.numeric import coalesce0
-from ampere.functions.time import localize
 from ampere.operators.keyed import latest_by_priority
 from ampere.schemas import FUELS, READING_MEASURES, STG_GENERATION, STG_RATES, STG_READINGS
 
 
-def _ts(df: DataFrame, col: str, source_tz: str | None):
-    return localize(F.col(col).cast("timestamp_ntz"), source_tz).alias("ts")
+def _ts_sql(source_tz: str | None) -> str:
+    ts = "CAST(`timestamp` AS TIMESTAMP_NTZ)"
+    if source_tz:
+        ts = f"CAST(to_utc_timestamp({ts}, '{source_tz}') AS TIMESTAMP_NTZ)"
+    return f"{ts} AS ts"
 
 
 def stage_generation(df: DataFrame, source_tz: str | None = None) -> DataFrame:
-    """P1 + P2: typed hour-start ``ts`` and ``<fuel>_mw`` with NULL → 0."""
+    """P1 + P2: typed hour-start ``ts`` and ``<fuel>_mw`` with NULL → 0.
+    (One SQL projection: cast-and-rename is the whole operator.)"""
     have = set(df.columns)
     cols = [
-        coalesce0(F.col(f) if f in have else F.lit(None)).alias(f"{f}_mw") for f in FUELS + ["total"]
+        f"coalesce(CAST({f if f in have else 'NULL'} AS DOUBLE), CAST(0 AS DOUBLE)) AS {f}_mw"
+        for f in FUELS + ["total"]
     ]
-    return df.select(_ts(df, "timestamp", source_tz), *cols)
+    return df.selectExpr(_ts_sql(source_tz), *cols)
 
 
 def stage_readings(df: DataFrame, source_tz: str | None = None) -> DataFrame:
     have = set(df.columns)
-    cols = [(F.col(c) if c in have else F.lit(None)).cast("double").alias(c) for c in READING_MEASURES]
-    return df.select(_ts(df, "timestamp", source_tz), *cols)
+    cols = [f"CAST({c if c in have else 'NULL'} AS DOUBLE) AS {c}" for c in READING_MEASURES]
+    return df.selectExpr(_ts_sql(source_tz), *cols)
 
 
 def stage_rates(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("effective_date").cast("date").alias("effective_date"),
-        F.col("rate_type").cast("string"),
-        F.col("rate_column").cast("string"),
-        F.col("value_cents_per_kwh").cast("double"),
+    return df.selectExpr(
+        "CAST(effective_date AS DATE) AS effective_date",
+        "CAST(rate_type AS STRING) AS rate_type",
+        "CAST(rate_column AS STRING) AS rate_column",
+        "CAST(value_cents_per_kwh AS DOUBLE) AS value_cents_per_kwh",
     )
 
 
@@ -50,7 +52,7 @@ def stg_generation(
     if hist is None and live is None:
         return spark.createDataFrame([], STG_GENERATION)
     sides = [(stage_generation(d, source_tz) if d is not None else None, p) for d, p in ((hist, 0), (live, 1))]
-    tiebreak = [F.col(f"{f}_mw").desc() for f in FUELS + ["total"]]
+    tiebreak = [f"{f}_mw DESC NULLS LAST" for f in FUELS + ["total"]]
     return latest_by_priority(*sides, keys=["ts"], tiebreak=tiebreak)
 
 
@@ -60,7 +62,7 @@ def stg_readings(
     if hist is None and live is None:
         return spark.createDataFrame([], STG_READINGS)
     sides = [(stage_readings(d, source_tz) if d is not None else None, p) for d, p in ((hist, 0), (live, 1))]
-    tiebreak = [F.col(c).desc_nulls_last() for c in READING_MEASURES]
+    tiebreak = [f"{c} DESC NULLS LAST" for c in READING_MEASURES]
     return latest_by_priority(*sides, keys=["ts"], tiebreak=tiebreak)
 
 
@@ -71,5 +73,5 @@ def stg_rates(spark: SparkSession, hist: DataFrame | None, live: DataFrame | Non
     return latest_by_priority(
         *sides,
         keys=["effective_date", "rate_type", "rate_column"],
-        tiebreak=[F.col("value_cents_per_kwh").desc_nulls_last()],
+        tiebreak=["value_cents_per_kwh DESC NULLS LAST"],
     )

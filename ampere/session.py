@@ -6,7 +6,10 @@
 * AQE with partition coalescing and skew-join splitting, so hot keys found at
   run time are split instead of landing in one task;
 * dynamic partition overwrite, so an upsert rewrites only the partitions it
-  touches.
+  touches;
+* PySpark's per-call origin capture off (``dataFrameDebugging``): it costs
+  several JVM round trips for every Column function while a plan is being
+  built, and only adds the Python call site to error messages.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ CORE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
