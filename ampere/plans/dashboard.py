@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.numeric import exact_avg, exact_avg_sql, round_half_away_sql
+from ampere.functions.numeric import exact_avg_sql, round_half_away_sql
 from ampere.operators import reports
 
 FUELS6 = ["nuclear", "hydro", "wind", "solar", "biofuel", "gas"]
@@ -87,11 +87,3 @@ def current_rates(stg_rates: DataFrame, rate_type: str = TOU) -> DataFrame:
     return d.select("rate_column", "value_cents_per_kwh").orderBy(
         F.col("value_cents_per_kwh").desc_nulls_last(), "rate_column"
     )
-
-
-def daily_averages_exact(fct_gen: DataFrame, days: int, anchor=None) -> DataFrame:
-    """Variant of :func:`monthly` with order-independent (decimal) averages."""
-    t = reports.trailing(fct_gen, "hour", days, anchor)
-    return t.groupBy(F.col("hour").cast("date").alias("day")).agg(
-        *[exact_avg(f"{f}_mw").alias(f) for f in FUELS6]
-    )

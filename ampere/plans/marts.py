@@ -4,7 +4,6 @@ live readings (M5, the flagship), plus their materialisation (K6)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ampere.functions.numeric import share_pct_sql
 from ampere.operators.joins import hourly_full_outer

@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert set(df.columns) >= {"hour", "has_purchase", "has_error"}
+    assert set(df.columns) >= {"hour", "has_generation", "has_readings", "co2e_intensity_gco2_per_kwh"}
     assert df.count() > 0
 
 
