@@ -176,9 +176,8 @@ def missing_buckets(
         *by, "_lo", "_hi",
         F.explode(F.sequence(trunc_ntz("day", F.col("_lo")), trunc_ntz("day", F.col("_hi")), F.expr("INTERVAL 1 DAY"))).alias("_day"),
     )
-    # spread the per-day expansion over tasks (a span is one row before this)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    days = days.repartition(n)
+    # spread the per-day expansion over the cluster's cores (a span is one row before this)
+    days = days.repartition(df.sparkSession.sparkContext.defaultParallelism)
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step_seconds))
     day_end = F.col("_day") + F.expr("INTERVAL 1 DAY") - step
     all_b = days.select(

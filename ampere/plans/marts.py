@@ -88,6 +88,10 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str | None = None)
         o = out_root.rstrip("/")
         fg.write.mode("overwrite").parquet(f"{o}/fct_generation")
         fg = spark.read.parquet(f"{o}/fct_generation")
+        # the hour join reads the staged readings twice (see hourly_full_outer):
+        # stage them once as a table next to the marts, which also cuts lineage
+        rd.write.mode("overwrite").parquet(f"{o}/_stg_readings")
+        rd = spark.read.parquet(f"{o}/_stg_readings")
         fi = fct_intensity(fg, rd)
         fi.write.mode("overwrite").parquet(f"{o}/fct_intensity")
         fi = spark.read.parquet(f"{o}/fct_intensity")

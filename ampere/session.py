@@ -69,6 +69,38 @@ def apply_core_conf(spark: SparkSession) -> None:
             pass
 
 
+MB = 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and post-shuffle partitions target ~256 MB, which fits
+    executor memory without spill on typical 4–8 GB-per-core executors. The
+    initial shuffle partition count follows the input size (AQE coalesces
+    small ones down and splits skewed ones); a partition is "skewed" above
+    2× the target. Broadcasts are capped at 64 MB.
+    For 100 TB this gives ~400,000 initial partitions, capped at 200,000.
+    """
+    parts = max(200, min(200_000, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
+def apply_cluster_conf(spark: SparkSession, input_bytes: int) -> None:
+    apply_core_conf(spark)
+    for k, v in cluster_conf(input_bytes).items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -49,3 +49,13 @@ def test_plant_to_fuel_sums_do_not_shuffle(spark):
     wide = spark.createDataFrame([], f"timestamp timestamp_ntz, {cols}, TOTAL double")
     p = plants_to_fuels(wide, ["timestamp"], None)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in p
+
+
+def test_cluster_conf_scales_partitions():
+    from ampere.session import MB, cluster_conf
+
+    small = cluster_conf(10 * MB)
+    big = cluster_conf(100 * 1024**4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * MB)
