@@ -1134,7 +1134,10 @@ _OFFSET_SQL = """CASE event_type WHEN 'click' THEN '-05:00' WHEN 'view' THEN '-0
     "to_utc",
     f"""
 WITH a AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || {_OFFSET_SQL} AS raw FROM events)
-SELECT event_id, raw, CAST(raw AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS utc_ts FROM a""",
+SELECT event_id, raw,
+  CASE WHEN regexp_matches(raw, '(Z|[+-][0-9][0-9]:[0-9][0-9])$')
+       THEN CAST(raw AS TIMESTAMPTZ) AT TIME ZONE 'UTC' ELSE CAST(raw AS TIMESTAMP) END AS utc_ts
+FROM a""",
 )
 def to_utc(spark: SparkSession, d: str) -> DataFrame:
     ev = t(spark, d, "events")
