@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampere.functions.text import normalize_header_name
+from ampere.operators.common import broadcast_if_small
 from ampere.functions.time import hour_ending_to_start
 
 # Junk columns of some yearly plant workbooks, by year.
@@ -54,41 +55,6 @@ def expand_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return out
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file, read through the Hadoop FileSystem."""
-    jvm = spark._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    stream = hp.getFileSystem(spark._jsc.hadoopConfiguration()).open(hp)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return (line or "").lstrip("\ufeff")
-    finally:
-        stream.close()
-
-
-def read_csv_by_layout(spark: SparkSession, paths: Sequence[str], rename=None) -> DataFrame | None:
-    """CSV files whose header layout drifts between files.
-
-    Spark's CSV reader applies one header to all files of a scan, so files
-    are grouped by their header line (one line read per file — file metadata,
-    bounded by the number of files) and each group is one scan; the groups
-    are unioned by (renamed) column name, absent columns NULL."""
-    files = expand_paths(spark, paths)
-    if not files:
-        return None
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(header_line(spark, f), []).append(f)
-    out = None
-    for _, group in sorted(groups.items()):
-        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(group)
-        if rename is not None:
-            df = df.toDF(*[rename(c) for c in df.columns])
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
-
-
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -108,26 +74,51 @@ def select_present(df: DataFrame, cols: Sequence[str], absent_type: str = "doubl
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(absent_type).alias(c) for c in cols])
 
 
-def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str]) -> DataFrame:
-    """Monthly fuel-mix CSVs → (timestamp, fuels..., other NULL).
+# Widest fuel-mix layout we accept (columns beyond it are ignored).
+FUEL_CSV_MAX_COLS = 64
+
 
-    Missing files are skipped; no file at all gives an empty typed frame.
-    Headers are normalised; a fuel column absent from a file is NULL.
+def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str]) -> DataFrame:
+    """Monthly fuel-mix CSVs → (timestamp, fuels..., other NULL).
+
+    The column layout may drift from file to file (padded headers, a fuel
+    column added or dropped), and Spark's CSV reader would apply the first
+    file's header to all files. So every file is read header-less, as rows of
+    strings tagged with their file, and each data row is matched with the
+    header row of its own file (the row whose first cell is ``Date``): a
+    fuel's value is the cell at the fuel's position in that header. All of
+    it is one distributed scan plus a join on the file path; no per-file
+    work on the driver. Missing files are skipped; none gives an empty
+    typed frame; a fuel absent from a file is NULL.
     """
     out_schema = T.StructType(
         [T.StructField("timestamp", T.TimestampNTZType())]
         + [T.StructField(f, T.DoubleType()) for f in fuels]
         + [T.StructField("other", T.DoubleType())]
     )
-    df = read_csv_by_layout(spark, paths, rename=normalize_header_name)
-    if df is None or "date" not in df.columns or "hour" not in df.columns:
+    found = existing_paths(spark, paths)
+    if not found:
         return empty_frame(spark, out_schema)
-    ts = hour_ending_to_start(F.col("date"), F.col("hour"))
-    vals = [
-        (F.nullif(F.trim(F.col(f)), F.lit("")).cast("double") if f in df.columns else F.lit(None).cast("double")).alias(f)
-        for f in fuels
-    ]
-    out = df.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
+    n = FUEL_CSV_MAX_COLS
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
+    raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(found)
+    cells = F.array(*[F.col(f"_c{i}") for i in range(n)])
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), cells.alias("_cells"))
+    norm = lambda c: F.replace(F.lower(F.trim(c)), F.lit(" "), F.lit("_"))  # noqa: E731  (S2 on cells)
+    is_header = norm(F.col("_cells")[0]) == F.lit("date")
+    headers = rows.where(is_header).select(
+        "_file", F.transform(F.filter("_cells", lambda c: c.isNotNull()), norm).alias("_names")
+    )
+    headers = broadcast_if_small(headers.dropDuplicates(["_file"]))
+    data = rows.where(~is_header & F.col("_cells")[0].isNotNull()).join(headers, "_file")
+
+    def cell(name: str):
+        pos = F.array_position("_names", F.lit(name))
+        return F.when(pos > 0, F.try_element_at("_cells", pos.cast("int")))
+
+    ts = hour_ending_to_start(cell("date"), cell("hour"))
+    vals = [F.nullif(F.trim(cell(f)), F.lit("")).cast("double").alias(f) for f in fuels]
+    out = data.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
     return out.filter(F.col("timestamp").isNotNull())
 
 
