@@ -59,3 +59,49 @@ def test_cluster_conf_scales_partitions():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert big["spark.sql.shuffle.partitions"] == "200000"
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * MB)
+
+
+def test_hot_hour_is_split_by_aqe(spark):
+    """One hour holds a third of the reading rows: the split strategy's left
+    outer join is marked skewed and split by AQE, and the result equals the
+    native FULL OUTER join (which AQE cannot split)."""
+    from pyspark.sql import functions as F
+
+    from ampere.operators.joins import hourly_full_outer
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+        right = spark.range(0, 120000).select(
+            F.when(F.col("id") % 3 == 0, base)
+            .otherwise(F.timestamp_add("MINUTE", (F.col("id") % 6000).cast("int"), base))
+            .alias("ts"),
+            F.col("id").cast("double").alias("v"),
+        )
+        left = spark.range(0, 200).select(
+            F.timestamp_add("HOUR", F.col("id").cast("int"), base).alias("hour"), F.col("id").alias("g")
+        )
+        split = hourly_full_outer(left, right, "hour", "ts", right_cols=["v"])
+        agg = split.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.count_if("has_left").alias("l"))
+        got = agg.collect()[0]
+        final = agg._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+        native = hourly_full_outer(left, right, "hour", "ts", right_cols=["v"], strategy="native")
+        exp = native.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.count_if("has_left").alias("l")).collect()[0]
+        assert tuple(got) == tuple(exp)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
