@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ampere.functions import trunc_ntz
 from ampere.functions.numeric import exact_sum_sql
+from ampere.operators import reports
 from ampere.plans import dashboard, marts, staging
 from ampere.plans.catalog import URGENT, q_exact_avg, q_exact_sum, q_round, register, t, ts_lit
 from ampere.schemas import FUELS, READING_MEASURES
@@ -226,7 +227,11 @@ SELECT CAST(hour AS DATE) AS day, {", ".join(f"{q_exact_avg(f'{x}_mw')} AS {x}"
 WHERE hour >= (SELECT max(hour) FROM f) - INTERVAL {TRAIL_DAYS} DAY GROUP BY 1""",
 )
 def q_dash_monthly(spark: SparkSession, d: str) -> DataFrame:
-    return dashboard.monthly(fct_gen(spark, d), days=TRAIL_DAYS, exact_scale=2)
+    # the mart's hours are the hours of the events it is built from, so its
+    # max(hour) is date_trunc('hour', max(ts)) of the events: a one-column scan
+    # instead of a second build of the mart inside the scalar subquery
+    anchor = reports.hour_anchor(t(spark, d, "events"), "ts")
+    return dashboard.monthly(fct_gen(spark, d), days=TRAIL_DAYS, anchor=anchor, exact_scale=2)
 
 
 @register(
@@ -236,7 +241,9 @@ SELECT hour, co2e_intensity_gco2_per_kwh AS co2 FROM f
 WHERE hour >= (SELECT max(hour) FROM f) - INTERVAL {TRAIL_DAYS} DAY AND co2e_intensity_gco2_per_kwh IS NOT NULL""",
 )
 def q_dash_co2trend(spark: SparkSession, d: str) -> DataFrame:
-    return dashboard.co2trend(fct_int(spark, d), days=TRAIL_DAYS)
+    # both sides of the wide fact take their hours from events (see q_dash_monthly)
+    anchor = reports.hour_anchor(t(spark, d, "events"), "ts")
+    return dashboard.co2trend(fct_int(spark, d), days=TRAIL_DAYS, anchor=anchor)
 
 
 def _q_avg_report(key_expr: str, key: str, names: dict[str, str]) -> str:
