@@ -28,10 +28,19 @@ def incremental_merge(
     keys: Sequence[str],
     initial: str = INITIAL_CURSOR,
     batch_order: Sequence | None = None,
+    month_col: str | None = None,
 ) -> DataFrame:
+    """Merge the source rows from the cursor's month onwards into the target.
+
+    ``month_col`` names a ``yyyy-MM`` partition column of the source: the
+    same bound is then also a partition filter, so the scan skips the months
+    before the cursor (the subquery is evaluated before the scan lists files).
+    """
     cursor = target.select(F.max(ts)).scalar()
     start = trunc_ntz("month", F.coalesce(cursor, F.lit(initial).cast("timestamp_ntz")))
     batch = source.filter(F.col(ts) >= start)
+    if month_col:
+        batch = batch.filter(F.col(month_col) >= F.date_format(start, "yyyy-MM"))
     return upsert(target, batch, keys, batch_order)
 
 
