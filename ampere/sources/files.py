@@ -116,7 +116,10 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
         pos = F.array_position("_names", F.lit(name))
         return F.when(pos > 0, F.try_element_at("_cells", pos.cast("int")))
 
-    ts = hour_ending_to_start(cell("date"), cell("hour"))
+    # lenient: a row whose date or hour does not parse (a footer note, junk) is dropped
+    ts = hour_ending_to_start(
+        F.try_to_timestamp(F.trim(cell("date"))).cast("date"), F.trim(cell("hour")).try_cast("int")
+    )
     vals = [F.nullif(F.trim(cell(f)), F.lit("")).cast("double").alias(f) for f in fuels]
     out = data.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
     return out.filter(F.col("timestamp").isNotNull())

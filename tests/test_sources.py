@@ -36,7 +36,8 @@ def test_fuel_csv(spark, scratch):
         "Date,Hour,Nuclear,Gas,Hydro,Wind,Solar,Biofuel,Total\n"
         "2024-05-01,1,9000,1200,4000,800,10,5,15015\n"
         "2024-05-01,2,9001,1100,4001,,11,5,15000\n"
-        "2024-05-01,24,9002,1000,4002,700,0,5,14709\n",
+        "2024-05-01,24,9002,1000,4002,700,0,5,14709\n"
+        "Data are preliminary,,,,,,,,\n",
     )
     # ours: padded headers and an absent fuel column in a second month
     write(f"{scratch}/202406.csv", " Date , Hour ,Nuclear,Gas,Hydro,Wind,Solar,Total\n2024-06-01,3,1,2,3,4,5,15\n")
