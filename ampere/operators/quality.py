@@ -187,6 +187,21 @@ def missing_buckets(
     return all_b.select(*by, "bucket").join(present, [*by, "bucket"], "left_anti")
 
 
+def backfill_ranges(missing: DataFrame, bucket: str = "bucket", step_seconds: int = 3600, by: Sequence[str] = ()) -> DataFrame:
+    """Collapse missing buckets into contiguous ranges to re-fetch (I3):
+    (by..., range_start, range_end, buckets). Islands: ``bucket - n·step`` is
+    constant along a run of consecutive buckets. The input is the missing
+    set, bounded by the calendar span / step, not by the data volume."""
+    by = list(by)
+    w = Window.partitionBy(*by).orderBy(bucket)
+    rn = F.row_number().over(w)
+    island = F.timestamp_add("SECOND", -(rn * F.lit(step_seconds)).cast("int"), F.col(bucket))
+    g = missing.select(*by, bucket, island.alias("_island"))
+    return g.groupBy(*by, "_island").agg(
+        F.min(bucket).alias("range_start"), F.max(bucket).alias("range_end"), F.count(F.lit(1)).alias("buckets")
+    ).drop("_island")
+
+
 def coverage(
     df: DataFrame, ts: str, step_seconds: int = 3600, tolerance: float = 0.95, by: Sequence[str] = ()
 ) -> DataFrame:

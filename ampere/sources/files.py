@@ -211,11 +211,16 @@ def scan_generator_xml(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def latest_nonempty_mapping(gens: DataFrame) -> DataFrame:
+def latest_nonempty_mapping(gens: DataFrame, asof: dt.date | None = None, days: int = 9) -> DataFrame:
     """The mapping from the newest report that has generators (S8): a scalar
-    max over report dates, then a filter — no per-file driver loop.
+    max over report dates, then a filter — no per-file driver loop. With
+    ``asof``, only reports from the ``days`` days before it count (the source
+    tries yesterday back to nine days ago); none → an empty mapping.
     Duplicate names inside one report: the last one wins in the source; here
     the greatest fuel value is kept, deterministically."""
+    if asof is not None:
+        lo = F.date_sub(F.lit(asof).cast("date"), days)
+        gens = gens.filter((F.col("report_date") >= lo) & (F.col("report_date") < F.lit(asof).cast("date")))
     newest = gens.select(F.max("report_date")).scalar()
     m = gens.filter(F.col("report_date") == newest)
     return m.groupBy(F.col("name_key").alias("_mkey")).agg(F.max("fuel").alias("_mclass"))

@@ -150,3 +150,11 @@ def test_round_and_share(spark):
 def test_parse_reading_time_multiline_label(spark):
     df = spark.createDataFrame([("Thu Oct 14, 8 AM - 9 AM\nupdated",)], "raw string")
     assert df.select(parse_reading_time("raw", "2026-06-19")).collect()[0][0] == dt.datetime(2026, 10, 14, 8)
+
+
+def test_epoch_ms_and_next_month(spark):
+    from ampere.functions import epoch_ms, next_month_start
+
+    df = spark.createDataFrame([(dt.datetime(2024, 12, 15, 0, 0, 1),)], "t timestamp_ntz")
+    r = df.select(epoch_ms("t"), next_month_start("t")).collect()[0]
+    assert r[0] == 1734220801000 and r[1] == dt.date(2025, 1, 1)

@@ -137,3 +137,12 @@ def test_schema_drift_and_freeze(spark):
         quality.enforce_schema(df, exp, "freeze")
     by_name = quality.enforce_schema(df, exp, "by_name").collect()[0]
     assert (by_name.a, by_name.b) == (1, None)
+
+
+def test_backfill_ranges(spark):
+    base = dt.datetime(2024, 1, 1)
+    hours = [h for h in range(48) if h not in (5, 6, 7, 30, 40, 41)]
+    df = spark.createDataFrame([(base + dt.timedelta(hours=h),) for h in hours], "ts timestamp_ntz")
+    ranges = sorted(tuple(r) for r in quality.backfill_ranges(quality.missing_buckets(df, "ts", 3600)).collect())
+    H = lambda h: base + dt.timedelta(hours=h)
+    assert ranges == [(H(5), H(7), 3), (H(30), H(30), 1), (H(40), H(41), 2)]

@@ -201,3 +201,16 @@ def test_scan_generation_eras(spark, scratch):
     rows = sorted(out.collect(), key=lambda r: r.timestamp)
     assert [r.timestamp for r in rows] == [dt.datetime(2018, 12, 31, 23), dt.datetime(2019, 5, 1, 0)]
     assert rows[0].nuclear == 100.0 and rows[0].total == 100.0 and rows[1].other is None and rows[1].total == 21.0
+
+
+def test_drop_quirks_and_mapping_window(spark, scratch):
+    from ampere.sources.files import drop_quirks
+
+    df = spark.createDataFrame([(1, 2, 3)], "`Unnamed: 2` int, a int, b int")
+    assert drop_quirks(df, 2010).columns == ["a", "b"]
+    assert drop_quirks(df, 2012).columns == ["Unnamed: 2", "b"]
+    assert drop_quirks(df, 2015).columns == ["Unnamed: 2", "a", "b"]
+    write(f"{scratch}/xml/generator_report_20240101.xml", XML)
+    gens = scan_generator_xml(spark, [f"{scratch}/xml/*.xml"])
+    assert latest_nonempty_mapping(gens, asof=dt.date(2024, 1, 5)).count() == 2
+    assert latest_nonempty_mapping(gens, asof=dt.date(2024, 3, 1)).count() == 0  # too old → empty mapping
