@@ -673,6 +673,22 @@ def missing_hours(spark: SparkSession, d: str) -> DataFrame:
     return quality.missing_buckets(ev.filter(F.col("event_type") == "purchase"), "ts", 3600, span=ev)
 
 
+@register(
+    "backfill_ranges",
+    """
+WITH b AS (SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) AS hi FROM events),
+h AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS bucket FROM b),
+m AS (SELECT bucket FROM h
+      WHERE bucket NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL)),
+i AS (SELECT bucket, bucket - (row_number() OVER (ORDER BY bucket)) * INTERVAL 1 HOUR AS island FROM m)
+SELECT min(bucket) AS range_start, max(bucket) AS range_end, count(*) AS buckets FROM i GROUP BY island""",
+)
+def backfill_ranges(spark: SparkSession, d: str) -> DataFrame:
+    ev = t(spark, d, "events")
+    missing = quality.missing_buckets(ev.filter(F.col("event_type") == "purchase"), "ts", 3600, span=ev)
+    return quality.backfill_ranges(missing)
+
+
 @register(
     "coverage",
     f"""
