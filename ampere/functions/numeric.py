@@ -76,6 +76,8 @@ def exact_sum(c, scale: int = 2) -> Column:
     the correctly rounded double of the exact decimal sum, whatever the
     summation order. Long sums stay in whole-stage codegen (a decimal(38)
     sum would go through BigDecimal per row)."""
+    if isinstance(c, str):
+        return F.expr(exact_sum_sql(f"`{c}`", scale))
     unit = float(10**scale)
     scaled = F.rint(as_col(c).cast("double") * F.lit(unit)).cast("long")
     return F.sum(scaled).cast("double") / F.lit(unit)
@@ -83,6 +85,8 @@ def exact_sum(c, scale: int = 2) -> Column:
 
 def exact_avg(c, scale: int = 2) -> Column:
     """Average built from :func:`exact_sum` and a count of non-null values."""
+    if isinstance(c, str):
+        return F.expr(exact_avg_sql(f"`{c}`", scale))
     c = as_col(c)
     return exact_sum(c, scale) / F.count(c).cast("double")
 

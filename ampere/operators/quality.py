@@ -38,8 +38,8 @@ def _lit_ts(x) -> Column:
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: (column_name, rows, null_count, passed) — one scan."""
     agg = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)],
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"count_if(`{c}` IS NULL) AS _n{i}") for i, c in enumerate(cols)],
     )
     stack = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols))
     long = agg.selectExpr("_rows", f"stack({len(cols)}, {stack}) AS (column_name, null_count)")
@@ -77,7 +77,7 @@ def range_violations(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> D
     names = list(bounds)
     agg = df.agg(
         *[
-            F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(f"_v{i}")
+            F.expr(f"count_if(`{c}` < {float(lo)!r}D OR `{c}` > {float(hi)!r}D) AS _v{i}")
             for i, (c, (lo, hi)) in enumerate(bounds.items())
         ]
     )

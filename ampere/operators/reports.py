@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.numeric import exact_avg, round_half_away
+from ampere.functions.numeric import exact_avg, exact_avg_sql, round_half_away, round_half_away_sql
 from ampere.functions.time import trunc_ntz
 from ampere.operators.common import broadcast_if_small
 
@@ -86,11 +86,12 @@ def avg_by(
 
 def stats_by(df: DataFrame, grain: str, ts: str, measure: str, prefix: str, digits: int = 1) -> DataFrame:
     """avg / min / max of one measure per bucket, NULLs excluded."""
-    d = df.filter(F.col(measure).isNotNull())
+    m = f"`{measure}`"
+    d = df.where(f"{m} IS NOT NULL")
     return d.groupBy(bucket(grain, ts).alias(grain)).agg(
-        round_half_away(exact_avg(measure), digits).alias(f"avg_{prefix}"),
-        round_half_away(F.min(measure), digits).alias(f"min_{prefix}"),
-        round_half_away(F.max(measure), digits).alias(f"max_{prefix}"),
+        F.expr(f"{round_half_away_sql(exact_avg_sql(m), digits)} AS avg_{prefix}"),
+        F.expr(f"{round_half_away_sql(f'min({m})', digits)} AS min_{prefix}"),
+        F.expr(f"{round_half_away_sql(f'max({m})', digits)} AS max_{prefix}"),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampere.functions.classify import FUEL_RULES, Rules, classify, name_key, to_known_class
-from ampere.functions.numeric import exact_sum
+from ampere.functions.numeric import exact_sum, exact_sum_sql
 from ampere.operators.common import broadcast_if_small
 
 
@@ -46,6 +46,15 @@ def pivot_sum(
     a class with no row is 0 (or NULL when ``zero_fill`` is False).
     ``exact_scale`` sums as decimal with that many places (order-independent)."""
 
+    if isinstance(class_col, str) and isinstance(value_col, str):
+        # one SQL expression per class (cheap to build for many classes)
+        aggs = []
+        for cls in classes:
+            cond = f"CASE WHEN `{class_col}` = '{cls}' THEN `{value_col}` END"
+            agg = exact_sum_sql(cond, exact_scale) if exact_scale is not None else f"sum({cond})"
+            aggs.append(F.expr(f"coalesce({agg}, CAST(0 AS DOUBLE)) AS `{cls}`" if zero_fill else f"{agg} AS `{cls}`"))
+        return df.groupBy(*keys).agg(*aggs, *extra_aggs)
+
     def total(c: Column) -> Column:
         return exact_sum(c, exact_scale) if exact_scale is not None else F.sum(c)
 

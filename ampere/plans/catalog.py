@@ -55,6 +55,7 @@ from ampere.operators.reshape import classify_lookup, melt, pivot_sum, prefer_to
 from ampere.sources.files import month_sequence, select_present
 from ampere.sources.html import PARAGRAPH_PATTERN, extract_labelled, html_headings, html_list_items
 from ampere.plans.backfill import rename_keep
+from ampere.schemas import INPUT_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,7 +112,11 @@ def register(name: str, sql: str | None):
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """An input table, read with its declared schema (see ``schemas.INPUT_TABLES``)."""
+    r = spark.read
+    if name in INPUT_TABLES:
+        r = r.schema(INPUT_TABLES[name])
+    return r.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
 def ts_lit(s: str) -> Column:

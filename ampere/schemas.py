@@ -93,3 +93,23 @@ READINGS_SPEC = TableSpec("readings", READINGS_RAW, ("timestamp",), cursor="time
 RATES_SPEC = TableSpec(
     "rates", RATES_RAW, ("effective_date", "rate_type", "rate_column"), cursor="effective_date"
 )
+
+
+# Declared schemas of the input tables the registered queries read. A declared
+# schema is the contract for the scan (a retyped column fails loudly) and
+# spares the driver the footer read of schema inference on every open.
+INPUT_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "pages": "page_id bigint, url string, html string",
+}
