@@ -96,6 +96,9 @@ FRESH_ASOF = "2024-01-31 00:30:00"
 INCR_TARGET_BEFORE = "2000-01-01 00:00:00"
 READING_ASOF = "2002-01-15"
 URGENT = "1-URGENT"
+# English weekday (Sunday first, as dayofweek counts) and month abbreviations.
+WEEKDAY_ABBR = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+MONTH_ABBR_TITLE = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 ORACLE: dict[str, str] = {}
 QUERIES: dict[str, Query] = {}
@@ -1190,13 +1193,19 @@ def parse_reading_time_q(spark: SparkSession, d: str) -> DataFrame:
     o = t(spark, d, "orders")
     ts = F.timestamp_add("HOUR", (F.col("o_orderkey") % 24).cast("int"), F.col("o_orderdate"))
     a = o.select("o_orderkey", ts.alias("t"))
+    # the label text "<Wkd> <Mon> <d>, <h> AM|PM - next", built from lookups and
+    # arithmetic (same text as formatting with "EEE MMM" / "h a")
     day = F.dayofmonth("t")
+    hour = F.hour("t")
     raw = F.concat(
-        F.date_format("t", "EEE MMM"),
+        F.element_at(F.array(*[F.lit(x) for x in WEEKDAY_ABBR]), F.dayofweek("t")),
+        F.lit(" "),
+        F.element_at(F.array(*[F.lit(x) for x in MONTH_ABBR_TITLE]), F.month("t")),
         F.when(day < 10, F.lit("  ")).otherwise(F.lit(" ")),
         day.cast("string"),
         F.lit(", "),
-        F.date_format("t", "h a"),
+        (((hour + 11) % 12) + 1).cast("string"),
+        F.when(hour < 12, F.lit(" AM")).otherwise(F.lit(" PM")),
         F.lit(" - next"),
     )
     b = a.select("o_orderkey", raw.alias("raw"))
