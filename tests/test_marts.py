@@ -101,3 +101,16 @@ def test_build_marts_from_files(spark, scratch):
     assert marts["fct_generation"].count() == 1
     assert marts["fct_intensity"].count() == 1
     assert spark.sql("select count(*) from fct_intensity").collect()[0][0] == 1
+
+
+def test_staging_normalises_source_time_zone(spark):
+    """§1.4: a source declared in a local zone is converted to UTC in staging;
+    without a zone the wall clock is kept (the source's own behaviour)."""
+    live = gen_rows(spark, [
+        (dt.datetime(2024, 1, 15, 8), 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0),   # EST, UTC-5
+        (dt.datetime(2024, 7, 15, 8), 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0),   # EDT, UTC-4
+    ])
+    utc = sorted(r.ts for r in staging.stg_generation(spark, None, live, source_tz="America/Toronto").collect())
+    assert utc == [dt.datetime(2024, 1, 15, 13), dt.datetime(2024, 7, 15, 12)]
+    kept = sorted(r.ts for r in staging.stg_generation(spark, None, live).collect())
+    assert kept == [dt.datetime(2024, 1, 15, 8), dt.datetime(2024, 7, 15, 8)]
