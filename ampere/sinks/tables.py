@@ -76,6 +76,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return r.parquet(path)
 
 
+# Most partition values we turn into a literal partition filter.
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Restrict ``target`` to the partitions ``batch`` touches.
+
+    The touched values are partition metadata (one row per partition, read
+    with a bound): as literals they become a static partition filter, so the
+    scan lists only those folders. Past the bound, a semi join on the
+    partition columns does the same job without pruning the listing."""
+    vals = batch.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(vals) > MAX_TOUCHED_PARTITIONS:
+        touched = broadcast_if_small(batch.select(*partition_by).distinct())
+        return target.join(touched, partition_by, "left_semi")
+    if not vals:
+        return target.limit(0)
+    cond = None
+    for row in vals:
+        term = None
+        for c in partition_by:
+            v = row[c]
+            t = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
+            term = t if term is None else (term & t)
+        cond = term if cond is None else (cond | term)
+    return target.filter(cond)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -96,9 +124,7 @@ def upsert_table(
         return
     target = spark.read.parquet(path)
     if partition_by:
-        # partitions touched by the batch: few values, broadcast behind a check
-        touched = broadcast_if_small(batch.select(*partition_by).distinct())
-        target = target.join(touched, list(partition_by), "left_semi")
+        target = touched_partitions(target, batch, list(partition_by))
     merged = upsert(target, batch, keys, batch_order).select(*spark.read.parquet(path).columns)
     stage = _staging(path)
     w = merged.write.mode("overwrite")

@@ -99,6 +99,11 @@ def test_upsert_table_touches_only_batch_partitions(spark, scratch):
     rows = [(i, f"2024-0{m}", float(i)) for m in (1, 2, 3) for i in range(m * 10, m * 10 + 3)]
     spark.createDataFrame(rows, "k int, month string, v double").write.partitionBy("month").parquet(path)
     batch = spark.createDataFrame([(20, "2024-02", -1.0), (99, "2024-02", 9.0)], "k int, month string, v double")
+    from ampere.sinks.tables import touched_partitions
+
+    pruned = touched_partitions(spark.read.parquet(path), batch, ["month"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "= 2024-02" in plan  # static pruning
     upsert_table(spark, path, batch, ["k"], partition_by=["month"])
     out = spark.read.parquet(path)
     got = {(r.k, r.v) for r in out.collect()}
