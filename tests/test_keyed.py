@@ -136,3 +136,18 @@ def test_melt_then_pivot_round_trip(spark, rows):
     assert long.count() == 2 * len(rows)
     back = pivot_sum(long, ["k"], "var", "val", ["a", "b"], exact_scale=2)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wide.collect()))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.integers(0, 8), st.integers(-50, 50)), max_size=12, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(st.integers(0, 8), st.integers(-50, 50)), max_size=12, unique_by=lambda r: r[0]),
+)
+def test_upsert_properties(spark, target_rows, batch_rows):
+    t = spark.createDataFrame(target_rows, "k int, v int")
+    b = spark.createDataFrame(batch_rows, "k int, v int")
+    once = sorted(map(tuple, keyed.upsert(t, b, ["k"]).collect()))
+    twice = sorted(map(tuple, keyed.upsert(keyed.upsert(t, b, ["k"]), b, ["k"]).collect()))
+    expected = dict(target_rows)
+    expected.update(dict(batch_rows))  # batch rows win
+    assert once == sorted(expected.items()) and twice == once
