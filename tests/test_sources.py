@@ -214,3 +214,18 @@ def test_drop_quirks_and_mapping_window(spark, scratch):
     gens = scan_generator_xml(spark, [f"{scratch}/xml/*.xml"])
     assert latest_nonempty_mapping(gens, asof=dt.date(2024, 1, 5)).count() == 2
     assert latest_nonempty_mapping(gens, asof=dt.date(2024, 3, 1)).count() == 0  # too old → empty mapping
+
+
+def test_empty_mapped_class_falls_through_to_rules(spark):
+    from ampere.operators.reshape import classify_lookup
+
+    df = spark.createDataFrame([("Lennox G1",), ("Plant Z",), ("Plant Y",)], "name string")
+    mapping = spark.createDataFrame([("LENNOX G1", ""), ("PLANT Z", "hydro"), ("PLANT Y", "coal")], "_mkey string, _mclass string")
+    got = {r.name: r["class"] for r in classify_lookup(df, "name", mapping, FUELS).collect()}
+    assert got == {"Lennox G1": "gas", "Plant Z": "hydro", "Plant Y": "other"}
+
+
+def test_heading_with_leading_element_counts_children(spark):
+    html = "<h2><span>x</span>Tiered</h2><table><tr><th>Effective date</th><th>A</th></tr><tr><td>May 1, 2024</td><td>1</td></tr></table>"
+    rows = html_tables(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
+    assert len(rows) == 1 and rows[0].headers == ["Effective date", "A"] and rows[0].cells == ["May 1, 2024", "1"]
