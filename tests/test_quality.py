@@ -146,3 +146,24 @@ def test_backfill_ranges(spark):
     ranges = sorted(tuple(r) for r in quality.backfill_ranges(quality.missing_buckets(df, "ts", 3600)).collect())
     H = lambda h: base + dt.timedelta(hours=h)
     assert ranges == [(H(5), H(7), 3), (H(30), H(30), 1), (H(40), H(41), 2)]
+
+
+def test_missing_buckets_and_ranges_match_brute_force(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 2, 27)  # crosses a month end and a leap day
+    for _ in range(3):
+        present = sorted(rnd.sample(range(120), 70))
+        df = spark.createDataFrame([(base + dt.timedelta(hours=h, minutes=rnd.randint(0, 59)),) for h in present], "ts timestamp_ntz")
+        lo, hi = present[0], present[-1]
+        miss = [h for h in range(lo, hi + 1) if h not in set(present)]
+        got = sorted(r.bucket for r in quality.missing_buckets(df, "ts", 3600).collect())
+        assert got == [base + dt.timedelta(hours=h) for h in miss]
+        runs, start = [], None
+        for i, h in enumerate(miss):
+            if start is None:
+                start = h
+            if i + 1 == len(miss) or miss[i + 1] != h + 1:
+                runs.append((base + dt.timedelta(hours=start), base + dt.timedelta(hours=h), h - start + 1))
+                start = None
+        ranges = sorted(tuple(r) for r in quality.backfill_ranges(quality.missing_buckets(df, "ts", 3600)).collect())
+        assert ranges == runs
