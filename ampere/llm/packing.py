@@ -145,6 +145,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = splitter(pattern)
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.known: dict[str, bytes] = {}
         self.most = most
 
@@ -154,11 +155,20 @@ class Encoder:
         if len(self.known) + len(new) > self.most:
             self.known.clear()
             new = list(set(chain.from_iterable(pieces)))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids = e.ids
-                self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
+        # many pre-tokens go through the tokenizer as lines of one text; those that hold line feeds do not
+        lines = [p for p in new if "\n" not in p and not p.endswith(" ")]
+        for at in range(0, len(lines), 2000):
+            part = lines[at : at + 2000]
+            ids = np.array(self.tokenizer.encode("\n".join(part) + "\n", add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.line_feed)
+            if len(ends) == len(part):
+                raw, at = ids.tobytes(), 0
+                for p, e in zip(part, ends.tolist()):
+                    self.known[p] = raw[at : 4 * e]
+                    at = 4 * e + 4
+        rest = [p for p in new if p not in self.known]
+        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
 
 
