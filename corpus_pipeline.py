@@ -5,14 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampere.llm import packing, substring
+from ampere.llm import neardup, packing, pii, quality, substring
 from ampere.llm.base import materialize
 
 STAGES = [
+    ("quality", quality.stage),
+    ("minhash", neardup.stage),
     ("substring", substring.stage),
+    ("pii", pii.stage),
     ("packing", packing.stage),
 ]
 
+#: The quality model and the alignment have no SQL form; the stages are tested
+#: against brute-force versions.
 ORACLE_SQL = None
 
 
