@@ -86,31 +86,35 @@ def pack(examples: list[Example], opened: Sequence, limits: Limits, cut: bool) -
             start += length
         if start < n:
             items.append((e, start))
+    placed = 0
     demand = np.array([(len(e) - s, 1, _loss(e, s, len(e) - s)) for e, s in items], dtype=np.float64).reshape(-1, 3)
-    weighted = demand / caps * (demand.sum(axis=0) / caps)
-    alive = np.ones(len(items), dtype=bool)
-    seq, remaining = opened, len(items)
-    while remaining:
+    scarce = demand.sum(axis=0) / caps**2
+    demand = np.ascontiguousarray(demand.T)  # one row per limit
+    seq = opened
+    while items:
         left = seq.left()
-        score = weighted @ (left / caps)
-        score[~(alive & (demand <= left).all(axis=1))] = -1
+        score = (scarce * left / caps) @ demand
+        score[(demand[0] > left[0]) | (demand[1] > left[1]) | (demand[2] > left[2])] = -1
         i = int(score.argmax())
         if score[i] >= 0:
             e, s = items[i]
             seq.add(e, s, len(e) - s)
-            alive[i] = False
-            remaining -= 1
+            demand[0, i] = np.inf  # placed: fits nowhere else
+            placed += 1
+            if 2 * placed > len(items):
+                keep = np.flatnonzero(np.isfinite(demand[0]))
+                items, demand, placed = [items[j] for j in keep], np.ascontiguousarray(demand[:, keep]), 0
             continue
         if cut and left.min() > 0:
-            i = int(np.where(alive, demand[:, 0], -1).argmax())
+            i = int(np.where(np.isfinite(demand[0]), demand[0], -1).argmax())
             e, s = items[i]
             length = int(min(left[0], len(e) - s))
             length -= max(0, _loss(e, s, length) - int(left[2]))
             if length > 0:
                 seq.add(e, s, length)
-                items[i] = (e, s + length)
-                demand[i] = (len(e) - s - length, 1, _loss(e, s + length, len(e) - s - length))
-                weighted[i] = demand[i] / caps * (weighted.sum(axis=0) / np.maximum(demand.sum(axis=0) / caps, 1e-12))
+                s += length
+                items[i] = (e, s)
+                demand[:, i] = len(e) - s, 1, _loss(e, s, len(e) - s)
                 if seq.tokens < limits.tokens:
                     continue
         yield seq
@@ -139,7 +143,7 @@ class Encoder:
     """Ids of whole texts; those of each pre-token come from the tokenizer
     once and are remembered, as the vocabulary never joins pre-tokens."""
 
-    def __init__(self, path: str, pattern: str, most: int = 400_000):
+    def __init__(self, path: str, pattern: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
