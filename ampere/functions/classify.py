@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ampere.functions.numeric import strip
 from ampere.functions.util import as_col
 
 Rules = Sequence[tuple[str, Sequence[str]]]
@@ -40,7 +41,7 @@ FUEL_RULES: Rules = [
 
 def name_key(c) -> Column:
     """Dictionary key of a name: strip + upper (F1)."""
-    return F.upper(F.trim(as_col(c)))
+    return F.upper(strip(as_col(c)))
 
 
 def classify(c, rules: Rules = FUEL_RULES, default: str = "other") -> Column:

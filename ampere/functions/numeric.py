@@ -67,28 +67,29 @@ def coalesce0(c) -> Column:
     return F.coalesce(as_col(c).cast("double"), F.lit(0.0))
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Order-independent sum of values with at most ``scale`` decimals.
-
-    Each value is scaled to an integer count of 10^-scale units (``rint``:
-    values already on that grid are within float error of an integer), the
-    longs are summed exactly, and the total is divided once by 10^scale —
-    the correctly rounded double of the exact decimal sum, whatever the
-    summation order. Long sums stay in whole-stage codegen (a decimal(38)
-    sum would go through BigDecimal per row)."""
-    if isinstance(c, str):
-        return F.expr(exact_sum_sql(f"`{c}`", scale))
-    unit = float(10**scale)
-    scaled = F.rint(as_col(c).cast("double") * F.lit(unit)).cast("long")
-    return F.sum(scaled).cast("double") / F.lit(unit)
-
-
-def exact_avg(c, scale: int = 2) -> Column:
+#: Decimals that are summed exactly.
+EXACT_SCALE = 6
+
+
+def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
+    """Sum that does not depend on the order of its values where they allow it.
+
+    Values that a decimal of ``scale`` decimals holds without loss are summed
+    as decimals. If a group has any other value (more decimals, NaN, an
+    infinity, a magnitude beyond the decimal's), the group's sum is the plain
+    double sum; nothing is rounded and nothing fails."""
+    return F.expr(exact_sum_sql(f"`{c}`", scale)) if isinstance(c, str) else _exact_sum(as_col(c).cast("double"), scale)
+
+
+def _exact_sum(d: Column, scale: int) -> Column:
+    q = d.try_cast(f"decimal(38,{scale})")
+    lossy = F.max(F.when(d.isNotNull(), q.isNull() | (q.cast("double") != d)))
+    return F.when(lossy, F.sum(d)).otherwise(F.coalesce(F.try_sum(q).cast("double"), F.sum(d)))
+
+
+def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
     """Average built from :func:`exact_sum` and a count of non-null values."""
-    if isinstance(c, str):
-        return F.expr(exact_avg_sql(f"`{c}`", scale))
-    c = as_col(c)
-    return exact_sum(c, scale) / F.count(c).cast("double")
+    return F.expr(exact_avg_sql(f"`{c}`", scale)) if isinstance(c, str) else exact_sum(c, scale) / F.count(as_col(c)).cast("double")
 
 
 # SQL-text forms of the same expressions, for wide projections built with
@@ -96,12 +97,14 @@ def exact_avg(c, scale: int = 2) -> Column:
 # Column function). They compute exactly what the Column forms compute.
 
 
-def exact_sum_sql(expr: str, scale: int = 2) -> str:
-    unit = f"{float(10**scale)!r}D"
-    return f"(CAST(sum(CAST(rint(CAST({expr} AS DOUBLE) * {unit}) AS BIGINT)) AS DOUBLE) / {unit})"
+def exact_sum_sql(expr: str, scale: int = EXACT_SCALE) -> str:
+    d = f"CAST({expr} AS DOUBLE)"
+    q = f"TRY_CAST({d} AS DECIMAL(38,{scale}))"
+    lossy = f"max(CASE WHEN {d} IS NOT NULL THEN {q} IS NULL OR CAST({q} AS DOUBLE) <> {d} END)"
+    return f"(CASE WHEN {lossy} THEN sum({d}) ELSE coalesce(CAST(try_sum({q}) AS DOUBLE), sum({d})) END)"
 
 
-def exact_avg_sql(expr: str, scale: int = 2) -> str:
+def exact_avg_sql(expr: str, scale: int = EXACT_SCALE) -> str:
     return f"({exact_sum_sql(expr, scale)} / CAST(count({expr}) AS DOUBLE))"
 
 

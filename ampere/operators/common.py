@@ -3,25 +3,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast explicitly. Above it the join is left to
-# Catalyst/AQE (sort-merge, or a runtime broadcast when the shuffled side
-# turns out small).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, probe: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint behind a checked size bound.
-
-    The check counts at most ``max_rows + 1`` rows of ``probe`` (default
-    ``df``) — a job that stops reading once the bound is exceeded. ``probe``
-    may be any frame with at least as many rows as ``df`` that is cheaper to
-    read (for example the raw batch before a distinct), so the bound is
-    proven without computing ``df`` twice. Use it only for dimension-like
-    inputs; a fact table never goes through it.
-    """
-    n = (probe if probe is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def require_non_null(df: DataFrame, cols: list[str], what: str = "key") -> DataFrame:
     """Fail the query at run time if any of ``cols`` is NULL (no extra job)."""

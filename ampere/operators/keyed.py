@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampere.operators.common import broadcast_if_small, require_non_null
+from ampere.operators.common import require_non_null
 
 PRIORITY = "_priority"
 
@@ -81,16 +81,19 @@ def upsert(
 ) -> DataFrame:
     """Keyed merge (K1): each batch row replaces the stored row with its key.
 
-    ``batch_order`` (latest first) resolves several batch rows with one key.
+    ``batch_order`` (latest first) resolves several batch rows with one key;
+    without it the row of least hash stays, so a repeated run keeps the same.
     """
-    keys = list(keys)
-    b = dedupe_latest(batch, keys, batch_order) if batch_order else batch
-    # the raw batch bounds its distinct keys: proven without a shuffle
-    bkeys = broadcast_if_small(b.select(*keys).distinct(), probe=batch.select(*keys))
-    kept = target.join(bkeys, keys, "left_anti")
+    b = one_per_key(batch, keys, batch_order)
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
     return kept.unionByName(b, allowMissingColumns=True)
 
 
+def one_per_key(batch: DataFrame, keys: Sequence[str], batch_order: Sequence | None = None) -> DataFrame:
+    """One batch row per key, by ``batch_order`` or else by hash."""
+    return dedupe_latest(batch, list(keys), batch_order or [F.xxhash64(*batch.columns)])
+
+
 def not_in(batch: DataFrame, target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
     """``batch WHERE key NOT IN (SELECT target_key FROM target)`` (J2), null-aware:
     one NULL in the target empties the result; a NULL batch key survives only

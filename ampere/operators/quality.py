@@ -183,7 +183,7 @@ def missing_buckets(
     all_b = days.select(
         *by, "_lo", "_hi", F.explode(F.sequence(F.col("_day"), day_end, step)).alias("bucket")
     ).where((F.col("bucket") >= F.col("_lo")) & (F.col("bucket") <= F.col("_hi")))
-    present = df.select(*by, trunc_ntz(unit, F.col(ts)).alias("bucket")).where(F.col("bucket").isNotNull())
+    present = df.select(*by, trunc_ntz(unit, F.col(ts)).alias("bucket")).where(F.col("bucket").isNotNull()).distinct()
     return all_b.select(*by, "bucket").join(present, [*by, "bucket"], "left_anti")
 
 
@@ -195,7 +195,8 @@ def backfill_ranges(missing: DataFrame, bucket: str = "bucket", step_seconds: in
     by = list(by)
     w = Window.partitionBy(*by).orderBy(bucket)
     rn = F.row_number().over(w)
-    island = F.timestamp_add("SECOND", -(rn * F.lit(step_seconds)).cast("int"), F.col(bucket))
+    back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (rn.cast("long") * F.lit(step_seconds)).cast("decimal(18,6)"))
+    island = F.col(bucket) - back
     g = missing.select(*by, bucket, island.alias("_island"))
     return g.groupBy(*by, "_island").agg(
         F.min(bucket).alias("range_start"), F.max(bucket).alias("range_end"), F.count(F.lit(1)).alias("buckets")

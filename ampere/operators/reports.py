@@ -12,9 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampere.functions.numeric import exact_avg, exact_avg_sql, round_half_away, round_half_away_sql
+from ampere.functions.numeric import EXACT_SCALE, exact_avg, exact_avg_sql, round_half_away, round_half_away_sql
 from ampere.functions.time import trunc_ntz
-from ampere.operators.common import broadcast_if_small
 
 
 def _lit_ts(x) -> Column:
@@ -70,7 +69,7 @@ def avg_by(
     ts: str,
     measures: dict[str, str],
     digits: int | None = None,
-    exact_scale: int | None = 2,
+    exact_scale: int | None = EXACT_SCALE,
     out_key: str | None = None,
 ) -> DataFrame:
     """Average per time bucket (A5–A7). ``measures`` maps output name → column.
@@ -112,6 +111,5 @@ def latest_per_category(df: DataFrame, cat_col: str, date_col: str) -> DataFrame
     one row per category) joined back — not a window over the category, which
     would put a hot category's rows in one task."""
     latest = df.groupBy(cat_col).agg(F.max(date_col).alias("_latest"))
-    latest = broadcast_if_small(latest)
     j = df.join(latest, (df[cat_col].eqNullSafe(latest[cat_col])) & (df[date_col] == latest["_latest"]), "left_semi")
     return j

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ampere.functions.classify import FUEL_RULES, Rules, classify, name_key, to_known_class
 from ampere.functions.numeric import exact_sum, exact_sum_sql
-from ampere.operators.common import broadcast_if_small
 
 
 def melt(
@@ -93,14 +92,13 @@ def classify_lookup(
 ) -> DataFrame:
     """Mapped class, else the rule-inferred class; unknown classes → 'other' (J4).
 
-    ``mapping`` must already be unique per key (``unique_mapping``); it is a
-    dictionary, broadcast behind a size check. An empty mapped class falls
+    ``mapping`` must already be unique per key (``unique_mapping``); the
+    join is left to the byte threshold and to run-time re-planning. An empty mapped class falls
     through to the rules, as an ``or`` would."""
     inferred = classify(F.col(name_col), rules)
     if mapping is None:
         return df.withColumn(out, to_known_class(inferred, classes))
-    m = broadcast_if_small(mapping)
-    joined = df.join(m, name_key(F.col(name_col)) == F.col("_mkey"), "left")
+    joined = df.join(mapping, name_key(F.col(name_col)) == F.col("_mkey"), "left")
     cls = F.coalesce(F.nullif(F.col("_mclass"), F.lit("")), inferred)
     return joined.withColumn(out, to_known_class(cls, classes)).drop("_mkey", "_mclass")
 

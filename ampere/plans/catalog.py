@@ -134,7 +134,7 @@ def q_round(expr: str, n: int) -> str:
 
 
 def q_exact_sum(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def q_exact_avg(expr: str) -> str:

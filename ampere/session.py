@@ -63,10 +63,9 @@ def build_session(
 def apply_core_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of ``CORE_CONF`` to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
+        # a static setting of a running session stays as it is
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
 
 
 MB = 1024 * 1024
@@ -104,20 +103,16 @@ def apply_cluster_conf(spark: SparkSession, input_bytes: int) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we create one of our own, under a
-    fresh ``mktemp -d`` style folder.
+    Only where it is unset in a local session do we create one of our own; on
+    a cluster executors could not read it, so there its absence is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ampere-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table next to the checkpoints (shared storage)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"

@@ -11,7 +11,9 @@ There is no MERGE on plain Parquet, so a keyed upsert is:
    partition overwrite, so untouched partitions stay as they are.
 
 Step 3 is also what makes self-overwrite safe: the DataFrame written in step
-4 no longer reads the target's files.
+4 no longer reads the target's files. Step 4 itself is not atomic: if the
+driver is lost while it runs, the merged rows are still in the staging folder
+next to the table, and writing them again completes the merge.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampere.operators.common import broadcast_if_small
-from ampere.operators.keyed import new_rows_absent, upsert
+from ampere.operators.keyed import new_rows_absent, one_per_key, upsert
 from ampere.operators.quality import enforce_schema
 
 
@@ -40,11 +41,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table exists when its folder holds a success marker or data files."""
+    """A table exists when its folder holds a success marker, a declared
+    schema or data."""
     if not path_exists(spark, path):
         return False
     fs, p = _fs(spark, path)
-    return len(fs.listStatus(p)) > 0
+    return any(not f.getPath().getName().startswith(".") for f in fs.listStatus(p))
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
 
 
 def _staging(path: str) -> str:
@@ -60,47 +67,49 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """Create an empty table with ``schema`` when none exists (K3)."""
+    """Create an empty table with ``schema`` when none exists (K3). A
+    partitioned one has no folder to hold a file yet, so its schema is kept
+    in ``_schema``, which readers of the data skip."""
     if table_exists(spark, path):
         return
-    w = spark.createDataFrame([], schema).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    empty = spark.createDataFrame([], schema).write.mode("overwrite")
+    empty.parquet(path.rstrip("/") + "/_schema" if partition_by else path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(path)
-
-
-# Most partition values we turn into a literal partition filter.
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
-def touched_partitions(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Restrict ``target`` to the partitions ``batch`` touches.
-
-    The touched values are partition metadata (one row per partition, read
-    with a bound): as literals they become a static partition filter, so the
-    scan lists only those folders. Past the bound, a semi join on the
-    partition columns does the same job without pruning the listing."""
-    vals = batch.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(vals) > MAX_TOUCHED_PARTITIONS:
-        touched = broadcast_if_small(batch.select(*partition_by).distinct())
-        return target.join(touched, partition_by, "left_semi")
-    if not vals:
-        return target.limit(0)
-    cond = None
-    for row in vals:
-        term = None
-        for c in partition_by:
-            v = row[c]
-            t = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
-            term = t if term is None else (term & t)
-        cond = term if cond is None else (cond | term)
+    return r.parquet(path if _has_data(spark, path) else path.rstrip("/") + "/_schema")
+
+
+def stored_partitions(spark: SparkSession, path: str, partition_by: Sequence[str]) -> list[tuple[str | None, ...]]:
+    """The partitions of a table by its folders: metadata, no Spark job."""
+    from urllib.parse import unquote
+
+    found = [((), path.rstrip("/"))]
+    for c in partition_by:
+        deeper = []
+        for values, folder in found:
+            fs, p = _fs(spark, folder)
+            for f in fs.listStatus(p):
+                name, _, value = f.getPath().getName().partition("=")
+                if name == c:
+                    value = None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
+                    deeper.append(((*values, value), f.getPath().toString()))
+        found = deeper
+    return [values for values, _ in found]
+
+
+def touched_partitions(target: DataFrame, touched: Sequence[tuple[str | None, ...]], partition_by: Sequence[str]) -> DataFrame:
+    """Restrict ``target`` to some partitions by a filter on literals, so that
+    the scan lists only their folders."""
+    cond = F.lit(False)
+    for values in touched:
+        term = F.lit(True)
+        for c, v in zip(partition_by, values):
+            term = term & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v).cast(target.schema[c].dataType))
+        cond = cond | term
     return target.filter(cond)
 
 
@@ -113,33 +122,45 @@ def upsert_table(
     batch_order: Sequence | None = None,
     schema: T.StructType | None = None,
 ) -> None:
-    """Keyed merge of ``batch`` into the Parquet table at ``path`` (K1)."""
+    """Keyed merge of ``batch`` into the Parquet table at ``path`` (K1).
+
+    The first load goes through the same deduplication as later ones. The
+    batch is computed once, into a staging table. Where a key of the batch is
+    stored in another partition than the batch's, the whole table is rewritten
+    so that the old row goes; else only the touched partitions are. Columns
+    new in the batch are added, and are NULL in stored rows.
+    """
+    keys, partition_by = list(keys), list(partition_by)
     if schema is not None:
         batch = enforce_schema(batch, schema, mode="by_name")
-    if not table_exists(spark, path):
-        w = batch.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return
-    target = spark.read.parquet(path)
-    if partition_by:
-        target = touched_partitions(target, batch, list(partition_by))
-    merged = upsert(target, batch, keys, batch_order).select(*spark.read.parquet(path).columns)
-    stage = _staging(path)
-    w = merged.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(stage)
-    staged = spark.read.parquet(stage)
-    if partition_by:
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *partition_by
-        ).parquet(path)
+    fresh = _staging(path)
+    _write(one_per_key(batch, keys, batch_order), fresh, partition_by)
+    batch = spark.read.schema(batch.schema).parquet(fresh).select(*batch.columns)
+    stage = None
+    if not table_exists(spark, path) or not _has_data(spark, path):
+        _write(batch, path, partition_by)
     else:
-        staged.write.mode("overwrite").parquet(path)
-    fs, p = _fs(spark, stage)
-    fs.delete(p, True)
+        target = spark.read.parquet(path)
+        whole = not partition_by
+        if not set(partition_by) <= set(keys) and partition_by:
+            stored = target.join(batch.select(*keys), keys, "left_semi").select(*keys, *[c for c in partition_by if c not in keys])
+            same = batch.select(*keys, *[c for c in partition_by if c not in keys])
+            whole = not stored.exceptAll(same).isEmpty()
+        if not whole:
+            target = touched_partitions(target, stored_partitions(spark, fresh, partition_by), partition_by)
+        merged = upsert(target, batch, keys)
+        stage = _staging(path)
+        _write(merged, stage, partition_by)
+        staged = spark.read.parquet(stage).select(*merged.columns)
+        _write(staged, path, partition_by, "static" if whole else "dynamic")
+    fs, _ = _fs(spark, path)
+    for done in filter(None, (fresh, stage)):
+        fs.delete(_fs(spark, done)[1], True)
+
+
+def _write(df: DataFrame, path: str, partition_by: list[str], overwrite: str = "static") -> None:
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def insert_absent_table(
@@ -148,22 +169,20 @@ def insert_absent_table(
     batch: DataFrame,
     keys: Sequence[str],
     schema: T.StructType | None = None,
-) -> int | None:
+    partition_by: Sequence[str] = (),
+    batch_order: Sequence | None = None,
+) -> None:
     """Create-if-absent, then append batch rows whose key is not stored yet,
-    by column name (K3 + K4). Existing rows win; absent columns are NULL."""
-    ensure_table(spark, path, schema or batch.schema)
-    target = spark.read.parquet(path)
-    new = new_rows_absent(target, batch, keys)
-    cols = target.columns
+    one per key, by column name (K3 + K4). Existing rows win; absent columns
+    are NULL. An append only adds files, so the table may be read meanwhile."""
+    ensure_table(spark, path, schema or batch.schema, partition_by)
+    target = read_table(spark, path)
+    new = new_rows_absent(target, one_per_key(batch, list(keys), batch_order), keys)
     aligned = new.select(
-        *[(F.col(c) if c in new.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in cols]
+        *[(F.col(c) if c in new.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
     )
-    stage = _staging(path)
-    aligned.write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).write.mode("append").parquet(path)
-    fs, p = _fs(spark, stage)
-    fs.delete(p, True)
-    return None
+    w = aligned.write.mode("append")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def export_sorted(df: DataFrame, path: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:

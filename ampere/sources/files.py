@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampere.functions.text import normalize_header_name
-from ampere.operators.common import broadcast_if_small
 from ampere.functions.time import hour_ending_to_start
 
 # Junk columns of some yearly plant workbooks, by year.
@@ -74,10 +73,6 @@ def select_present(df: DataFrame, cols: Sequence[str], absent_type: str = "doubl
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(absent_type).alias(c) for c in cols])
 
 
-# Widest fuel-mix layout we accept (columns beyond it are ignored).
-FUEL_CSV_MAX_COLS = 64
-
-
 def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str]) -> DataFrame:
     """Monthly fuel-mix CSVs → (timestamp, fuels..., other NULL).
 
@@ -85,7 +80,7 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
     column added or dropped), and Spark's CSV reader would apply the first
     file's header to all files. So every file is read header-less, as rows of
     strings tagged with their file, and each data row is matched with the
-    header row of its own file (the row whose first cell is ``Date``): a
+    header row of its own file (the row with a ``Date`` and an ``Hour`` cell): a
     fuel's value is the cell at the fuel's position in that header. All of
     it is one distributed scan plus a join on the file path; no per-file
     work on the driver. Missing files are skipped; none gives an empty
@@ -99,18 +94,20 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
     found = existing_paths(spark, paths)
     if not found:
         return empty_frame(spark, out_schema)
-    n = FUEL_CSV_MAX_COLS
+    # as many cells as the widest line can hold; commas within quotes only add to it
+    n = spark.read.text(found).agg(F.max(F.size(F.split("value", ","))).alias("n")).first()["n"] or 1
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
     raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(found)
     cells = F.array(*[F.col(f"_c{i}") for i in range(n)])
     rows = raw.select(F.col("_metadata.file_path").alias("_file"), cells.alias("_cells"))
     norm = lambda c: F.replace(F.lower(F.trim(c)), F.lit(" "), F.lit("_"))  # noqa: E731  (S2 on cells)
-    is_header = norm(F.col("_cells")[0]) == F.lit("date")
+    is_header = F.exists("_cells", lambda c: norm(c) == "date") & F.exists("_cells", lambda c: norm(c) == "hour")
+    is_header = F.coalesce(is_header, F.lit(False))
     headers = rows.where(is_header).select(
-        "_file", F.transform(F.filter("_cells", lambda c: c.isNotNull()), norm).alias("_names")
+        "_file", F.transform("_cells", lambda c: F.coalesce(norm(c), F.lit(""))).alias("_names")
     )
-    headers = broadcast_if_small(headers.dropDuplicates(["_file"]))
-    data = rows.where(~is_header & F.col("_cells")[0].isNotNull()).join(headers, "_file")
+    headers = headers.dropDuplicates(["_file"])
+    data = rows.where(~is_header & F.exists("_cells", lambda c: c.isNotNull())).join(headers, "_file")
 
     def cell(name: str):
         pos = F.array_position("_names", F.lit(name))

@@ -179,3 +179,16 @@ def test_exact_sum_is_partitioning_independent(spark):
     assert len(results) == 1
     exact = {g: round(sum(int(round(v * 100)) for gg, v in vals if gg == g) / 100, 2) for g in range(5)}
     assert dict(next(iter(results))) == exact
+
+
+def test_exact_sums_keep_small_and_odd_values(spark):
+    import math
+
+    from ampere.functions import exact_avg, exact_sum, name_key
+
+    rows = [("a", 0.004)] * 3 + [("b", 1e17), ("b", 1.0), ("c", float("nan")), ("d", None), ("e", 1e-9), ("e", 1e-9)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.s, r.a) for r in df.groupBy("g").agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).collect()}
+    assert got["a"] == (0.012, 0.012 / 3) and got["b"][0] == 1e17 + 1 and math.isnan(got["c"][0])
+    assert got["d"][0] is None and got["e"][0] == 2e-9
+    assert spark.createDataFrame([("\tPlant\u00a0",)], "n string").select(name_key("n").alias("k")).first().k == "PLANT"

@@ -101,7 +101,7 @@ def test_upsert_table_touches_only_batch_partitions(spark, scratch):
     batch = spark.createDataFrame([(20, "2024-02", -1.0), (99, "2024-02", 9.0)], "k int, month string, v double")
     from ampere.sinks.tables import touched_partitions
 
-    pruned = touched_partitions(spark.read.parquet(path), batch, ["month"])
+    pruned = touched_partitions(spark.read.parquet(path), [("2024-02",)], ["month"])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "= 2024-02" in plan  # static pruning
     upsert_table(spark, path, batch, ["k"], partition_by=["month"])

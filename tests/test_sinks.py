@@ -93,3 +93,35 @@ def test_incremental_merge_prunes_month_partitions(spark, scratch):
     # the cursor bound reaches the batch scan as a partition filter (plan metadata
     # is truncated at 100 characters, so only the predicate's head is checked)
     assert any(">= date_format(" in p for p in parts)
+
+
+def test_upsert_dedupes_first_load_and_moves_partitions(spark, scratch):
+    from ampere.sinks.tables import insert_absent_table, read_table, upsert_table
+
+    path, kind = f"{scratch}/u", "k int, month string, v int"
+    upsert_table(spark, path, spark.createDataFrame([(1, "a", 1), (1, "a", 2), (2, "a", 5), (3, "b", 6)], kind), ["k"], ["month"], ["v DESC"])
+    rows = lambda p: sorted((r.k, r.month, r.v) for r in spark.read.parquet(p).collect())
+    assert rows(path) == [(1, "a", 2), (2, "a", 5), (3, "b", 6)]
+    upsert_table(spark, path, spark.createDataFrame([(3, "c", 7)], kind), ["k"], ["month"])
+    assert rows(path) == [(1, "a", 2), (2, "a", 5), (3, "c", 7)]
+    upsert_table(spark, path, spark.createDataFrame([(2, "a", 8)], kind), ["k"], ["month"])
+    assert rows(path) == [(1, "a", 2), (2, "a", 8), (3, "c", 7)]
+
+    part = f"{scratch}/p"
+    schema = spark.createDataFrame([], kind).schema
+    ensure_table(spark, part, schema, ["month"])
+    assert read_table(spark, part).count() == 0
+    for _ in range(2):
+        insert_absent_table(spark, part, spark.createDataFrame([(1, "a", 1), (1, "a", 1), (2, "b", 2)], kind), ["k"], partition_by=["month"])
+    assert rows(part) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_upsert_plan_runs_no_job(spark):
+    from ampere.operators.keyed import upsert
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    df = spark.range(10).selectExpr("id AS k", "id AS v")
+    upsert(df, df, ["k"])
+    assert len(tracker.getJobIdsForGroup("plan")) == 0
+    spark.sparkContext.setJobGroup("none", "none")

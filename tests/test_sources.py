@@ -229,3 +229,17 @@ def test_heading_with_leading_element_counts_children(spark):
     html = "<h2><span>x</span>Tiered</h2><table><tr><th>Effective date</th><th>A</th></tr><tr><td>May 1, 2024</td><td>1</td></tr></table>"
     rows = html_tables(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
     assert len(rows) == 1 and rows[0].headers == ["Effective date", "A"] and rows[0].cells == ["May 1, 2024", "1"]
+
+
+def test_fuel_csv_wide_blank_header_and_date_not_first(spark, scratch):
+    import os
+
+    from ampere.sources.files import scan_fuel_csv
+
+    os.makedirs(f"{scratch}/f")
+    extra = [f"x{i}" for i in range(70)]
+    with open(f"{scratch}/f/a.csv", "w") as f:
+        f.write(",".join(["Hour", "Date", "", *extra, "Nuclear"]) + "\n")
+        f.write(",".join(["1", "2024-05-01", "", *["0"] * 70, "12.5"]) + "\n")
+    rows = scan_fuel_csv(spark, [f"{scratch}/f/a.csv"], ["nuclear"]).collect()
+    assert [(str(r.timestamp), r.nuclear) for r in rows] == [("2024-05-01 00:00:00", 12.5)]
