@@ -247,11 +247,11 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat it, one. Texts without words all stay."""
     groups = near_duplicates(docs)
     first = groups.where("id = class_id").groupBy("id").agg(F.min("key").alias("key"))
-    tagged = docs.select("*", *[c.alias(f"__{n}") for n, c in zip(("id", "key"), _ids(docs, "doc_id", "text"))])
-    out = tagged.join(groups.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.lit(True).alias("__grouped")), ["__id", "__key"], "left")
-    keep = first.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.lit(True).alias("__first"))
-    out = out.join(keep, ["__id", "__key"], "left").where("__first or __grouped is null")
-    repeated = docs.select(*_ids(docs, "doc_id", "text")[:2]).groupBy("id", "key").count().where("count > 1")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    tagged = docs.select(row, *_ids(docs, "doc_id", "text")[:2])
+    marks = groups.select("id", "key", F.lit(True).alias("grouped")).join(first.withColumn("first", F.lit(True)), ["id", "key"], "left")
+    out = tagged.join(marks, ["id", "key"], "left").where("first or grouped is null")
+    repeated = tagged.groupBy("id", "key").count().where("count > 1")
     if not repeated.isEmpty():
-        out = out.where("__first").dropDuplicates(["__id"]).unionByName(out.where("__first is null"))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+        out = out.where("first").dropDuplicates(["id"]).unionByName(out.where("first is null"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

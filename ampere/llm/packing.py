@@ -70,6 +70,10 @@ def _loss(e: Example, start: int, length: int) -> int:
     return max(0, start + length - max(start, e.quiet))
 
 
+#: The demand of a placed example, which fits nowhere else.
+_PLACED = 1e18
+
+
 def pack(examples: list[Example], opened: Sequence, limits: Limits, cut: bool) -> Iterator[Sequence]:
     """Full sequences, and last the one that stays open."""
     caps = np.array([limits.tokens, limits.segments, limits.loss], dtype=np.float64)
@@ -99,14 +103,14 @@ def pack(examples: list[Example], opened: Sequence, limits: Limits, cut: bool) -
         if score[i] >= 0:
             e, s = items[i]
             seq.add(e, s, len(e) - s)
-            demand[0, i] = np.inf  # placed: fits nowhere else
+            demand[0, i] = _PLACED
             placed += 1
             if 2 * placed > len(items):
-                keep = np.flatnonzero(np.isfinite(demand[0]))
+                keep = np.flatnonzero(demand[0] < _PLACED)
                 items, demand, placed = [items[j] for j in keep], np.ascontiguousarray(demand[:, keep]), 0
             continue
         if cut and left.min() > 0:
-            i = int(np.where(np.isfinite(demand[0]), demand[0], -1).argmax())
+            i = int(np.where(demand[0] < _PLACED, demand[0], -1).argmax())
             e, s = items[i]
             length = int(min(left[0], len(e) - s))
             length -= max(0, _loss(e, s, length) - int(left[2]))

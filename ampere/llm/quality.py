@@ -156,20 +156,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> RuleModel:
     return fit(rows[names].to_numpy(np.float64).reshape(-1, len(names)), rows["label"].to_numpy(), names)
 
 
-def scored(docs: DataFrame, model: RuleModel, out: str) -> DataFrame:
-    """``docs`` with the score in ``out``; its other columns as they are."""
-    stats = {n: c.alias(f"__{n}") for n, c in statistics(F.col("text")).items()}
-    names = docs.columns
-    wide = docs.select("*", *stats.values())
-    return wide.select(*[f"`{c}`" for c in names], model.column({n: F.col(f"__{n}") for n in stats}).alias(out))
+def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
+    """``(row, score)``: a struct of the columns of ``docs``, and the score."""
+    stats = statistics(F.col("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    wide = docs.select(row, *[c.alias(n) for n, c in stats.items()])
+    return wide.select("row", model.column({n: F.col(n) for n in stats}).alias("score"))
 
 
 def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
     model = train(docs, labels)
-    return scored(docs.select("doc_id", "text"), model, "score").select(
-        "doc_id",
-        F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+    return scored(docs.select("doc_id", "text"), model).select(
+        "row.doc_id",
+        F.coalesce(fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out"),
         "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
@@ -178,5 +178,5 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is at least the threshold."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    out = scored(docs, model, "__score")
-    return out.where(F.col("__score") >= THRESHOLD).drop("__score")
+    kept = scored(docs, model).where(F.col("score") >= THRESHOLD)
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -104,6 +104,7 @@ def _norms(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def decide(words: list[str], weights: np.ndarray) -> np.ndarray:
     """Sum of the triples' weights over the norm, for each word; 0 for words
     without three letters. Words are taken in pieces of bounded size."""
+    weights = weights * _MIDDLE
     out = np.zeros(len(words))
     for lo in range(0, len(words), 20_000):
         codes, offsets = _codes(words[lo : lo + 20_000])
