@@ -134,22 +134,21 @@ def _linked(classes: DataFrame, d: int, count: int, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(z), pa.array(np.searchsorted(cuts, z))], ["rep", "v", "n", "z", "tile"])
 
     placed = materialize(classes.mapInArrow(lead, "rep bigint, v array<double>, n bigint, z double, tile bigint"), "placed")
-    spans = placed.groupBy("tile").agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.count("*").alias("m")).collect()
+    spans = placed.groupBy("tile").agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.count("*").alias("m")).toPandas().sort_values("tile")
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
-    parts = [(r["tile"], k, r["lo"], r["hi"]) for r in spans for k in range(-(-r["m"] // TILE))]
-    halves = {r["tile"]: -(-r["m"] // TILE) for r in spans}
-    wanted = []
-    for i, (ta, ka, loa, hia) in enumerate(parts):
-        for tb, kb, lob, hib in parts[i:]:
-            if loa <= hib + reach and lob <= hia + reach:
-                p = len(wanted)
-                wanted.append((p, ta, ka, 0, (ta, ka) == (tb, kb)))
-                if (ta, ka) != (tb, kb):
-                    wanted.append((p + 1, tb, kb, 1, False))
-                    wanted[-2] = (p + 1, ta, ka, 0, False)
-    pairs = spark.createDataFrame(wanted, "pair bigint, tile bigint, sub bigint, side int, same boolean")
-    sizes = spark.createDataFrame(sorted(halves.items()), "tile bigint, subs bigint")
-    rows = placed.join(sizes, "tile").withColumn("sub", F.pmod(F.xxhash64("rep"), "subs")).join(pairs, ["tile", "sub"])
+    # tile t holds the parts start[t] to start[t + 1] - 1 and reaches the tiles first[t] to beyond[t] - 1
+    subs = -(-spans["m"].to_numpy() // TILE)
+    start = np.append(0, np.cumsum(subs))
+    beyond = np.searchsorted(spans["lo"].to_numpy(), spans["hi"].to_numpy() + reach, side="right")
+    first = np.searchsorted(beyond, np.arange(len(spans)), side="right")
+    ranges = [[int(x) for x in r] for r in zip(spans["tile"], subs, start, start[first], start[beyond] - 1)]
+    ranges = spark.createDataFrame(ranges, "tile bigint, subs bigint, start bigint, lo bigint, hi bigint")
+    part = (F.col("start") + F.pmod(F.xxhash64("rep"), "subs")).alias("part")
+    rows = placed.join(ranges, "tile").select("rep", "v", "n", part, F.explode(F.sequence("lo", "hi")).alias("with"))
+    rows = rows.select(
+        "rep", "v", "n", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
+        (F.col("part") > F.col("with")).cast("int").alias("side"),
+    )
 
     def one(key, table):
         ids = table.column("rep").to_numpy()
@@ -158,7 +157,7 @@ def _linked(classes: DataFrame, d: int, count: int, least: float) -> DataFrame:
         x = _unit(np.array(table.column("v").to_pylist(), dtype=np.float64).reshape(-1, d)[order])
         side = table.column("side").to_numpy()[order]
         weight = table.column("n").to_numpy()[order].astype(np.float64)
-        same = bool(table.column("same")[0].as_py())
+        same = key[0].as_py() == key[1].as_py()
         left = np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
         links, edges = compare(ids, x, x @ axes, weight, left, right, same, least)
@@ -168,7 +167,7 @@ def _linked(classes: DataFrame, d: int, count: int, least: float) -> DataFrame:
         out["other"] = pd.array([None] * len(hit) + ids[[e[1] for e in edges]].tolist() if edges else [None] * len(hit), dtype="Int64")
         return pa.Table.from_pandas(out, schema=pa.schema([("id", pa.int64()), ("links", pa.float64()), ("other", pa.int64())]), preserve_index=False)
 
-    done = rows.select("pair", "rep", "v", "n", "side", "same").groupBy("pair").applyInArrow(one, "id bigint, links double, other bigint")
+    done = rows.groupBy("i", "j").applyInArrow(one, "id bigint, links double, other bigint")
     return done.select("id", F.when(~F.isnan("links"), F.col("links")).alias("links"), "other")
 
 

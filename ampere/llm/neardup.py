@@ -11,14 +11,19 @@ as wide as that bound needs, so the alignment finds every such pair. Linked
 texts form groups, of which the smallest doc_id stays.
 
 Equal word sequences are one text from the start. A bucket of candidates is
-never expanded into pairs: its members are compared with its smallest one;
-those that do not match are dealt into smaller buckets by further hash
-functions and compared again, so each round's work is linear in the texts.
+never expanded into pairs: its members are compared with its smallest one.
+A bucket with members that did not match stays open: it is dealt into smaller
+buckets by further hash functions, whose members are compared with the
+smallest one that has matched nothing yet. The matched members go along, as
+such a text may be like one of them though not like the first. Each round's
+work is linear in the texts, and rounds go on until no bucket is open.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 from ampere.llm import words as W
 from ampere.llm.base import connected_components, materialize
 
-SHINGLE, LEAST, FUNCTIONS, KEPT, ROUNDS = 5, 0.8, 16, 2, 3
+SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
 _SEEDS = W.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -187,41 +192,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = materialize(
         sketch.groupBy("e1", "e2").agg(F.min(F.struct("id", "key", "n", "bands")).alias("r")).select("e1", "e2", "r.*"), "classes"
     )
-    rows = classes.select("id", F.posexplode("bands").alias("i", "h"), "bands")
+    rows = classes.select("id", "n", F.lit(True).alias("open"), F.posexplode("bands").alias("i", "h"))
 
     def star(rows: DataFrame) -> DataFrame:
-        """Each row with the smallest id of its bucket, for buckets of several."""
+        """Each row with the smallest open id of its bucket, for buckets of
+        several ids."""
+        center = F.min(F.when(F.col("open"), F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))))
         centers = materialize(
-            rows.groupBy("i", "h").agg(F.min("id").alias("c"), F.max("id").alias("z")).where("c < z").select("i", "h", "c"), "centers"
+            rows.groupBy("i", "h").agg(center.alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+            .where("s is not null and lo < hi").select("i", "h", "s.*"),
+            "centers",
         )
         return materialize(rows.join(centers, ["i", "h"]).where("id != c"), "star")
 
     members = star(rows)
-    pairs = materialize(members.select("c", "id").distinct(), "pairs")
-    wanted = pairs.select("id").unionByName(pairs.select(F.col("c").alias("id"))).distinct()
+    wanted = members.select("id").unionByName(members.select(F.col("c").alias("id"))).distinct()
     chosen = classes.select("id", "key").join(wanted, "id")
     texts = materialize(
         chosen.join(base, ["id", "key"]).groupBy("id").agg(F.min("text").alias("text")), "texts"
     )
-    edges = []
-    for r in range(ROUNDS):
+    told = None
+    links = []
+    for r in itertools.count(1):
+        pairs = members.where(F.least("n", "cn") >= F.lit(LEAST) * F.greatest("n", "cn")).select("c", "id").distinct()
+        if told is not None:
+            pairs = pairs.join(told, ["c", "id"], "left_anti")
         both = pairs.join(texts, "id").select("c", "id", F.col("text").alias("t"))
         both = both.join(texts.select(F.col("id").alias("c"), F.col("text").alias("s")), "c")
-        told = materialize(both.select("c", "id", "s", "t").mapInArrow(_verify, "c bigint, id bigint, good boolean"), "told")
-        edges.append(told.where("good").select(F.col("c").alias("a"), F.col("id").alias("b")))
-        if r == ROUNDS - 1:
+        now = materialize(both.select("c", "id", "s", "t").mapInArrow(_verify, "c bigint, id bigint, good boolean"), "told")
+        links.append(now.where("good").select(F.col("c").alias("a"), F.col("id").alias("b")))
+        told = now if told is None else told.unionByName(now)
+        still = F.col("open") & ~F.coalesce("good", F.lit(False))
+        judged = members.join(told, ["c", "id"], "left").select("i", "h", "id", "n", still.alias("open"))
+        left = materialize(judged.join(judged.where("open").select("i", "h").distinct(), ["i", "h"], "left_semi"), "left")
+        if left.isEmpty():
             break
-        failed = members.join(told.where("not good").select("c", "id"), ["c", "id"])
-        at = (F.col("i") + (r + 1)) % FUNCTIONS
-        finer = failed.select("id", "bands", "i", F.xxhash64("h", F.col("bands")[at]).alias("h"))
-        members = star(finer)
-        tried = told.select("c", "id") if r == 0 else tried.unionByName(told.select("c", "id"))
-        pairs = materialize(members.select("c", "id").distinct().join(tried, ["c", "id"], "left_anti"), "pairs")
-        if pairs.isEmpty():
+        at = (F.col("i") + r) % FUNCTIONS
+        finer = left.join(classes.select("id", "bands"), "id").withColumn("h", F.xxhash64("h", F.col("bands")[at]))
+        members = star(finer.select("id", "n", "open", "i", "h"))
+        if members.isEmpty():
             break
-    links = edges[0]
-    for e in edges[1:]:
-        links = links.unionByName(e)
+    links = reduce(DataFrame.unionByName, links)
     # rows of one doc_id with several texts are one document
     shared = sketch.join(classes.select("e1", "e2", F.col("id").alias("rep")), ["e1", "e2"])
     same = shared.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
