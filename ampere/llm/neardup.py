@@ -14,9 +14,10 @@ Equal word sequences are one text from the start. A bucket of candidates is
 never expanded into pairs: its members are compared with its smallest one.
 A bucket with members that did not match stays open: it is dealt into smaller
 buckets by further hash functions, whose members are compared with the
-smallest one that has matched nothing yet. The matched members go along, as
-such a text may be like one of them though not like the first. Each round's
-work is linear in the texts, and rounds go on until no bucket is open.
+smallest ones that have matched nothing yet. The matched members go along, as
+such a text may be like one of them though not like the first. Rounds go on
+until no bucket is open; as each has four times the centres of the one before,
+their number grows with the logarithm of the unlike texts in a bucket.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from ampere.llm import words as W
 from ampere.llm.base import connected_components, materialize
 
 SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
+#: A bucket still open has so many times the centres in each further round.
+MORE = 4
 _SEEDS = W.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -194,18 +197,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     rows = classes.select("id", "n", F.lit(True).alias("open"), F.posexplode("bands").alias("i", "h"))
 
-    def star(rows: DataFrame) -> DataFrame:
-        """Each row with the smallest open id of its bucket, for buckets of
-        several ids."""
-        center = F.min(F.when(F.col("open"), F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))))
-        centers = materialize(
-            rows.groupBy("i", "h").agg(center.alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-            .where("s is not null and lo < hi").select("i", "h", "s.*"),
-            "centers",
+    def star(rows: DataFrame, r: int) -> DataFrame:
+        """Each row with each centre of its bucket, for buckets of several ids:
+        the smallest open id of each of its ``MORE ** r`` parts."""
+        center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))
+        sub = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(MORE**r)).alias("sub")
+        parts = rows.groupBy("i", "h", sub).agg(
+            F.min(F.when(F.col("open"), center)).alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi")
         )
-        return materialize(rows.join(centers, ["i", "h"]).where("id != c"), "star")
+        whole = parts.groupBy("i", "h").agg(F.collect_list("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        centers = materialize(whole.where("size(s) > 0 and lo < hi").select("i", "h", "s"), "centers")
+        met = rows.join(centers, ["i", "h"]).withColumn("center", F.array_contains("s.c", F.col("id")))
+        met = met.select("i", "h", "id", "n", "open", "center", F.explode("s").alias("s")).select("*", "s.c", "s.cn").drop("s")
+        return materialize(met.where("id > c or (id < c and not center)"), "star")
 
-    members = star(rows)
+    members = star(rows, 0)
     wanted = members.select("id").unionByName(members.select(F.col("c").alias("id"))).distinct()
     chosen = classes.select("id", "key").join(wanted, "id")
     texts = materialize(
@@ -222,14 +228,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         now = materialize(both.select("c", "id", "s", "t").mapInArrow(_verify, "c bigint, id bigint, good boolean"), "told")
         links.append(now.where("good").select(F.col("c").alias("a"), F.col("id").alias("b")))
         told = now if told is None else told.unionByName(now)
-        still = F.col("open") & ~F.coalesce("good", F.lit(False))
+        still = F.col("open") & ~F.col("center") & ~F.coalesce("good", F.lit(False))
         judged = members.join(told, ["c", "id"], "left").select("i", "h", "id", "n", still.alias("open"))
+        if r > 1:
+            judged = judged.groupBy("i", "h", "id").agg(F.max("n").alias("n"), F.min("open").alias("open"))
         left = materialize(judged.join(judged.where("open").select("i", "h").distinct(), ["i", "h"], "left_semi"), "left")
         if left.isEmpty():
             break
         at = (F.col("i") + r) % FUNCTIONS
         finer = left.join(classes.select("id", "bands"), "id").withColumn("h", F.xxhash64("h", F.col("bands")[at]))
-        members = star(finer.select("id", "n", "open", "i", "h"))
+        members = star(finer.select("id", "n", "open", "i", "h"), r)
         if members.isEmpty():
             break
     links = reduce(DataFrame.unionByName, links)
