@@ -14,10 +14,11 @@ Equal word sequences are one text from the start. A bucket of candidates is
 never expanded into pairs: its members are compared with its smallest one.
 A bucket with members that did not match stays open: it is dealt into smaller
 buckets by further hash functions, whose members are compared with the
-smallest ones that have matched nothing yet. The matched members go along, as
-such a text may be like one of them though not like the first. Rounds go on
-until no bucket is open; as each has four times the centres of the one before,
-their number grows with the logarithm of the unlike texts in a bucket.
+smallest one that has matched nothing yet. The matched members go along, as
+such a text may be like one of them though not like the first. After four
+such rounds, whose work is linear in the texts, what is still open is compared
+with ever more centres a round until no bucket is open, so the rounds grow with
+the logarithm of the unlike texts in a bucket and none of them is given up.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ from ampere.llm import words as W
 from ampere.llm.base import connected_components, materialize
 
 SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
-#: A bucket still open has so many times the centres in each further round.
-MORE = 4
+#: After the rounds with a single centre, a bucket still open has so many times
+#: the centres in each further round.
+SINGLE, MORE = 4, 4
 _SEEDS = W.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -199,9 +201,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def star(rows: DataFrame, r: int) -> DataFrame:
         """Each row with each centre of its bucket, for buckets of several ids:
-        the smallest open id of each of its ``MORE ** r`` parts."""
+        the smallest open id of each part of it."""
         center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))
-        sub = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(MORE**r)).alias("sub")
+        sub = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(MORE ** max(r - SINGLE + 1, 0))).alias("sub")
         parts = rows.groupBy("i", "h", sub).agg(
             F.min(F.when(F.col("open"), center)).alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi")
         )
@@ -230,7 +232,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         told = now if told is None else told.unionByName(now)
         still = F.col("open") & ~F.col("center") & ~F.coalesce("good", F.lit(False))
         judged = members.join(told, ["c", "id"], "left").select("i", "h", "id", "n", still.alias("open"))
-        if r > 1:
+        if r > SINGLE:
             judged = judged.groupBy("i", "h", "id").agg(F.max("n").alias("n"), F.min("open").alias("open"))
         left = materialize(judged.join(judged.where("open").select("i", "h").distinct(), ["i", "h"], "left_semi"), "left")
         if left.isEmpty():
