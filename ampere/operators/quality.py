@@ -414,6 +414,17 @@ def validation_report(*checks: DataFrame) -> DataFrame:
     return out
 
 
+def publish(df: DataFrame, report: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Write ``df`` to ``path`` unless the report has an error row (C8); returns
+    :func:`gate_exit_code`, 2 meaning that nothing was written."""
+    from ampere.sinks.tables import replace_table
+
+    code = gate_exit_code(report)
+    if code < 2:
+        replace_table(df, path, partition_by)
+    return code
+
+
 def gate_exit_code(report: DataFrame) -> int:
     """2 when any error row exists, 1 for warnings only, else 0 (bounded read)."""
     if report.filter(F.col("severity") == "error").limit(1).count():

@@ -137,10 +137,11 @@ def plants_to_fuels(
     inside one projection: no melt, no join, no shuffle, whatever the width.
     Blank or NULL cells are skipped; a class without cells is 0. Sums run in
     column order, as a row loop over the columns would. ``row_col`` carries
-    the input row id for a first-wins dedupe by timestamp afterwards (A10).
+    the input row order (the input's own column of that name, where it has
+    one) for a first-wins dedupe by timestamp afterwards (A10).
     """
     tot_names = {total_col.upper()} if total_col else set()
-    plant_cols = [c for c in wide.columns if c not in set(id_cols) and c.upper() not in tot_names]
+    plant_cols = [c for c in wide.columns if c not in {*id_cols, row_col} and c.upper() not in tot_names]
     tcol = next((c for c in wide.columns if c.upper() in tot_names), None)
     cls = classify_names(wide.sparkSession, plant_cols, mapping, classes, rules)
 
@@ -159,7 +160,8 @@ def plants_to_fuels(
             expr = F.aggregate(F.array(*members), F.lit(0.0), lambda acc, x: acc + x)
         sums.append(expr.alias(k))
     reported = F.col(f"`{tcol}`").cast("double") if tcol else F.lit(None).cast("double")
-    out = wide.select(*id_cols, F.monotonically_increasing_id().alias(row_col), reported.alias("_reported"), *sums)
+    row = F.col(row_col) if row_col in wide.columns else F.monotonically_increasing_id().alias(row_col)
+    out = wide.select(*id_cols, row, reported.alias("_reported"), *sums)
     return out.withColumn("total", prefer_total("_reported", list(classes))).drop("_reported")
 
 

@@ -17,6 +17,7 @@ from ampere.functions.time import iso_seconds, to_utc_naive
 from ampere.operators.keyed import dedupe_first
 from ampere.operators.reshape import melt, plants_to_fuels
 from ampere.schemas import FUELS
+from ampere.sources.files import ROW
 from ampere.sources.html import html_tables
 
 # Historical readings header → stored column name.
@@ -37,7 +38,7 @@ READINGS_COLUMN_MAP = {
     "Exports (MW)": "exports_mw",
     "Net Import/Exports (MW)": "net_import_exports_mw",
     "Power Generated (MW)": "power_generated_mw",
-    "Ontario Demand (MW)": "demand_mw",
+    "Ontario Demand (MW)": "ontario_demand_mw",
     "Total Emissions (tonnes)": "total_emissions_tonnes",
     "CO2e Intensity (g/kWh)": "co2e_intensity_gco2_per_kwh",
 }
@@ -58,10 +59,14 @@ def rename_keep(df: DataFrame, mapping: dict[str, str], keep: Sequence[str] = ()
     return df.select(*[F.col(k) for k in keep], *cols)
 
 
+def _ordered(hist: DataFrame) -> DataFrame:
+    """With ``_row``, the order for first-wins: the scan's, else the frame's."""
+    return hist if ROW in hist.columns else hist.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def readings_history(hist: DataFrame) -> DataFrame:
     """M7 body: UTC-normalised timestamp, mapped columns, first row per timestamp."""
-    d = hist.withColumn("_row", F.monotonically_increasing_id())
-    d = d.withColumn("timestamp", to_utc_naive(F.col("timestamp")))
+    d = _ordered(hist).withColumn("timestamp", to_utc_naive(F.col("timestamp")))
     d = rename_keep(d, READINGS_COLUMN_MAP, keep=["timestamp", "_row"])
     d = d.select("timestamp", "_row", *[F.col(c).cast("double") for c in d.columns if c not in ("timestamp", "_row")])
     return dedupe_first(d, ["timestamp"], ["_row"]).drop("_row")
@@ -80,13 +85,12 @@ def generation_history(hist: DataFrame, mapping: DataFrame | None) -> DataFrame:
 def rates_history(hist: DataFrame, label_col: str = "rate_type") -> DataFrame:
     """Historical rate CSVs (index = date, one column per rate) → long form;
     first row per (date, type, column). Values already numeric."""
-    ids = ["effective_date", label_col]
-    d = hist.withColumnRenamed(hist.columns[0], "effective_date")
+    ids = ["effective_date", label_col, ROW]
+    d = _ordered(hist).withColumnRenamed(hist.columns[0], "effective_date")
     d = d.withColumn("effective_date", iso_seconds(F.col("effective_date").cast("timestamp_ntz")).substr(1, 10))
     values = [c for c in d.columns if c not in ids]
     long = melt(d, ids, values, "rate_column", "value_cents_per_kwh", value_type="string")
     long = long.withColumn("value_cents_per_kwh", parse_numeric("value_cents_per_kwh"))
-    long = long.withColumn("_row", F.monotonically_increasing_id())
     return dedupe_first(long, ["effective_date", label_col, "rate_column"], ["_row"]).drop("_row")
 
 

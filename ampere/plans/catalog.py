@@ -53,7 +53,7 @@ from ampere.operators import keyed, quality, reports
 from ampere.operators.joins import hourly_full_outer
 from ampere.operators.reshape import classify_lookup, melt, pivot_sum, prefer_total, unique_mapping
 from ampere.sources.files import month_sequence, select_present
-from ampere.sources.html import PARAGRAPH_PATTERN, extract_labelled, html_headings, html_list_items
+from ampere.sources.html import element_texts, extract_labelled, html_headings, html_list_items, links
 from ampere.plans.backfill import rename_keep
 from ampere.schemas import INPUT_TABLES
 
@@ -967,14 +967,22 @@ def empty_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 # ── pages (S11, S12, J5, F9, F10) ────────────────────────────────────────────
 
-_LINKS = """regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', {g})"""
-_PARAS = f"regexp_extract_all(html, '{PARAGRAPH_PATTERN}', 1)"
+_LI = """'(?is)<li(?: [^>]*)?>\\s*<a (?:[^>]* )?href="([^"]*)"[^>]*>(.*?)</a>'"""
+_LINKS = f"list_transform(regexp_extract_all(html, {_LI}, {{g}}), lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))"
+
+
+def q_texts(tag: str) -> str:
+    found = f"regexp_extract_all(html, '(?is)<{tag}(?: [^>]*)?>(.*?)</{tag}>', 1)"
+    return f"list_transform({found}, lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))"
+
+
+_PARAS = q_texts("p")
 
 
 @register(
     "html_headings",
-    """
-WITH a AS (SELECT page_id, regexp_extract_all(html, '<h1>([^<]*)</h1>', 1) AS hs FROM pages),
+    f"""
+WITH a AS (SELECT page_id, {q_texts("h1")} AS hs FROM pages),
 u AS (SELECT page_id, hs, unnest(range(len(hs))) AS i FROM a)
 SELECT page_id, CAST(i AS BIGINT) AS pos, hs[i + 1] AS heading FROM u""",
 )
@@ -1005,8 +1013,8 @@ def zip_arrays(spark: SparkSession, d: str) -> DataFrame:
 
     p = t(spark, d, "pages").select(
         "page_id",
-        F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a></li>'), 1).alias("hrefs"),
-        F.regexp_extract_all("html", F.lit(PARAGRAPH_PATTERN), 1).alias("paras"),
+        links("html")[0].alias("hrefs"),
+        element_texts("html", "p").alias("paras"),
     )
     return posexplode_zip(p, "hrefs", "paras", ["page_id"], names=("href", "para"))
 
@@ -1023,8 +1031,8 @@ FROM a""",
 def pad_rows(spark: SparkSession, d: str) -> DataFrame:
     p = t(spark, d, "pages").select(
         "page_id",
-        F.regexp_extract_all("html", F.lit(r'<li><a href="([^"]*)">([^<]*)</a></li>'), 2).alias("cells"),
-        F.size(F.regexp_extract_all("html", F.lit(PARAGRAPH_PATTERN), 1)).alias("n"),
+        links("html")[1].alias("cells"),
+        F.size(element_texts("html", "p")).alias("n"),
     )
     padded = pad_array("cells", F.col("n"))
     return p.select("page_id", F.size(padded).cast("bigint").alias("n_cells"), F.array_join(padded, "|").alias("joined"))
@@ -1280,4 +1288,4 @@ def conditional_fill_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 # the composite plans (staging, marts, dashboard) register themselves on import
-from ampere.plans import catalog_marts  # noqa: E402,F401
+from ampere.plans import catalog_backfill, catalog_marts  # noqa: E402,F401

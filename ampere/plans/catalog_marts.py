@@ -59,7 +59,7 @@ def readings_raw(ev: DataFrame, bump: float) -> DataFrame:
     e = ev.where("event_type = 'error'")
     vals = {
         "co2e_intensity_gco2_per_kwh": f"value + {bump!r}D",
-        "demand_mw": "CAST(user_id AS DOUBLE)",
+        "ontario_demand_mw": "CAST(user_id AS DOUBLE)",
         "nuclear_mw": f"value + {bump!r}D",
     }
     return e.selectExpr("ts AS timestamp", *[f"{vals.get(c, 'CAST(NULL AS DOUBLE)')} AS {c}" for c in READING_MEASURES])
@@ -68,7 +68,7 @@ def readings_raw(ev: DataFrame, bump: float) -> DataFrame:
 def _q_readings_raw(where: str, bump: str) -> str:
     vals = {
         "co2e_intensity_gco2_per_kwh": f"value{bump}",
-        "demand_mw": "CAST(user_id AS DOUBLE)",
+        "ontario_demand_mw": "CAST(user_id AS DOUBLE)",
         "nuclear_mw": f"value{bump}",
     }
     cols = ", ".join(f"{vals.get(c, 'CAST(NULL AS DOUBLE)')} AS {c}" for c in READING_MEASURES)
@@ -163,7 +163,7 @@ Q_FCT_INT = f"""
 WITH g AS ({Q_FCT_GEN}), gw AS ({Q_STG_READ})
 SELECT coalesce(g.hour, date_trunc('hour', gw.ts)) AS hour,
   g.nuclear_mw, g.gas_mw, g.hydro_mw, g.wind_mw, g.solar_mw, g.biofuel_mw, g.total_mw, g.clean_pct,
-  gw.demand_mw, gw.imports_mw, gw.exports_mw, gw.net_import_exports_mw, gw.total_emissions_tonnes,
+  gw.ontario_demand_mw, gw.imports_mw, gw.exports_mw, gw.net_import_exports_mw, gw.total_emissions_tonnes,
   gw.co2e_intensity_gco2_per_kwh,
   {", ".join(f"gw.{c} AS gw_{c}" for c in _GW)},
   g.hour IS NOT NULL AS has_generation, gw.ts IS NOT NULL AS has_readings

@@ -60,7 +60,7 @@ def load_batch(
             upsert_table(spark, path, data, list(spec.keys), partition_by)
         status, err = "success", None
     except Exception as e:  # noqa: BLE001 — recorded, then re-raised
-        status, err = "failed", str(e)[:1000]
+        status, err = "failed", str(e)
         if run_log:
             log_run(spark, run_log, run_id, source, status, None, time.perf_counter() - t0, err, timestamp=asof)
         raise

@@ -15,7 +15,7 @@ from ampere.sources.files import table_or_empty
 CLEAN_FUELS = ["nuclear", "hydro", "wind", "solar", "biofuel"]
 # Live reading columns carried into the wide fact, in order.
 LIVE_COLS = [
-    "demand_mw",
+    "ontario_demand_mw",
     "imports_mw",
     "exports_mw",
     "net_import_exports_mw",
@@ -35,7 +35,12 @@ def fct_generation(stg: DataFrame) -> DataFrame:
     )
 
 
-def fct_intensity(fct_gen: DataFrame, stg_read: DataFrame, strategy: str = "split") -> DataFrame:
+def fct_intensity(
+    fct_gen: DataFrame,
+    stg_read: DataFrame,
+    strategy: str = "split",
+    flags: tuple[str, str] = ("has_generation", "has_readings"),
+) -> DataFrame:
     left = fct_gen.select(
         "hour", *[f"{f}_mw" for f in ["nuclear", "gas", "hydro", "wind", "solar", "biofuel"]], "total_mw", "clean_pct"
     )
@@ -54,8 +59,8 @@ def fct_intensity(fct_gen: DataFrame, stg_read: DataFrame, strategy: str = "spli
         "ts",
         right_cols=[*LIVE_COLS, *gw],
         rename=rename,
-        left_flag="has_generation",
-        right_flag="has_readings",
+        left_flag=flags[0],
+        right_flag=flags[1],
         strategy=strategy,
     )
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 from ampere.functions.text import normalize_header_name
 from ampere.functions.time import hour_ending_to_start
 
+#: Column that orders the rows of a scan by file and position.
+ROW = "_row"
 # Junk columns of some yearly plant workbooks, by year.
 QUIRK_COLUMNS = {2010: "Unnamed: 2", 2011: "Unnamed: 2", 2012: "a"}
 # The three eras of the generation source.
@@ -73,7 +76,7 @@ def select_present(df: DataFrame, cols: Sequence[str], absent_type: str = "doubl
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(absent_type).alias(c) for c in cols])
 
 
-def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str]) -> DataFrame:
+def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str], on_bad: str = "raise") -> DataFrame:
     """Monthly fuel-mix CSVs → (timestamp, fuels..., other NULL).
 
     The column layout may drift from file to file (padded headers, a fuel
@@ -84,7 +87,10 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
     fuel's value is the cell at the fuel's position in that header. All of
     it is one distributed scan plus a join on the file path; no per-file
     work on the driver. Missing files are skipped; none gives an empty
-    typed frame; a fuel absent from a file is NULL.
+    typed frame; a fuel absent from a file is NULL. A line of one
+    filled cell is a note and left out. Any other row whose date or hour does
+    not parse, or whose file has no such header, fails the query; with
+    ``on_bad="drop"`` it is left out too.
     """
     out_schema = T.StructType(
         [T.StructField("timestamp", T.TimestampNTZType())]
@@ -103,21 +109,24 @@ def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str
     norm = lambda c: F.replace(F.lower(F.trim(c)), F.lit(" "), F.lit("_"))  # noqa: E731  (S2 on cells)
     is_header = F.exists("_cells", lambda c: norm(c) == "date") & F.exists("_cells", lambda c: norm(c) == "hour")
     is_header = F.coalesce(is_header, F.lit(False))
+    filled = F.size(F.filter("_cells", lambda c: F.trim(c) != ""))
     headers = rows.where(is_header).select(
         "_file", F.transform("_cells", lambda c: F.coalesce(norm(c), F.lit(""))).alias("_names")
     )
     headers = headers.dropDuplicates(["_file"])
-    data = rows.where(~is_header & F.exists("_cells", lambda c: c.isNotNull())).join(headers, "_file")
+    data = rows.where(~is_header & (filled != 0)).join(headers, "_file", "left")
 
     def cell(name: str):
         pos = F.array_position("_names", F.lit(name))
         return F.when(pos > 0, F.try_element_at("_cells", pos.cast("int")))
 
-    # lenient: a row whose date or hour does not parse (a footer note, junk) is dropped
     ts = hour_ending_to_start(
         F.try_to_timestamp(F.trim(cell("date"))).cast("date"), F.trim(cell("hour")).try_cast("int")
     )
     vals = [F.nullif(F.trim(cell(f)), F.lit("")).cast("double").alias(f) for f in fuels]
+    if on_bad == "raise":
+        line = F.concat(F.lit("no date and hour in "), F.col("_file"), F.lit(": "), F.concat_ws(",", "_cells"))
+        ts = F.coalesce(ts, F.when(filled > 1, F.raise_error(line).cast("timestamp_ntz")))
     out = data.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
     return out.filter(F.col("timestamp").isNotNull())
 
@@ -171,29 +180,33 @@ def label_from_path(suffix: str = ".csv") -> Column:
     return F.regexp_extract(name, r"^(.*)" + suffix.replace(".", r"\.") + "$", 1)
 
 
-def scan_hist_csv(spark: SparkSession, paths: Sequence[str], index: str = "timestamp", label: str | None = None) -> DataFrame:
+def scan_hist_csv(spark: SparkSession, paths: Sequence[str], index: str = "timestamp", label: str | None = None) -> DataFrame | None:
     """Historical wide CSVs whose first, unnamed column is the index (S9):
     the first column is renamed to ``index`` and other headers stripped; with
-    ``label`` a column derived from the file name is added (S10)."""
-    found = existing_paths(spark, paths)
-    if not found:
-        return None
-    raw = spark.read.option("header", True).csv(found)
-    if label:
-        raw = raw.select("*", label_from_path().alias(label))
-    cols = raw.columns
-    renamed = [index] + [c.strip() for c in cols[1:]]
-    return raw.toDF(*renamed)
+    ``label`` a column derived from the file name is added (S10).
+
+    Every file (one a year or rate type) is scanned under its own header and
+    the scans are united by column name; a column that a file lacks is NULL.
+    ``_row`` orders the rows by file, then by position, for first-wins
+    dedupes (A10, U2)."""
+    parts = []
+    for rank, path in enumerate(expand_paths(spark, paths)):
+        raw = spark.read.option("header", True).csv(path)
+        raw = raw.toDF(index, *[c.strip() for c in raw.columns[1:]])
+        start = F.col("_metadata.file_block_start").alias("start")
+        extra = [F.struct(F.lit(rank).alias("file"), start, F.monotonically_increasing_id().alias("pos")).alias(ROW)]
+        parts.append(raw.select("*", *([label_from_path().alias(label)] if label else []), *extra))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
 
 
 def scan_generator_xml(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Generator reference XML → (name_key, fuel, report_date, file).
+    """Generator reference XML → (name_key, fuel, report_date, file, pos).
 
     Namespaced documents are read with ``rowTag=Generator``; text is trimmed
     by the reader. The report date comes from the file name (``…_YYYYMMDD.xml``).
     """
     found = existing_paths(spark, paths)
-    schema = "name_key string, fuel string, report_date date, file string"
+    schema = "name_key string, fuel string, report_date date, file string, pos bigint"
     if not found:
         return spark.createDataFrame([], schema)
     raw = spark.read.format("xml").option("rowTag", "Generator").load(found)
@@ -205,6 +218,7 @@ def scan_generator_xml(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.lower(F.col("FuelType").cast("string")).alias("fuel"),
         F.to_date(F.regexp_extract(fname, r"(\d{8})", 1), "yyyyMMdd").alias("report_date"),
         fname.alias("file"),
+        F.monotonically_increasing_id().alias("pos"),
     )
 
 
@@ -213,14 +227,13 @@ def latest_nonempty_mapping(gens: DataFrame, asof: dt.date | None = None, days:
     max over report dates, then a filter — no per-file driver loop. With
     ``asof``, only reports from the ``days`` days before it count (the source
     tries yesterday back to nine days ago); none → an empty mapping.
-    Duplicate names inside one report: the last one wins in the source; here
-    the greatest fuel value is kept, deterministically."""
+    Of duplicate names inside one report the last one wins."""
     if asof is not None:
         lo = F.date_sub(F.lit(asof).cast("date"), days)
         gens = gens.filter((F.col("report_date") >= lo) & (F.col("report_date") < F.lit(asof).cast("date")))
     newest = gens.select(F.max("report_date")).scalar()
     m = gens.filter(F.col("report_date") == newest)
-    return m.groupBy(F.col("name_key").alias("_mkey")).agg(F.max("fuel").alias("_mclass"))
+    return m.groupBy(F.col("name_key").alias("_mkey")).agg(F.max_by("fuel", "pos").alias("_mclass"))
 
 
 def scan_generation(
@@ -238,7 +251,9 @@ def scan_generation(
       with the generator dictionary (``mapping``) and the name rules;
     * monthly fuel-mix CSVs from May 2019 (``csv_root/YYYYMM.csv``).
 
-    Each era is a separate scan with its own date clip; the union is by name,
+    Each era is a separate scan with its own date clip, so that a workbook row
+    from May 2019 on does not repeat one of the CSVs, and years outside the
+    range are not read; the union is by name,
     a fuel absent from an era is NULL.
     """
     from ampere.operators.reshape import plants_to_fuels
@@ -247,14 +262,17 @@ def scan_generation(
     parts: list[DataFrame] = []
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end + dt.timedelta(days=1)).cast("timestamp_ntz")
+    csv_era = F.lit(ERA_CSV_START).cast("timestamp_ntz")
     if start < ERA_CSV_START:
         for year, paths in plant_paths.items():
+            if isinstance(year, int) and not start.year <= year <= end.year:
+                continue
             found = existing_paths(spark, paths)
             if not found:
                 continue
             raw = spark.read.option("header", True).csv(found)
             wide = scan_plant_wide(raw, year if isinstance(year, int) else None)
-            wide = wide.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
+            wide = wide.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < F.least(hi, csv_era)))
             fuels = plants_to_fuels(wide, ["timestamp"], mapping, total_col="TOTAL", classes=FUELS).drop("_row")
             parts.append(fuels)
     csv_from = max(start, ERA_CSV_START)
@@ -281,16 +299,14 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
-def table_or_empty(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame | None:
-    """Probe for a table; ``None`` when absent, so callers can build the plan
-    conditionally (S14). ``typed_empty`` gives the all-absent fallback."""
-    if path is None:
-        return None
+def table_or_empty(spark: SparkSession, path: str | None, schema: T.StructType | None) -> DataFrame | None:
+    """The table at ``path``; when absent, an empty frame of ``schema``, or
+    None where no schema is given (S14)."""
     from ampere.sinks.tables import table_exists
 
-    if not table_exists(spark, path):
-        return None
-    return spark.read.parquet(path)
+    if path is not None and table_exists(spark, path):
+        return spark.read.parquet(path)
+    return None if schema is None else empty_frame(spark, schema)
 
 
 def typed_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

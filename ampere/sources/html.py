@@ -14,22 +14,32 @@ from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampere.functions.numeric import parse_numeric, strip_units
 
-# Patterns for flat page elements.
-HEADING_PATTERN = r"<h1>([^<]*)</h1>"
-LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-PARAGRAPH_PATTERN = r"<p>([^<]*)</p>"
+LINK_PATTERN = r'(?is)<li(?:\s[^>]*)?>\s*<a\s(?:[^>]*\s)?href="([^"]*)"[^>]*>(.*?)</a>'
+TAG_PATTERN = r"<[^>]*>"
 
 
-def extract_all(df: DataFrame, col: str, pattern: str, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Every match of ``pattern`` in ``col`` → one row per match with its
-    position and one column per capture group."""
-    arrays = [F.regexp_extract_all(F.col(col), F.lit(pattern), i + 1).alias(f"_g{i}") for i in range(len(names))]
-    d = df.select(*keep, *arrays)
+def element_texts(col: str, tag: str) -> Column:
+    """The text of every ``tag`` element in order, attributes and nested markup
+    left out (elements of the tag itself do not nest)."""
+    inner = F.regexp_extract_all(F.col(col), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), 1)
+    return F.transform(inner, lambda x: F.regexp_replace(x, TAG_PATTERN, ""))
+
+
+def links(col: str) -> tuple[Column, Column]:
+    """Targets and texts of the links that open a list item."""
+    href = F.regexp_extract_all(F.col(col), F.lit(LINK_PATTERN), 1)
+    text = F.regexp_extract_all(F.col(col), F.lit(LINK_PATTERN), 2)
+    return href, F.transform(text, lambda x: F.regexp_replace(x, TAG_PATTERN, ""))
+
+
+def explode_all(df: DataFrame, arrays: Sequence[Column], names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Parallel arrays → one row per position, one column per array."""
+    d = df.select(*keep, *[a.alias(f"_g{i}") for i, a in enumerate(arrays)])
     if len(names) == 1:
         e = d.select(*keep, F.posexplode("_g0").alias("pos", names[0]))
     else:
@@ -41,11 +51,11 @@ def extract_all(df: DataFrame, col: str, pattern: str, names: Sequence[str], kee
 
 
 def html_headings(pages: DataFrame, col: str = "html", keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    return extract_all(pages, col, HEADING_PATTERN, ["heading"], list(keep))
+    return explode_all(pages, [element_texts(col, "h1")], ["heading"], list(keep))
 
 
 def html_list_items(pages: DataFrame, col: str = "html", keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    return extract_all(pages, col, LINK_PATTERN, ["href", "text"], list(keep))
+    return explode_all(pages, links(col), ["href", "text"], list(keep))
 
 
 def extract_labelled(

@@ -2,6 +2,7 @@
 full refresh, create-if-absent."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import types as T
 
@@ -125,3 +126,25 @@ def test_upsert_plan_runs_no_job(spark):
     upsert(df, df, ["k"])
     assert len(tracker.getJobIdsForGroup("plan")) == 0
     spark.sparkContext.setJobGroup("none", "none")
+
+
+def test_publish_writes_only_without_errors(spark, scratch):
+    from ampere.operators.quality import publish
+
+    df = spark.range(3)
+    ddl = "check_name string, subject string, value double, severity string"
+    bad = spark.createDataFrame([("unique", "id", 1.0, "error"), ("continuity", "id", 0.0, "ok")], ddl)
+    assert publish(df, bad, f"{scratch}/mart") == 2 and not os.path.exists(f"{scratch}/mart")
+    warned = spark.createDataFrame([("continuity", "id", 2.0, "warning")], ddl)
+    assert publish(df, warned, f"{scratch}/mart") == 1 and spark.read.parquet(f"{scratch}/mart").count() == 3
+    assert publish(spark.range(5), bad.where("severity = 'ok'"), f"{scratch}/mart") == 0
+    assert spark.read.parquet(f"{scratch}/mart").count() == 5
+
+
+def test_absent_table_is_an_empty_typed_frame(spark, scratch):
+    from ampere.schemas import GENERATION_RAW
+    from ampere.sources.files import table_or_empty
+
+    empty = table_or_empty(spark, f"{scratch}/none", GENERATION_RAW)
+    assert empty.schema == GENERATION_RAW and empty.count() == 0
+    assert table_or_empty(spark, f"{scratch}/none", None) is None

@@ -4,6 +4,8 @@ fresh scratch folder."""
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ampere.operators.reshape import plants_to_fuels
@@ -243,3 +245,51 @@ def test_fuel_csv_wide_blank_header_and_date_not_first(spark, scratch):
         f.write(",".join(["1", "2024-05-01", "", *["0"] * 70, "12.5"]) + "\n")
     rows = scan_fuel_csv(spark, [f"{scratch}/f/a.csv"], ["nuclear"]).collect()
     assert [(str(r.timestamp), r.nuclear) for r in rows] == [("2024-05-01 00:00:00", 12.5)]
+
+
+def test_fuel_csv_bad_row_raises_or_is_left_out(spark, scratch):
+    write(f"{scratch}/bad.csv", "Date,Hour,Gas\n2024-05-01,1,7\nsoon,2,8\n")
+    with pytest.raises(Exception, match="no date and hour"):
+        scan_fuel_csv(spark, [f"{scratch}/bad.csv"], ["gas"]).collect()
+    assert [r.gas for r in scan_fuel_csv(spark, [f"{scratch}/bad.csv"], ["gas"], on_bad="drop").collect()] == [7.0]
+
+
+def test_hist_csv_by_name_and_first_file_wins(spark, scratch):
+    write(f"{scratch}/h/2010.csv", ",A NUCLEAR,B WIND,TOTAL\n2010-01-01 00:00:00-05:00,100,5,105\n")
+    late = "".join(f"2011-01-01 {h:02d}:00:00-05:00,{h},7,1,{h + 8}\n" for h in range(24))
+    write(f"{scratch}/h/2011.csv", ",B WIND,A NUCLEAR,C SOLAR,TOTAL\n2010-01-01 00:00:00-05:00,9,9,9,27\n" + late)
+    out = generation_history(scan_hist_csv(spark, [f"{scratch}/h/*.csv"]), None)
+    rows = {r.timestamp: r for r in out.collect()}
+    first = rows[dt.datetime(2010, 1, 1, 5)]
+    assert (first.nuclear, first.wind, first.solar, first.total) == (100.0, 5.0, 0.0, 105.0)
+    r = rows[dt.datetime(2011, 1, 1, 8)]
+    assert (r.nuclear, r.wind, r.solar, r.total) == (7.0, 3.0, 1.0, 11.0) and len(rows) == 25
+
+    write(f"{scratch}/r/Tiered rates.csv", ",Lower tier,Higher tier\n2024-05-01,9.3,11.0\n")
+    write(f"{scratch}/r/TOU rates.csv", ",On-peak,Mid-peak\n2024-05-01,15.8,12.2\n")
+    hist = scan_hist_csv(spark, [f"{scratch}/r/*.csv"], index="effective_date", label="rate_type")
+    got = {(r.rate_type, r.rate_column): r.value_cents_per_kwh for r in rates_history(hist).collect() if r.value_cents_per_kwh}
+    assert got == {
+        ("Tiered rates", "Lower tier"): 9.3, ("Tiered rates", "Higher tier"): 11.0,
+        ("TOU rates", "On-peak"): 15.8, ("TOU rates", "Mid-peak"): 12.2,
+    }
+
+
+def test_headings_and_links_with_markup(spark):
+    from ampere.sources.html import html_headings, html_list_items
+
+    html = '<h1 class="x">Rates <b>now</b></h1><ul><li class="a"><a id="1" href="/t">Time <i>of</i> use</a></li></ul>'
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.heading for r in html_headings(pages).collect()] == ["Rates now"]
+    assert [(r.href, r.text) for r in html_list_items(pages).collect()] == [("/t", "Time of use")]
+
+
+def test_scan_generation_clips_workbooks_to_their_era(spark, scratch):
+    write(f"{scratch}/p/2019.csv", "Date,Hour,PICKERING G1,TOTAL\n2019-04-30,24,100,\n2019-05-01,1,7,\n")
+    write(f"{scratch}/p/2011.csv", "no,such,layout\n1,2,3\n")
+    write(f"{scratch}/csv/201905.csv", "Date,Hour,Nuclear,Total\n2019-05-01,1,1,21\n")
+    out = scan_generation(
+        spark, {2011: [f"{scratch}/p/2011.csv"], "2019": [f"{scratch}/p/2019.csv"]}, f"{scratch}/csv", dt.date(2019, 1, 1), dt.date(2019, 5, 31)
+    )
+    rows = sorted(out.collect(), key=lambda r: r.timestamp)
+    assert [(r.timestamp, r.nuclear) for r in rows] == [(dt.datetime(2019, 4, 30, 23), 100.0), (dt.datetime(2019, 5, 1), 1.0)]
