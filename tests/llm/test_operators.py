@@ -9,8 +9,10 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from ampere.llm import words as W
 from ampere.llm import bpe, embeddings, fingerprints, neardup, packing, pii, quality, substring, toxicity, urls
 from ampere.llm.labelled import fold
 
@@ -316,6 +318,21 @@ def test_near_duplicates_recall(spark):
     assert [got[i] for i in range(len(rows))] == group
 
 
+def test_near_duplicates_join_through_a_matched_text(spark):
+    """The first and last of each three texts are not near, the middle one is near both."""
+    rows = []
+    for f in range(30):
+        first = [f"f{f}w{i}" for i in range(100)]
+        middle = first[:92] + [f"f{f}x{i}" for i in range(8)]
+        last = middle[:86] + [f"f{f}y{i}" for i in range(6)] + middle[92:]
+        rows += [(3 * f + k, " ".join(w)) for k, w in enumerate((first, middle, last))]
+    codes = [neardup.shingles(*W.hashed_words(pa.array([t])))[0] for _, t in rows[:3]]
+    assert neardup.similarity(codes[0], codes[1]) >= 0.8 and neardup.similarity(codes[1], codes[2]) >= 0.8
+    assert neardup.similarity(codes[0], codes[2]) < 0.8
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.class_id for r in got} == {i: i - i % 3 for i, _ in rows}
+
+
 def test_alignment_equals_lcs():
     for _ in range(300):
         x = np.array([R.randint(0, 6) for _ in range(R.randint(1, 30))])
