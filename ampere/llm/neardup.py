@@ -10,22 +10,18 @@ are at least ``LEAST`` of all: matched / (a + b - matched) >= 0.8. The band is
 as wide as that bound needs, so the alignment finds every such pair. Linked
 texts form groups, of which the smallest doc_id stays.
 
-Equal word sequences are one text from the start. A bucket of candidates is
-never expanded into pairs: its members are compared with its smallest one.
-A bucket with members that did not match stays open: it is dealt into smaller
-buckets by further hash functions, whose members are compared with the
-smallest one that has matched nothing yet. The matched members go along, as
-such a text may be like one of them though not like the first. After four
-such rounds, whose work is linear in the texts, what is still open is compared
-with ever more centres a round until no bucket is open, so the rounds grow with
-the logarithm of the unlike texts in a bucket and none of them is given up.
+Equal word sequences are one text from the start. The members of a bucket of
+candidates are first compared with its smallest one, which joins most of them.
+In each bucket whose members still lie in several components, all pairs across
+components are then compared: the bucket is dealt into blocks of bounded size,
+and a task has two blocks of it, so no pair becomes a row. Within a task a pair
+is aligned only if the shingles that both texts have, however ordered, reach
+the bound, and if no other pair of the task has joined its components.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +32,9 @@ from ampere.llm import words as W
 from ampere.llm.base import connected_components, materialize
 
 SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
-#: After the rounds with a single centre, a bucket still open has so many times
-#: the centres in each further round.
-SINGLE, MORE = 4, 4
+#: At most about so many texts and so many shingles are in a block of a bucket;
+#: so many columns of the matrix of texts and shingles are held at once.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 4096
 _SEEDS = W.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -178,6 +174,66 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(good, type=pa.bool_())], ["c", "id", "good"])
 
 
+def _common(texts: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many occurrence-labelled shingles each left text shares with each right one."""
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    found, column, uses = np.unique(_labelled(np.concatenate(texts), row), return_inverse=True, return_counts=True)
+    rank = np.cumsum(uses > 1) - 1
+    shared = uses[column] > 1
+    row, column = row[shared], rank[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (lo, lo + COLUMNS))
+        have = np.zeros((len(texts), COLUMNS), dtype=np.float32)
+        have[row[a:b], column[a:b] - lo] = 1
+        out += have[left] @ have[right].T
+    return out
+
+
+def _across(group: tuple, table: pa.Table) -> pa.Table:
+    """Links that join the components of two blocks of a bucket, of the pairs
+    whose first common band is the bucket's."""
+    i, _, p, q = (x.as_py() for x in group)
+    ids, part, block = (table.column(c).to_numpy() for c in ("id", "part", "block"))
+    bands = np.asarray(table.column("bands").combine_chunks().flatten()).reshape(-1, FUNCTIONS)
+    left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+    todo = part[left][:, None] != part[right][None, :]
+    if p == q:
+        todo &= np.triu(np.ones(todo.shape, dtype=bool), 1)
+    for j in range(i):
+        todo &= bands[left, j][:, None] != bands[right, j][None, :]
+    links: list[tuple[int, int]] = []
+    if todo.any():
+        rows, cols = np.flatnonzero(todo.any(axis=1)), np.flatnonzero(todo.any(axis=0))
+        left, right, todo = left[rows], right[cols], todo[np.ix_(rows, cols)]
+        wanted, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+        found, starts = shingles(*W.hashed_words(table.column("text").take(pa.array(wanted)).combine_chunks()))
+        texts = [found[a:b] for a, b in zip(starts[:-1], starts[1:])]
+        n = np.diff(starts)
+        at_left, at_right = at[: len(left)], at[len(left) :]
+        total = n[at_left][:, None] + n[at_right][None, :]
+        common = _common(texts, at_left, at_right)
+        todo &= common >= np.ceil(LEAST * total / (1 + LEAST) - 1e-9)
+        x, y = np.nonzero(todo)
+        root: dict[int, int] = {}
+
+        def of(v: int) -> int:
+            while root.get(v, v) != v:
+                root[v] = v = root.get(root[v], root[v])
+            return v
+
+        share = common[x, y] / (total[x, y] - common[x, y])
+        for k in np.argsort(-share, kind="stable").tolist():
+            u, v = int(at_left[x[k]]), int(at_right[y[k]])
+            a, b = of(int(part[wanted[u]])), of(int(part[wanted[v]]))
+            if a != b and similarity(texts[u], texts[v]) >= LEAST:
+                root[max(a, b)] = min(a, b)
+                links.append((int(ids[wanted[u]]), int(ids[wanted[v]])))
+    return pa.table({"a": pa.array([a for a, _ in links], type=pa.int64()), "b": pa.array([b for _, b in links], type=pa.int64())})
+
+
 def _ids(docs: DataFrame, doc_id: str, text: str) -> list:
     """id, key and text; a null doc_id stands behind all others, by its text."""
     key = F.xxhash64(F.col(f"`{text}`"))
@@ -197,56 +253,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     classes = materialize(
         sketch.groupBy("e1", "e2").agg(F.min(F.struct("id", "key", "n", "bands")).alias("r")).select("e1", "e2", "r.*"), "classes"
     )
-    rows = classes.select("id", "n", F.lit(True).alias("open"), F.posexplode("bands").alias("i", "h"))
-
-    def star(rows: DataFrame, r: int) -> DataFrame:
-        """Each row with each centre of its bucket, for buckets of several ids:
-        the smallest open id of each part of it."""
-        center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))
-        sub = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(MORE ** max(r - SINGLE + 1, 0))).alias("sub")
-        parts = rows.groupBy("i", "h", sub).agg(
-            F.min(F.when(F.col("open"), center)).alias("s"), F.min("id").alias("lo"), F.max("id").alias("hi")
-        )
-        whole = parts.groupBy("i", "h").agg(F.collect_list("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        centers = materialize(whole.where("size(s) > 0 and lo < hi").select("i", "h", "s"), "centers")
-        met = rows.join(centers, ["i", "h"]).withColumn("center", F.array_contains("s.c", F.col("id")))
-        met = met.select("i", "h", "id", "n", "open", "center", F.explode("s").alias("s")).select("*", "s.c", "s.cn").drop("s")
-        return materialize(met.where("id > c or (id < c and not center)"), "star")
-
-    members = star(rows, 0)
+    rows = classes.select("id", "n", F.posexplode("bands").alias("i", "h"))
+    center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))
+    centers = rows.groupBy("i", "h").agg(F.min(center).alias("s"), F.max("id").alias("hi")).where("s.c < hi")
+    members = materialize(rows.join(centers.select("i", "h", "s.c", "s.cn"), ["i", "h"]).where("id > c"), "star")
     wanted = members.select("id").unionByName(members.select(F.col("c").alias("id"))).distinct()
     chosen = classes.select("id", "key").join(wanted, "id")
     texts = materialize(
         chosen.join(base, ["id", "key"]).groupBy("id").agg(F.min("text").alias("text")), "texts"
     )
-    told = None
-    links = []
-    for r in itertools.count(1):
-        pairs = members.where(F.least("n", "cn") >= F.lit(LEAST) * F.greatest("n", "cn")).select("c", "id").distinct()
-        if told is not None:
-            pairs = pairs.join(told, ["c", "id"], "left_anti")
-        both = pairs.join(texts, "id").select("c", "id", F.col("text").alias("t"))
-        both = both.join(texts.select(F.col("id").alias("c"), F.col("text").alias("s")), "c")
-        now = materialize(both.select("c", "id", "s", "t").mapInArrow(_verify, "c bigint, id bigint, good boolean"), "told")
-        links.append(now.where("good").select(F.col("c").alias("a"), F.col("id").alias("b")))
-        told = now if told is None else told.unionByName(now)
-        still = F.col("open") & ~F.col("center") & ~F.coalesce("good", F.lit(False))
-        judged = members.join(told, ["c", "id"], "left").select("i", "h", "id", "n", still.alias("open"))
-        if r > SINGLE:
-            judged = judged.groupBy("i", "h", "id").agg(F.max("n").alias("n"), F.min("open").alias("open"))
-        left = materialize(judged.join(judged.where("open").select("i", "h").distinct(), ["i", "h"], "left_semi"), "left")
-        if left.isEmpty():
-            break
-        at = (F.col("i") + r) % FUNCTIONS
-        finer = left.join(classes.select("id", "bands"), "id").withColumn("h", F.xxhash64("h", F.col("bands")[at]))
-        members = star(finer.select("id", "n", "open", "i", "h"), r)
-        if members.isEmpty():
-            break
-    links = reduce(DataFrame.unionByName, links)
+    pairs = members.where(F.least("n", "cn") >= F.lit(LEAST) * F.greatest("n", "cn")).select("c", "id").distinct()
+    both = pairs.join(texts, "id").select("c", "id", F.col("text").alias("t"))
+    both = both.join(texts.select(F.col("id").alias("c"), F.col("text").alias("s")), "c")
+    told = materialize(both.select("c", "id", "s", "t").mapInArrow(_verify, "c bigint, id bigint, good boolean"), "told")
+    first = told.where("good").select(F.col("c").alias("a"), F.col("id").alias("b"))
+
+    # buckets in several components; of those with the same members, the first. Two members are told by now
+    parts = connected_components(first).select(F.col("vertex").alias("id"), F.col("component").alias("part"))
+    placed = classes.select("id", "key", "n", "bands").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    placed = materialize(placed, "placed")
+    rows = placed.select("id", "key", "n", "part", F.posexplode("bands").alias("i", "h"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    same = [F.bit_xor(F.xxhash64("id", "key", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
+    still = rows.groupBy("i", "h").agg(
+        F.count("*").alias("size"), blocks.alias("blocks"), F.min("part").alias("lo"), F.max("part").alias("hi"), *same
+    ).where("size > 2 and lo < hi")
+    still = still.groupBy("size", "x0", "x1").agg(F.min(F.struct("i", "h", "blocks")).alias("s")).select("s.*")
+    still = materialize(still, "open")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = rows.select("id", "key", "i", "h").join(still, ["i", "h"]).withColumn("block", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("id", "key", "i", "h", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    dealt = dealt.join(placed.select("id", "key", "part", "bands").join(texts, "id"), ["id", "key"])
+    across = dealt.groupBy("i", "h", "p", "q").applyInArrow(_across, "a bigint, b bigint")
+    links = first.unionByName(materialize(across, "across"))
     # rows of one doc_id with several texts are one document
     shared = sketch.join(classes.select("e1", "e2", F.col("id").alias("rep")), ["e1", "e2"])
-    same = shared.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    groups = connected_components(links.unionByName(same))
+    one = shared.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    groups = connected_components(links.unionByName(one))
     return (
         sketch.select("id", "key").distinct().join(groups, F.col("id") == F.col("vertex"), "left")
         .select("id", "key", F.coalesce("component", "id").alias("class_id"))

@@ -333,6 +333,80 @@ def test_near_duplicates_join_through_a_matched_text(spark):
     assert {r.id: r.class_id for r in got} == {i: i - i % 3 for i, _ in rows}
 
 
+def test_near_duplicates_link_texts_of_two_centres(spark):
+    """A chain a, c, d, b: once c has matched a and d has matched b, only c and d join the two."""
+    r = random.Random(31)
+    bands = lambda w: neardup.order_minhash(*neardup.shingles(*W.hashed_words(pa.array([" ".join(w)])))).tolist()
+
+    def changed(w, at):  # seven words changed, all bands as before
+        for _ in range(7):
+            while True:
+                k, new = r.choice(sorted(at)), list(w)
+                new[k] = f"n{r.random()}"
+                if bands(new) == bands(w):
+                    break
+            at -= set(range(k - 5, k + 6))
+            w = new
+        return w
+
+    rows = []
+    for f in range(3):
+        a, at = [f"f{f}w{i}" for i in range(400)], set(range(5, 395))
+        c = changed(a, at)
+        d = changed(c, at)
+        b = changed(d, at)
+        rows += [(4 * f + k, " ".join(w)) for k, w in enumerate((a, b, c, d))]
+    codes = [neardup.shingles(*W.hashed_words(pa.array([t])))[0] for _, t in rows[:4]]
+    near = [(i, j) for j in range(4) for i in range(j) if neardup.similarity(codes[i], codes[j]) >= 0.8]
+    assert near == [(0, 2), (1, 3), (2, 3)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.class_id for r in got} == {i: i - i % 4 for i, _ in rows}
+
+
+def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
+    """Chains of variants with the same bands, against all pairs that share a band."""
+    monkeypatch.setattr(neardup, "BLOCK", 400, raising=False)
+    r = random.Random(77)
+    core = [f"core{i}" for i in range(40)]
+    texts = []
+    while len(texts) < 2000:
+        w = core + [f"t{len(texts)}_{k}" for k in range(r.randint(9, 14))]
+        for k in range(r.randint(1, 6)):  # a chain: each is its forerunner with a word more changed
+            texts.append(" ".join(w))
+            w = list(w)
+            w[40 + r.randrange(len(w) - 40)] = f"e{len(texts)}_{k}"
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    texts = [texts[i] for i in order]
+    found, starts = neardup.shingles(*W.hashed_words(pa.array(texts)))
+    bands, codes = neardup.order_minhash(found, starts), [found[a:b] for a, b in zip(starts, starts[1:])]
+    sets = [set(c.tolist()) for c in codes]
+    assert max(np.unique(bands[:, i], return_counts=True)[1].max() for i in range(neardup.FUNCTIONS)) > 1200
+    group = list(range(len(texts)))
+
+    def of(v):
+        while group[v] != v:
+            v = group[v]
+        return v
+
+    lengths = np.array([len(c) for c in codes])
+    holds = {}
+    for i, s in enumerate(sets):
+        for k in s:
+            holds.setdefault(k, []).append(i)
+    for i in range(len(texts)):
+        share = np.zeros(len(texts))
+        for k in sets[i]:
+            share[holds[k]] += 1
+        near = (share >= 0.8 * (lengths + lengths[i] - share) - 1e-9) & (bands == bands[i]).any(axis=1)
+        for j in np.flatnonzero(near[:i]).tolist():
+            a, b = of(i), of(j)
+            if a != b and neardup.similarity(codes[i], codes[j]) >= 0.8:
+                group[max(a, b)] = min(a, b)
+    got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x.id: x.class_id for x in got} == {i: of(i) for i in range(len(texts))}
+
+
 def test_alignment_equals_lcs():
     for _ in range(300):
         x = np.array([R.randint(0, 6) for _ in range(R.randint(1, 30))])
