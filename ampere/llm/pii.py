@@ -11,7 +11,8 @@ An entity's *canonical form* drops what writing it differently changes (case,
 separators, title). A surrogate belongs to the canonical form in the whole
 corpus, so mentions that refer to the same entity still do. Two entities with
 one surrogate, or a surrogate that occurs as an entity, are found by an
-aggregate over the distinct forms and drawn again until none is left.
+aggregate over the distinct forms and drawn again until none is left; from the
+third draw on a surrogate is longer than its form, so that a free one exists.
 
 Only SQL functions run on the rows.
 """
@@ -50,7 +51,7 @@ _NAME = r"\p{Lu}\p{Ll}[\p{L}'’-]*"
 #: Kinds in the order in which a mention is tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9+/_-]{8,}",
+    "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}\"?(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -145,18 +146,20 @@ def _shaped(s: str, h: str, letters: int = 26) -> str:
 def surrogate(kind: str, c: str, attempt: str) -> str:
     """SQL: the surrogate of a canonical form, drawn for the ``attempt``-th time."""
     h = _stream(kind, c, f"cast({attempt} as string)")
+    more = f"IF({attempt} < 2, '', substring({_stream(_sql('more'), kind, c, f'cast({attempt} as string)')}, 1, cast({attempt} as int) - 1))"
+    digits = f"translate({more}, 'abcdef', '012345')"
     domain = f"substring_index({c}, '@', -1)"
     label = f"regexp_replace({domain}, '[.][^.]*$', '')"
     email = (
-        f"concat({_shaped(f'substring_index({c}, {_sql(chr(64))}, 1)', h)}, '@', {_shaped(label, _stream(_sql('domain'), domain))}, "
+        f"concat({_shaped(f'substring_index({c}, {_sql(chr(64))}, 1)', h)}, {more}, '@', {_shaped(label, _stream(_sql('domain'), domain))}, "
         f"'.', substring_index({domain}, '.', -1))"
     )
-    ip = f"concat('10.', {_byte(h, '0')}, '.', {_byte(h, '1')}, '.', {_byte(h, '2')})"
+    ip = f"concat(IF({attempt} < 4, 10, 11 + {_byte(h, '3')} % 213), '.', {_byte(h, '0')}, '.', {_byte(h, '1')}, '.', {_byte(h, '2')})"
     body = f"concat(substring({c}, 1, 1), {_shaped(f'substring({c}, 2, length({c}) - 2)', h)})"
     card = f"transform(array({body}), y -> concat(y, cast((10 - {luhn('concat(y, {0})'.format(_sql('0')))}) % 10 as string)))[0]"
-    phone = f"concat(substring({c}, 1, greatest(1, length({c}) - 9)), {_shaped(f'substring({c}, greatest(1, length({c}) - 9) + 1)', h)})"
-    iban = f"concat(substring({c}, 1, 2), {_shaped(f'substring({c}, 3)', h)})"
-    secret = f"IF({c} RLIKE '^[0-9a-f]+$', {_shaped(c, h, 6)}, {_shaped(c, h)})"
+    phone = f"concat(substring({c}, 1, greatest(1, length({c}) - 9)), {_shaped(f'substring({c}, greatest(1, length({c}) - 9) + 1)', h)}, {digits})"
+    iban = f"concat(substring({c}, 1, 2), {_shaped(f'substring({c}, 3)', h)}, {digits})"
+    secret = f"concat(IF({c} RLIKE '^[0-9a-f]+$', {_shaped(c, h, 6)}, {_shaped(c, h)}), {more})"
     script = f"substring({c}, 1, 1)"
     last = f"substring_index({c}, ' ', -1)"
     hs = _stream("'surname'", script, last, f"cast({attempt} as string)")
@@ -179,7 +182,7 @@ def as_written(kind: str, m: str, s: str) -> str:
     label or title."""
     fill = (
         f"aggregate(split({m}, ''), named_struct('t', '', 'i', 0), (a, x) -> IF(x RLIKE '[A-Za-z0-9]', "
-        f"named_struct('t', concat(a.t, substring({s}, a.i + 1, 1)), 'i', a.i + 1), named_struct('t', concat(a.t, x), 'i', a.i)), a -> a.t)"
+        f"named_struct('t', concat(a.t, substring({s}, a.i + 1, 1)), 'i', a.i + 1), named_struct('t', concat(a.t, x), 'i', a.i)), a -> concat(a.t, substring({s}, a.i + 1)))"
     )
     before = f"substring({m}, 1, char_length({m}) - char_length({_secret_value(m)}))"
     title = f"substring({m}, 1, char_length({m}) - char_length({_untitled(m)}))"

@@ -449,6 +449,18 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in out} & set(forms)
 
 
+def test_surrogates_end_where_forms_fill_their_space(spark):
+    blank = pii.op10_pii_surrogates(spark.createDataFrame([(1, "Password: __________\nMail --@a.com")], "doc_id long, text string")).first()
+    assert blank.text.startswith("Password: __________\nMail --") and [e.kind for e in blank.entities] == ["email"]
+    forms = [("email", f"{chr(97 + a)}@{chr(97 + b)}.co") for a in range(26) for b in range(26)] + [("phone", f"1{i:04d}") for i in range(10000)]
+    forms += [("secret", f"-------{chr(97 + a)}") for a in range(26)]
+    out = pii.surrogates(spark.createDataFrame(forms, "kind string, form string")).collect()
+    assert len(out) == len({(r.kind, r.surrogate) for r in out}) == len(forms)
+    assert not {(r.kind, r.surrogate) for r in out} & set(forms)
+    put = pii.as_written("'phone'", "'+1 23-45'", "'9876543'")
+    assert spark.range(1).selectExpr(f"{put} AS s").first().s == "+9 87-6543"
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("id")).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
