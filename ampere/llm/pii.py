@@ -143,8 +143,10 @@ def _shaped(s: str, h: str, letters: int = 26) -> str:
     )
 
 
-def surrogate(kind: str, c: str, attempt: str) -> str:
-    """SQL: the surrogate of a canonical form, drawn for the ``attempt``-th time."""
+def surrogate(kind: str, c: str, attempt: str, surname: str) -> str:
+    """SQL: the surrogate of a canonical form, drawn for the ``attempt``-th time.
+    A name of several parts has ``surname`` after a given name of its gender,
+    which is compound from the third draw on."""
     h = _stream(kind, c, f"cast({attempt} as string)")
     more = f"IF({attempt} < 2, '', substring({_stream(_sql('more'), kind, c, f'cast({attempt} as string)')}, 1, cast({attempt} as int) - 1))"
     digits = f"translate({more}, 'abcdef', '012345')"
@@ -160,20 +162,17 @@ def surrogate(kind: str, c: str, attempt: str) -> str:
     phone = f"concat(substring({c}, 1, greatest(1, length({c}) - 9)), {_shaped(f'substring({c}, greatest(1, length({c}) - 9) + 1)', h)}, {digits})"
     iban = f"concat(substring({c}, 1, 2), {_shaped(f'substring({c}, 3)', h)}, {digits})"
     secret = f"concat(IF({c} RLIKE '^[0-9a-f]+$', {_shaped(c, h, 6)}, {_shaped(c, h)}), {more})"
-    script = f"substring({c}, 1, 1)"
-    last = f"substring_index({c}, ' ', -1)"
-    hs = _stream("'surname'", script, last, f"cast({attempt} as string)")
-    pick = f"IF({script} = 'c', {_list(SYLLABLES['c'])}, {_list(SYLLABLES['l'])})"
-    surname = f"initcap(array_join(transform(sequence(0, 2 + cast({attempt} as int)), i -> {pick}[{_byte(hs, 'i')} % 16]), ''))"
-    given = "CASE substring({c}, 1, 2)".format(c=c)
+    pick = f"IF(substring({c}, 1, 1) = 'c', {_list(SYLLABLES['c'])}, {_list(SYLLABLES['l'])})"
+    last = f"initcap(array_join(transform(sequence(0, 2 + cast({attempt} as int)), i -> {pick}[{_byte(h, 'i')} % 16]), ''))"
+    given = f"CASE substring({c}, 1, 2)"
     for k, names in NEW_GIVEN.items():
-        given += f" WHEN '{k}' THEN {_list(names)}[{_byte(h, '63')} % {len(names)}]"
-    given += " END"
-    name = f"IF(size(split({c}, ' ')) > 2, concat({given}, ' ', {surname}), {surname})"
+        each = f"{_list(names)}[{_byte(h, '63 - i')} % {len(names)}]"
+        given += f" WHEN '{k}' THEN array_join(transform(sequence(0, cast({attempt} as int) div 2), i -> {each}), '-')"
+    name = f"concat({given} END, ' ', {surname})"
     key = f"concat('AKIA', {_shaped(f'substring({c}, 5)', h)})"
     return (
         f"CASE {kind} WHEN 'email' THEN {email} WHEN 'ip' THEN {ip} WHEN 'card' THEN {card} WHEN 'phone' THEN {phone} "
-        f"WHEN 'iban' THEN {iban} WHEN 'secret' THEN {secret} WHEN 'key' THEN {key} ELSE {name} END"
+        f"WHEN 'iban' THEN {iban} WHEN 'secret' THEN {secret} WHEN 'key' THEN {key} WHEN 'surname' THEN {last} ELSE {name} END"
     )
 
 
@@ -194,17 +193,36 @@ def as_written(kind: str, m: str, s: str) -> str:
 
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``(kind, form, surrogate)`` for each distinct ``(kind, form)``: within a
-    kind no two forms share a surrogate, and none is itself a form."""
-    drawn = materialize(entities.select("kind", "form").distinct().withColumn("attempt", F.lit(0)), "forms")
+    kind no two forms share a surrogate, and none is itself a form. A last name
+    has one surrogate per script, whatever title or given name is before it; a
+    name without a given name is that surname alone, under its own title."""
+    forms = materialize(entities.select("kind", "form").distinct(), "forms")
+    last = F.concat(F.substring("form", 1, 1), F.lit(" "), F.substring_index("form", " ", -1))
+    names = forms.where("kind = 'name'").withColumn("last", last)
+    lasts = names.select(F.lit("surname").alias("kind"), F.col("last").alias("form")).distinct()
+    none = F.lit(None).cast("string").alias("surname")
+    told = drawn(forms.where("kind <> 'name'").unionByName(lasts).select("kind", "form", none), key)
+    surnames = told.where("kind = 'surname'").select(F.col("form").alias("last"), F.col("surrogate").alias("surname"))
+    names = names.join(surnames, "last").select("kind", "form", "surname")
+    given = F.size(F.split("form", " ")) > 2
+    alone = names.where(~given).select("kind", "form", F.col("surname").alias("surrogate"))
+    return told.where("kind <> 'surname'").unionByName(alone).unionByName(drawn(names.where(given), key))
+
+
+def drawn(forms: DataFrame, key: str) -> DataFrame:
+    """``(kind, form, surrogate)`` for distinct ``(kind, form, surname)``, drawn
+    until within a kind no two share a surrogate and none is itself a form."""
+    drawn = materialize(forms.withColumn("attempt", F.lit(0)), "forms")
     clash = None
     while clash is None or not clash.isEmpty():
         if clash is not None:
             again = clash.withColumn("again", F.lit(1))
             drawn = drawn.join(again, ["kind", "form"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0)))
-        s = drawn.select("kind", "form", "attempt").withColumn("__key", F.lit(key))
-        drawn = materialize(s.withColumn("surrogate", F.expr(surrogate("kind", "form", "attempt"))).drop("__key"), "drawn")
+        s = drawn.select("kind", "form", "surname", "attempt").withColumn("__key", F.lit(key))
+        drawn = materialize(s.withColumn("surrogate", F.expr(surrogate("kind", "form", "attempt", "surname"))).drop("__key"), "drawn")
         # names are compared without script and gender, as they would be read
-        read = F.when(F.col("kind") == "name", F.expr("substring(form, 4)")).otherwise(F.col("form"))
+        read = F.when(F.col("kind") == "name", F.expr("substring(form, 4)")).when(F.col("kind") == "surname", F.expr("substring(form, 3)"))
+        read = read.otherwise(F.col("form"))
         uses = drawn.select("kind", "form", F.col("surrogate").alias("s"), F.lit(False).alias("real")).unionByName(
             drawn.select("kind", "form", read.alias("s"), F.lit(True).alias("real"))
         )

@@ -461,6 +461,19 @@ def test_surrogates_end_where_forms_fill_their_space(spark):
     assert spark.range(1).selectExpr(f"{put} AS s").first().s == "+9 87-6543"
 
 
+def test_surname_is_one_whatever_stands_before_it(spark):
+    given = [n for n in pii.GIVEN["m"] if n.isascii()]
+    first = [f"{t} {n}" for t in ("Mr", "Mr.", "Dr") for n in given] + [f"Mr G{chr(97 + i)}" for i in range(20)]
+    rows = [(i, f"{n} Smith, Mr Smith, Mrs Smith, Dr Smith; Mr Jones") for i, n in enumerate(first)]
+    got = pii.op10_pii_surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    told = [re.fullmatch(r"(?:Mr\.?|Dr) ([\w-]+) (\w+), Mr (\w+), Mrs (\w+), Dr (\w+); Mr (\w+)", r.text) for r in got]
+    assert all(told) and len({m[k] for m in told for k in (2, 3, 4, 5)}) == 1 and len({m[6] for m in told}) == 1
+    assert told[0][2] not in ("Smith", "Jones", told[0][6])
+    by = {r.doc_id: m[1] for r, m in zip(got, told)}
+    n = len(given)
+    assert all(by[i] == by[n + i] for i in range(n)) and len(set(by.values())) == 2 * n + 20
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("id")).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
