@@ -95,6 +95,20 @@ def luhn(digits: str) -> str:
     return f"aggregate({each}, 0, (a, x) -> (a + x) % 10)"
 
 
+def card_in(m: str) -> str:
+    """SQL: where in a mention of digit groups a number with a Luhn sum is,
+    ``struct<a, e>`` of its first and last character, or null: the whole, else
+    one of 16 digits, else the first and longest."""
+    apart = f"filter(sequence(1, length({m})), i -> substring({m}, i, 1) IN (' ', '-'))"
+    ends = f"concat(transform({apart}, i -> i - 1), array(length({m})))"
+    pairs = f"flatten(transform(concat(array(1), transform({apart}, i -> i + 1)), b -> transform({ends}, e -> named_struct('a', b, 'e', e))))"
+    part = _digits(f"substring({m}, u.a, u.e - u.a + 1)")
+    good = f"filter({pairs}, u -> u.e > u.a AND length({part}) BETWEEN 13 AND 19 AND {luhn(part)} = 0)"
+    rank = f"IF(u.e - u.a + 1 = length({m}), 2, IF(length({part}) = 16, 1, 0))"
+    best = f"array_max(transform({good}, u -> named_struct('r', {rank}, 'b', -u.a, 'e', u.e)))"
+    return f"transform(array({best}), v -> IF(v IS NULL, NULL, named_struct('a', -v.b, 'e', v.e)))[0]"
+
+
 def _secret_value(m: str) -> str:
     return f"regexp_extract({m}, '[A-Za-z0-9+/_-]+$', 0)"
 
@@ -235,6 +249,10 @@ def drawn(forms: DataFrame, key: str) -> DataFrame:
     return drawn.select("kind", "form", "surrogate")
 
 
+def _put(s: Column) -> Column:
+    return F.concat(s["before"], s["s"]["surrogate"], s["after"])
+
+
 def replace_entities(docs: DataFrame, carry: list[str], key: str = KEY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(row, text, entities)`` for each row: the carried columns, the text
     with surrogates, and ``array<struct<kind, surrogate>>`` in their order.
@@ -248,21 +266,27 @@ def replace_entities(docs: DataFrame, carry: list[str], key: str = KEY, doc_id:
     base = base.withColumn("found", mentions(F.col("text")))
     some = base.where(F.size("found") > 0)
     each = some.select("id", "key", F.explode(F.array_distinct("found")).alias("m"))
-    told = each.withColumn("kind", F.expr(kind_of("m"))).where("kind is not null")
-    told = materialize(told.withColumn("form", F.expr(canonical("kind", "m"))).distinct(), "mentions")
+    digits = f"m RLIKE {_sql('^(?:' + PATTERNS['card'] + ')$')}"
+    each = materialize(each.withColumn("at", F.expr(f"CASE WHEN {digits} THEN {card_in('m')} END")), "found")
+    # a card number may have other numbers around it in its mention
+    inner = F.coalesce(F.expr("substring(m, at.a, at.e - at.a + 1)"), F.col("m"))
+    each = each.withColumn("before", F.coalesce(F.expr("substring(m, 1, at.a - 1)"), F.lit("")))
+    each = each.withColumn("after", F.coalesce(F.expr("substring(m, at.e + 1)"), F.lit(""))).withColumn("inner", inner).drop("at")
+    told = each.withColumn("kind", F.expr(kind_of("inner"))).where("kind is not null")
+    told = materialize(told.withColumn("form", F.expr(canonical("kind", "inner"))).distinct(), "mentions")
     drawn = materialize(surrogates(told, key), "surrogates")
     written = told.join(drawn, ["kind", "form"]).select(
-        "id", "key", "m", F.struct("kind", F.expr(as_written("kind", "m", "surrogate")).alias("surrogate")).alias("s")
+        "id", "key", "m", "before", "after", F.struct("kind", F.expr(as_written("kind", "inner", "surrogate")).alias("surrogate")).alias("s")
     )
-    maps = written.groupBy("id", "key").agg(F.map_from_entries(F.collect_list(F.struct("m", "s"))).alias("by"))
+    maps = written.groupBy("id", "key").agg(F.map_from_entries(F.collect_list(F.struct("m", F.struct("before", "s", "after")))).alias("by"))
     none = F.expr("cast(array() as array<struct<kind:string,surrogate:string>>)")
     joined = some.join(maps, ["id", "key"], "left")
     parts = F.split("text", ANY, -1)
-    new = F.transform("found", lambda m: F.coalesce(F.try_element_at("by", m)["surrogate"], m))
+    new = F.transform("found", lambda m: F.coalesce(_put(F.try_element_at("by", m)), m))
     text_ = F.when(F.col("by").isNull(), F.col("text")).otherwise(
         F.concat(F.array_join(F.zip_with(F.slice(parts, 1, F.size("found")), new, lambda p, s: F.concat(p, s)), ""), F.element_at(parts, -1))
     )
-    entities = F.coalesce(F.filter(F.transform("found", lambda m: F.try_element_at("by", m)), lambda s: s.isNotNull()), none)
+    entities = F.coalesce(F.filter(F.transform("found", lambda m: F.try_element_at("by", m)["s"]), lambda s: s.isNotNull()), none)
     changed = joined.select("row", text_.alias("text"), entities.alias("entities"))
     return base.where(F.size("found") == 0).select("row", "text", none.alias("entities")).unionByName(changed)
 

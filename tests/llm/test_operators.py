@@ -474,6 +474,20 @@ def test_surname_is_one_whatever_stands_before_it(spark):
     assert all(by[i] == by[n + i] for i in range(n)) and len(set(by.values())) == 2 * n + 20
 
 
+def test_card_beside_other_numbers(spark):
+    texts = ["4111 1111 1111 1111 12/27", "4111111111111111 737", "pay 4111-1111-1111-1111-55 now", "qty 2 4111 1111 1111 1111", "4111111111111111",
+             "3782 822463 10005 1234", "no 1234 5678 9012 3456 12"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, [(e.kind, re.sub("[ -]", "", e.surrogate)) for e in r.entities]) for r in pii.op10_pii_surrogates(d).collect()}
+    new = got[4][0]
+    assert new != "4111111111111111" and len(new) == 16
+    four = lambda by: by.join(new[i : i + 4] for i in range(0, 16, 4))
+    assert [got[i][0] for i in range(4)] == [four(" ") + " 12/27", new + " 737", "pay " + four("-") + "-55 now", "qty 2 " + four(" ")]
+    assert all(got[i][1] == [("card", new)] for i in range(5))
+    assert re.fullmatch(r"3\d{3} \d{6} \d{5} 1234", got[5][0]) and "822463" not in got[5][0]
+    assert got[6] == (texts[6], [])
+
+
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("id")).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
