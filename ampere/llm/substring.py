@@ -135,7 +135,7 @@ def rewrite(text: str | None, spans: list[tuple[int, int]]) -> dict:
     stays, and where a span goes, that in front of it. Texts without a span
     are unchanged."""
     if not spans:
-        return {"text": text, "n_kept": None if text is None else len(text.split())}
+        return {"text": text, "n_kept": None if text is None else len(text.encode().split())}
     raw = (text or "").encode()
     starts, ends = W.word_spans(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
     parts, at = [], 0
@@ -277,10 +277,10 @@ def op3_substring_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages, ``n_chars`` counted anew;
-    documents of which no word is left go."""
+    documents that had words and of which none is left go."""
     out = remove_repeats(docs, rewrite, REWRITE_DDL, docs.columns)
     changed = {"text": F.col("result.text"), "n_chars": F.char_length("result.text").cast(docs.schema["n_chars"].dataType)}
-    kept = F.col("result.n_kept") > 0
+    kept = (F.col("result.n_kept") > 0) | F.col("result.text").eqNullSafe(F.col("row.text"))
     return out.where(kept).select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 

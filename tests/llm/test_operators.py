@@ -166,6 +166,13 @@ def test_substring_stage_keeps_spacing(spark):
     assert out == {1: (rows[0][1], len(rows[0][1])), 2: ("a\tb\n c  d", 9)}
 
 
+def test_substring_stage_drops_only_what_it_emptied(spark):
+    texts = [PASSAGE, PASSAGE, None, "", " \n", "\u00a0", "\u3000", "a b"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    out = {r.doc_id: r.text for r in substring.stage(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert out == {i: t for i, t in enumerate(texts) if i != 1}
+
+
 def test_byte_bpe_equals_tiktoken(docs):
     import tiktoken
 
