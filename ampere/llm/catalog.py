@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampere.llm import bpe, embeddings, fingerprints, neardup, packing, pii, quality, substring, toxicity, urls
+from ampere.llm import alignment, bpe, embeddings, fingerprints, maintext, neardup, negatives, packing, pii, quality, substring, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +38,16 @@ QUERIES: dict[str, Query] = {
     "op8_packing": _over("documents", packing.op8_packing),
     "op9_minhash_neardup": _over("documents", neardup.op9_minhash_neardup),
     "op10_pii_surrogates": _over("documents", pii.op10_pii_surrogates),
+    "op11_main_text": _over("pages", maintext.op11_main_text),
+    "op12_alignment": _over("documents", alignment.op12_alignment),
+    "op13_hard_negatives": _over("embeddings", negatives.op13_hard_negatives),
 }
 
 #: The other operators hold a model, a sketch, a tokenizer or keyed draws, and
 #: are tested against brute-force versions instead.
-ORACLE: dict[str, str] = {"op3_substring_dedup": substring.ORACLE, "op6_embedding_neardup": embeddings.ORACLE}
+ORACLE: dict[str, str] = {
+    "op3_substring_dedup": substring.ORACLE,
+    "op6_embedding_neardup": embeddings.ORACLE,
+    "op11_main_text": maintext.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
+}
