@@ -66,6 +66,8 @@ SCOPE = frozenset(("table", "td", "th", "caption", "article", "main", "body", "h
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？،؛؟।]")
 
+_CUT_OFF = re.compile(r"<[/!?]?[a-zA-Z!?][^>]*$")
+
 #: Width of the smoothing in text nodes, and where the threshold lies between the lowest and the highest path.
 SIGMA, THRESHOLD = 1.0, 0.25
 #: An element is the content's if it holds this share of the text on content paths.
@@ -164,12 +166,21 @@ def content_paths(paths: list[int], lengths: np.ndarray, marks: np.ndarray, sigm
     return set(unique[score >= least].tolist())
 
 
+def _whole_tags(html: str) -> str:
+    """The page without a comment or a tag that its end cuts off."""
+    at = html.rfind("<!--")
+    if at >= 0 and html.find("-->", at) < 0 and "<script" not in html[html.rfind("</script") + 1 : at]:
+        html = html[:at]
+    at = html.rfind("<")
+    return html[:at] if at >= 0 and _CUT_OFF.match(html, at) else html
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by blank lines; empty if there are none."""
     if not html:
         return ""
     page = _Page()
-    page.feed(html)
+    page.feed(_whole_tags(html))
     page.close()
     parent, tag = page.parent, page.tag
     n = len(tag)

@@ -210,10 +210,10 @@ def hard_negatives(
     count = rows.agg(F.count("*").alias("rows"), F.count(F.when(anchor, 1)).alias("anchors")).first()
     tiles, blocks = max(1, -(-count["rows"] // TILE)), max(1, -(-count["anchors"] // BLOCK))
     place = F.xxhash64("id", "key")
-    candidates = rows.select("*", F.pmod(place, F.lit(tiles)).alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    candidates = rows.select("*", F.pmod(place, F.lit(tiles)).alias("tile"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
 
     def against(anchors: DataFrame, work, ddl: str) -> DataFrame:
-        left = anchors.select("*", F.pmod(place, F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).cast("bigint").alias("tile"))
+        left = anchors.select("*", F.pmod(place, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tiles - 1).cast("bigint"))).alias("tile"))
         return left.groupBy("block", "tile").cogroup(candidates.groupBy("block", "tile")).applyInArrow(work, ddl)
 
     def first(found: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
