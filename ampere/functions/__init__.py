@@ -1,6 +1,6 @@
 """Scalar Column expressions (section 2.9 of the survey)."""
 
-from ampere.functions.classify import FUEL_RULES, classify, classify_sql, name_key, to_known_class
+from ampere.functions.classify import FUEL_RULES, classify, name_key, to_known_class
 from ampere.functions.numeric import (
     NUMBER_PATTERN,
     blank_to_null,

@@ -61,12 +61,3 @@ def to_known_class(c, classes: Sequence[str], other: str = "other") -> Column:
     """A class outside ``classes`` counts as ``other``."""
     c = as_col(c)
     return F.when(c.isin(*classes), c).otherwise(F.lit(other))
-
-
-def classify_sql(expr: str, rules: Rules = FUEL_RULES, default: str = "other") -> str:
-    """The same rules as a SQL CASE expression (used for oracle SQL and docs)."""
-    parts = []
-    for cls, words in rules:
-        conds = " OR ".join(f"contains(lower({expr}), '{w}')" for w in words)
-        parts.append(f"WHEN {conds} THEN '{cls}'")
-    return "CASE " + " ".join(parts) + f" ELSE '{default}' END"

@@ -74,17 +74,24 @@ EXACT_SCALE = 6
 def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
     """Sum that does not depend on the order of its values where they allow it.
 
-    Values that a decimal of ``scale`` decimals holds without loss are summed
-    as decimals. If a group has any other value (more decimals, NaN, an
-    infinity, a magnitude beyond the decimal's), the group's sum is the plain
-    double sum; nothing is rounded and nothing fails."""
+    Values that are whole multiples of 10**-scale are summed as whole numbers.
+    If a group has any other value (more decimals, NaN, an infinity, a
+    magnitude at which a double no longer holds that many decimals), or if the
+    sum leaves 64 bits, the group's sum is the plain double sum; nothing is
+    rounded and nothing fails."""
     return F.expr(exact_sum_sql(f"`{c}`", scale)) if isinstance(c, str) else _exact_sum(as_col(c).cast("double"), scale)
 
 
 def _exact_sum(d: Column, scale: int) -> Column:
-    q = d.try_cast(f"decimal(38,{scale})")
-    lossy = F.max(F.when(d.isNotNull(), q.isNull() | (q.cast("double") != d)))
-    return F.when(lossy, F.sum(d)).otherwise(F.coalesce(F.try_sum(q).cast("double"), F.sum(d)))
+    q = F.rint(d * float(10**scale)).try_cast("bigint")
+    lossy = F.max(F.when(d.isNotNull(), q.isNull() | (F.abs(d) >= _whole_below(scale)) | (q.cast("double") / float(10**scale) != d)))
+    unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({scale},{scale})") if scale else F.lit(1)
+    return F.when(lossy, F.sum(d)).otherwise(F.coalesce((F.try_sum(q).cast("decimal(20,0)") * unit).cast("double"), F.sum(d)))
+
+
+def _whole_below(scale: int) -> float:
+    """Doubles below this hold ``scale`` decimals."""
+    return float(2**53 // 10**scale)
 
 
 def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
@@ -99,9 +106,12 @@ def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
 
 def exact_sum_sql(expr: str, scale: int = EXACT_SCALE) -> str:
     d = f"CAST({expr} AS DOUBLE)"
-    q = f"TRY_CAST({d} AS DECIMAL(38,{scale}))"
-    lossy = f"max(CASE WHEN {d} IS NOT NULL THEN {q} IS NULL OR CAST({q} AS DOUBLE) <> {d} END)"
-    return f"(CASE WHEN {lossy} THEN sum({d}) ELSE coalesce(CAST(try_sum({q}) AS DOUBLE), sum({d})) END)"
+    power = f"{float(10**scale)!r}D"
+    q = f"TRY_CAST(rint({d} * {power}) AS BIGINT)"
+    # two aggregates of plain numbers: the check and the whole numbers; the plain sum where they do not do
+    lossy = f"max(CASE WHEN {d} IS NOT NULL THEN {q} IS NULL OR abs({d}) >= {_whole_below(scale)!r}D OR CAST({q} AS DOUBLE) / {power} <> {d} END)"
+    unit = f"CAST({10**-scale:.{scale}f}BD AS DECIMAL({scale},{scale}))" if scale else "1"
+    return f"(CASE WHEN {lossy} THEN sum({d}) ELSE coalesce(CAST(CAST(try_sum({q}) AS DECIMAL(20,0)) * {unit} AS DOUBLE), sum({d})) END)"
 
 
 def exact_avg_sql(expr: str, scale: int = EXACT_SCALE) -> str:

@@ -3,10 +3,8 @@
 Every check returns a small report DataFrame; nothing is collected to decide
 *how* to compute. Scale notes:
 
-* ``gaps`` never runs a global (single-partition) window: timestamps are first
-  reduced to distinct values (map-side partial aggregate), range-partitioned
-  into balanced shards, and ``lead`` runs per shard; the gaps across shard
-  edges come from a tiny per-shard (min, max) table.
+* ``gaps`` and ``backfill_ranges`` never order a whole timeline: they scan it
+  block by block and carry over the block summaries (``operators.segments``).
 * ``missing_buckets`` expands the span in two levels (days, then buckets
   within a day) so generation is spread over tasks.
 """
@@ -14,6 +12,7 @@ Every check returns a small report DataFrame; nothing is collected to decide
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 
 from ampere.functions.numeric import round_half_away
 from ampere.functions.time import seconds_between, trunc_ntz
+from ampere.operators.segments import BLOCK, gap_scan, run_scan
 
 STEP_UNITS = {3600: "hour", 60: "minute", 86400: "day", 1: "second"}
 
@@ -120,34 +120,13 @@ def gaps(
     ts: str,
     threshold_seconds: float,
     by: Sequence[str] = (),
-    shards: int | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Gaps between consecutive distinct timestamps (per ``by`` group) longer
-    than ``threshold_seconds``: (by..., gap_start, gap_end, gap_seconds).
-
-    One pass: distinct timestamps (partial aggregate) → range partitioning
-    into balanced shards → per shard ``lead`` and the shard minimum. A shard's
-    last row (no successor) carries the shard's edges; ``lead`` over those
-    few edge rows gives the gaps across shard boundaries. Both branches read
-    the same shuffle output."""
-    by = list(by)
-    spark = df.sparkSession
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.select(*by, F.col(ts).alias("_t")).where(F.col("_t").isNotNull()).distinct()
-    r = d.repartitionByRange(n, *by, "_t").withColumn("_shard", F.spark_partition_id())
-    w = Window.partitionBy("_shard", *by).orderBy("_t")
-    whole = Window.partitionBy("_shard", *by)
-    x = r.select(*by, "_t", F.lead("_t").over(w).alias("_next"), F.min("_t").over(whole).alias("_lo"))
-    inner = x.where(F.col("_next").isNotNull()).select(*by, F.col("_t").alias("gap_start"), F.col("_next").alias("gap_end"))
-    edges = x.where(F.col("_next").isNull()).select(*by, "_lo", F.col("_t").alias("_hi"))
-    we = Window.partitionBy(*by).orderBy("_lo")
-    across = edges.select(*by, F.col("_hi").alias("gap_start"), F.lead("_lo").over(we).alias("gap_end"))
-    across = across.where(F.col("gap_end").isNotNull())
-    allg = inner.unionByName(across)
-    secs = seconds_between(F.col("gap_end"), F.col("gap_start"))
-    return allg.select(*by, "gap_start", "gap_end", secs.alias("gap_seconds")).where(
-        F.col("gap_seconds") > F.lit(float(threshold_seconds))
-    )
+    than ``threshold_seconds``: (by..., gap_start, gap_end, gap_seconds), by
+    a segmented scan (``segments.gap_scan``)."""
+    found = gap_scan(df, ts, math.floor(threshold_seconds * 1_000_000), by, block)
+    return found.select(*by, "gap_start", "gap_end", seconds_between(F.col("gap_end"), F.col("gap_start")).alias("gap_seconds"))
 
 
 # ── Q3 missing buckets, A12 coverage ─────────────────────────────────────────
@@ -187,20 +166,14 @@ def missing_buckets(
     return all_b.select(*by, "bucket").join(present, [*by, "bucket"], "left_anti")
 
 
-def backfill_ranges(missing: DataFrame, bucket: str = "bucket", step_seconds: int = 3600, by: Sequence[str] = ()) -> DataFrame:
+def backfill_ranges(
+    missing: DataFrame, bucket: str = "bucket", step_seconds: int = 3600, by: Sequence[str] = (), block: int = BLOCK
+) -> DataFrame:
     """Collapse missing buckets into contiguous ranges to re-fetch (I3):
-    (by..., range_start, range_end, buckets). Islands: ``bucket - n·step`` is
-    constant along a run of consecutive buckets. The input is the missing
-    set, bounded by the calendar span / step, not by the data volume."""
-    by = list(by)
-    w = Window.partitionBy(*by).orderBy(bucket)
-    rn = F.row_number().over(w)
-    back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (rn.cast("long") * F.lit(step_seconds)).cast("decimal(18,6)"))
-    island = F.col(bucket) - back
-    g = missing.select(*by, bucket, island.alias("_island"))
-    return g.groupBy(*by, "_island").agg(
-        F.min(bucket).alias("range_start"), F.max(bucket).alias("range_end"), F.count(F.lit(1)).alias("buckets")
-    ).drop("_island")
+    (by..., range_start, range_end, buckets), by a segmented scan
+    (``segments.run_scan``), so that also without ``by`` no task holds all."""
+    runs = run_scan(missing, bucket, step_seconds * 1_000_000, by, block)
+    return runs.select(*by, F.col("run_start").alias("range_start"), F.col("run_end").alias("range_end"), F.col("n").alias("buckets"))
 
 
 def coverage(

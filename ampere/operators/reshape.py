@@ -166,10 +166,14 @@ def plants_to_fuels(
 
 
 def cells_to_long(df: DataFrame, headers: str, cells: str, var: str = "column", value: str = "value") -> DataFrame:
-    """Row of cells + header list → long (column, value) pairs."""
-    return df.select("*", F.explode(F.map_from_arrays(F.col(headers), F.col(cells))).alias(var, value)).drop(
-        headers, cells
-    )
+    """Row of cells + header list → long (column, value) pairs (F10). Cells
+    without a header and headers without a cell are left out; a header that
+    occurs twice has a row for each."""
+    from ampere.functions.text import zip_shortest
+
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (headers, cells)]
+    pairs = df.select(*rest, F.explode(zip_shortest(headers, cells)).alias("_z"))
+    return pairs.select(*rest, F.col("_z").getField("0").alias(var), F.col("_z").getField("1").alias(value))
 
 
 def posexplode_zip(df: DataFrame, a: str, b: str, keep: Sequence[str], names=("left", "right")) -> DataFrame:

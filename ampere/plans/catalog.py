@@ -967,13 +967,33 @@ def empty_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 # ── pages (S11, S12, J5, F9, F10) ────────────────────────────────────────────
 
-_LI = """'(?is)<li(?: [^>]*)?>\\s*<a (?:[^>]* )?href="([^"]*)"[^>]*>(.*?)</a>'"""
-_LINKS = f"list_transform(regexp_extract_all(html, {_LI}, {{g}}), lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))"
+# The oracle has a rule of its own: a page is cut at the element's start tags, and each part
+# ends at the first tag that cannot stand within the element.
+_NO_CODE = r"regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g')"
+_ENDS_OF = {
+    "p": "</?(p|h[1-6]|div|ul|ol|li|table|section|article|nav|aside|header|footer|main|body|html|blockquote|pre|form|hr)[ >]",
+    "h1": "</?h[1-6][ >]|</(article|section|div|body|html)>",
+}
+
+
+def _q_decoded(x: str) -> str:
+    out = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for name, code in (("lt", 60), ("gt", 62), ("quot", 34), ("apos", 39), ("nbsp", 160), ("copy", 169), ("middot", 183), ("amp", 38)):
+        out = f"replace({out}, '&{name};', chr({code}))"
+    return out
 
 
 def q_texts(tag: str) -> str:
-    found = f"regexp_extract_all(html, '(?is)<{tag}(?: [^>]*)?>(.*?)</{tag}>', 1)"
-    return f"list_transform({found}, lambda x: regexp_replace(x, '<[^>]*>', '', 'g'))"
+    parts = f"list_slice(regexp_split_to_array({_NO_CODE}, '(?i)<{tag}( [^>]*)?>'), 2, NULL)"
+    return f"list_transform({parts}, lambda x: {_q_decoded(f"""regexp_replace(x, '(?is)({_ENDS_OF[tag]}).*', '')""")})"
+
+
+_ITEMS = f"list_filter(list_slice(regexp_split_to_array({_NO_CODE}, '(?i)<li( [^>]*)?>'), 2, NULL), lambda x: regexp_matches(x, '(?is)^\\s*<a [^>]*href='))"
+_LINK_OF = {
+    1: _q_decoded("""regexp_extract(x, '(?is)^\\s*<a [^>]*href="([^"]*)"', 1)"""),
+    2: _q_decoded("regexp_replace(regexp_replace(x, '(?is)^\\s*<a [^>]*>', ''), '(?is)</(a|li)>.*', '')"),
+}
+_LINKS = {g: f"list_transform({_ITEMS}, lambda x: {_LINK_OF[g]})" for g in (1, 2)}
 
 
 _PARAS = q_texts("p")
@@ -993,7 +1013,7 @@ def html_headings_q(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "html_list_items",
     f"""
-WITH a AS (SELECT page_id, {_LINKS.format(g=1)} AS hrefs, {_LINKS.format(g=2)} AS texts FROM pages),
+WITH a AS (SELECT page_id, {_LINKS[1]} AS hrefs, {_LINKS[2]} AS texts FROM pages),
 u AS (SELECT page_id, hrefs, texts, unnest(range(len(hrefs))) AS i FROM a)
 SELECT page_id, CAST(i AS BIGINT) AS pos, hrefs[i + 1] AS href, texts[i + 1] AS text FROM u""",
 )
@@ -1004,7 +1024,7 @@ def html_list_items_q(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "zip_arrays",
     f"""
-WITH a AS (SELECT page_id, {_LINKS.format(g=1)} AS hrefs, {_PARAS} AS paras FROM pages),
+WITH a AS (SELECT page_id, {_LINKS[1]} AS hrefs, {_PARAS} AS paras FROM pages),
 u AS (SELECT page_id, hrefs, paras, unnest(range(least(len(hrefs), len(paras)))) AS i FROM a)
 SELECT page_id, CAST(i AS BIGINT) AS pos, hrefs[i + 1] AS href, paras[i + 1] AS para FROM u""",
 )
@@ -1022,7 +1042,7 @@ def zip_arrays(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "pad_rows",
     f"""
-WITH a AS (SELECT page_id, {_LINKS.format(g=2)} AS cells, len({_PARAS}) AS n FROM pages)
+WITH a AS (SELECT page_id, {_LINKS[2]} AS cells, len({_PARAS}) AS n FROM pages)
 SELECT page_id, CAST(len(cells) + greatest(n - len(cells), 0) AS BIGINT) AS n_cells,
   CASE WHEN len(cells) = 0 THEN repeat('|', greatest(n - 1, 0))
        ELSE array_to_string(cells, '|') || repeat('|', greatest(n - len(cells), 0)) END AS joined
@@ -1288,4 +1308,4 @@ def conditional_fill_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 # the composite plans (staging, marts, dashboard) register themselves on import
-from ampere.plans import catalog_backfill, catalog_marts  # noqa: E402,F401
+from ampere.plans import catalog_backfill, catalog_marts, catalog_pages  # noqa: E402,F401

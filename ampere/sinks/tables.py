@@ -2,7 +2,8 @@
 
 There is no MERGE on plain Parquet, so a keyed upsert is:
 
-1. read only the target partitions the batch touches (partition pruning);
+1. read only the target partitions the batch touches, and those that hold one
+   of its keys elsewhere (partition pruning; ``key_index`` rules out the rest);
 2. compute the merged rows of those partitions (``keyed.upsert``);
 3. write them to a staging folder next to the table (a finished job — if an
    executor is lost, Spark recomputes tasks, and a failed job leaves the
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 
 from ampere.operators.keyed import new_rows_absent, one_per_key, upsert
 from ampere.operators.quality import enforce_schema
+from ampere.sinks import key_index
 
 
 def _fs(spark: SparkSession, path: str):
@@ -40,6 +43,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A table exists when its folder holds a success marker, a declared
     schema or data."""
@@ -54,6 +62,11 @@ def _has_data(spark: SparkSession, path: str) -> bool:
     return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether the table exists and holds data files."""
+    return table_exists(spark, path) and _has_data(spark, path)
+
+
 def _staging(path: str) -> str:
     return path.rstrip("/") + f".__staging-{uuid.uuid4().hex[:12]}"
 
@@ -77,14 +90,23 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a table; a declared one without data has none, under its
+    declared schema. A path that is a single file is read as it is."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(path if _has_data(spark, path) else path.rstrip("/") + "/_schema")
+    if _has_data(spark, path):
+        return r.parquet(path)
+    declared = path.rstrip("/") + "/_schema"
+    return r.parquet(declared if path_exists(spark, declared) else path)
 
 
 def stored_partitions(spark: SparkSession, path: str, partition_by: Sequence[str]) -> list[tuple[str | None, ...]]:
     """The partitions of a table by its folders: metadata, no Spark job."""
+    return [values for values, _ in _partition_folders(spark, path, partition_by)]
+
+
+def _partition_folders(spark: SparkSession, path: str, partition_by: Sequence[str]) -> list[tuple[tuple[str | None, ...], str]]:
     from urllib.parse import unquote
 
     found = [((), path.rstrip("/"))]
@@ -98,12 +120,16 @@ def stored_partitions(spark: SparkSession, path: str, partition_by: Sequence[str
                     value = None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
                     deeper.append(((*values, value), f.getPath().toString()))
         found = deeper
-    return [values for values, _ in found]
+    return found
 
 
 def touched_partitions(target: DataFrame, touched: Sequence[tuple[str | None, ...]], partition_by: Sequence[str]) -> DataFrame:
     """Restrict ``target`` to some partitions by a filter on literals, so that
     the scan lists only their folders."""
+    if len(partition_by) == 1:
+        c = partition_by[0]
+        cond = F.col(c).isin([F.lit(v).cast(target.schema[c].dataType) for (v,) in touched if v is not None])
+        return target.filter(cond | F.col(c).isNull() if (None,) in touched else cond)
     cond = F.lit(False)
     for values in touched:
         term = F.lit(True)
@@ -113,6 +139,13 @@ def touched_partitions(target: DataFrame, touched: Sequence[tuple[str | None, ..
     return target.filter(cond)
 
 
+class Merge(NamedTuple):
+    """Partitions of the table whose keys were read, and that were rewritten."""
+
+    read: list[tuple[str | None, ...]]
+    written: list[tuple[str | None, ...]]
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -121,14 +154,16 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     batch_order: Sequence | None = None,
     schema: T.StructType | None = None,
-) -> None:
+) -> Merge:
     """Keyed merge of ``batch`` into the Parquet table at ``path`` (K1).
 
     The first load goes through the same deduplication as later ones. The
-    batch is computed once, into a staging table. Where a key of the batch is
-    stored in another partition than the batch's, the whole table is rewritten
-    so that the old row goes; else only the touched partitions are. Columns
-    new in the batch are added, and are NULL in stored rows.
+    batch is computed once, into a staging table. Only the partitions that the
+    batch touches are merged and rewritten, and with them those in which a key
+    of the batch is stored although the batch has it in another one, so that
+    the old row goes. Where the keys do not hold the partition columns, the
+    key index says which partitions may be such; only their keys are read.
+    Columns new in the batch are added, and are NULL in stored rows.
     """
     keys, partition_by = list(keys), list(partition_by)
     if schema is not None:
@@ -136,26 +171,42 @@ def upsert_table(
     fresh = _staging(path)
     _write(one_per_key(batch, keys, batch_order), fresh, partition_by)
     batch = spark.read.schema(batch.schema).parquet(fresh).select(*batch.columns)
+    moving = bool(partition_by) and not set(partition_by) <= set(keys)
+    written = stored_partitions(spark, fresh, partition_by) if partition_by else []
+    probed: list[tuple[str | None, ...]] = []
     stage = None
     if not table_exists(spark, path) or not _has_data(spark, path):
         _write(batch, path, partition_by)
     else:
         target = spark.read.parquet(path)
-        whole = not partition_by
-        if not set(partition_by) <= set(keys) and partition_by:
-            stored = target.join(batch.select(*keys), keys, "left_semi").select(*keys, *[c for c in partition_by if c not in keys])
-            same = batch.select(*keys, *[c for c in partition_by if c not in keys])
-            whole = not stored.exceptAll(same).isEmpty()
-        if not whole:
-            target = touched_partitions(target, stored_partitions(spark, fresh, partition_by), partition_by)
+        if moving:
+            probed = [p for p in key_index.may_hold(spark, path, batch, keys, partition_by) if p not in set(written)]
+            if probed:
+                stored = touched_partitions(target, probed, partition_by).join(batch.select(*keys), keys, "left_semi")
+                stored = stored.select(*[F.col(c).cast("string") for c in partition_by]).distinct()
+                written += [tuple(r) for r in stored.collect()]
+        if partition_by:
+            target = touched_partitions(target, written, partition_by)
         merged = upsert(target, batch, keys)
         stage = _staging(path)
         _write(merged, stage, partition_by)
-        staged = spark.read.parquet(stage).select(*merged.columns)
-        _write(staged, path, partition_by, "static" if whole else "dynamic")
-    fs, _ = _fs(spark, path)
+        if _has_data(spark, stage):
+            staged = spark.read.schema(merged.schema).parquet(stage).select(*merged.columns)
+            _write(staged, path, partition_by, "dynamic" if partition_by else "static")
+        if partition_by:  # a partition that has lost its last row
+            drop_partitions(spark, path, partition_by, set(written) - set(stored_partitions(spark, stage, partition_by)))
+    if moving:
+        key_index.refresh(spark, path, keys, partition_by)
     for done in filter(None, (fresh, stage)):
-        fs.delete(_fs(spark, done)[1], True)
+        delete(spark, done)
+    return Merge(sorted({*probed, *written}, key=str), sorted(written, key=str))
+
+
+def drop_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], gone: set[tuple[str | None, ...]]) -> None:
+    if gone:
+        for values, folder in _partition_folders(spark, path, partition_by):
+            if values in gone:
+                delete(spark, folder)
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str], overwrite: str = "static") -> None:

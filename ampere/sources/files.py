@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 
 from ampere.functions.text import normalize_header_name
 from ampere.functions.time import hour_ending_to_start
+from ampere.sources import lines
 
 #: Column that orders the rows of a scan by file and position.
 ROW = "_row"
@@ -29,32 +29,38 @@ ERA_EXCEL_2019 = (dt.date(2019, 1, 1), dt.date(2019, 4, 30))
 ERA_CSV_START = dt.date(2019, 5, 1)
 
 
-def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Keep the paths (globs allowed) that match at least one file."""
-    jvm = spark._jvm
+def _matches(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """Each path (globs allowed) and the files or folders it stands for. A
+    folder is listed once, however many of its files are asked for (S5)."""
+    paths = list(paths)
+    path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
-    out = []
+    folders: dict[str, dict[str, str]] = {}
+    out: dict[str, list[str]] = {}
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        st = fs.globStatus(hp)
-        if st is not None and len(st) > 0:
-            out.append(p)
+        folder, _, name = p.rstrip("/").rpartition("/")
+        if any(c in p for c in "*?[{") or not folder:
+            hp = path(p)
+            out[p] = [s.getPath().toString() for s in hp.getFileSystem(conf).globStatus(hp) or []]
+            continue
+        if folder not in folders:
+            hp = path(folder)
+            fs = hp.getFileSystem(conf)
+            listed = fs.listStatus(hp) if fs.exists(hp) else []
+            folders[folder] = {s.getPath().getName(): s.getPath().toString() for s in listed}
+        found = folders[folder].get(name)
+        out[p] = [found] if found else []
     return out
 
 
+def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Keep the paths (globs allowed) that match at least one file."""
+    return [p for p, found in _matches(spark, paths).items() if found]
+
+
 def expand_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Concrete file paths behind ``paths`` (globs expanded, missing skipped)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        st = hp.getFileSystem(conf).globStatus(hp)
-        for s in st or []:
-            if s.isFile():
-                out.append(s.getPath().toString())
-    return out
+    """Concrete paths behind ``paths`` (globs expanded, missing skipped)."""
+    return [f for found in _matches(spark, paths).values() for f in found]
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -76,58 +82,41 @@ def select_present(df: DataFrame, cols: Sequence[str], absent_type: str = "doubl
     return df.select(*[F.col(c) if c in have else F.lit(None).cast(absent_type).alias(c) for c in cols])
 
 
-def scan_fuel_csv(spark: SparkSession, paths: Sequence[str], fuels: Sequence[str], on_bad: str = "raise") -> DataFrame:
+def scan_fuel_csv(
+    spark: SparkSession, paths: Sequence[str], fuels: Sequence[str], on_bad: str = "raise", file_col: str | None = None
+) -> DataFrame:
     """Monthly fuel-mix CSVs → (timestamp, fuels..., other NULL).
 
     The column layout may drift from file to file (padded headers, a fuel
-    column added or dropped), and Spark's CSV reader would apply the first
-    file's header to all files. So every file is read header-less, as rows of
-    strings tagged with their file, and each data row is matched with the
-    header row of its own file (the row with a ``Date`` and an ``Hour`` cell): a
-    fuel's value is the cell at the fuel's position in that header. All of
-    it is one distributed scan plus a join on the file path; no per-file
-    work on the driver. Missing files are skipped; none gives an empty
-    typed frame; a fuel absent from a file is NULL. A line of one
-    filled cell is a note and left out. Any other row whose date or hour does
-    not parse, or whose file has no such header, fails the query; with
-    ``on_bad="drop"`` it is left out too.
+    column added or dropped), so every line meets the header of its own file
+    (the row with a ``Date`` and an ``Hour`` cell): one scan for all layouts, no
+    job while the plan is built (``sources.lines``). Missing files are
+    skipped; none gives an empty typed frame; a fuel absent from a file is
+    NULL. A line of one filled cell is a note and left out. Any other row
+    whose date or hour does not parse, or whose file has no such header, fails
+    the query; with ``on_bad="drop"`` it is left out too. ``file_col`` names a
+    column for the row's file.
     """
-    out_schema = T.StructType(
-        [T.StructField("timestamp", T.TimestampNTZType())]
-        + [T.StructField(f, T.DoubleType()) for f in fuels]
-        + [T.StructField("other", T.DoubleType())]
-    )
+    fields = [T.StructField("timestamp", T.TimestampNTZType())]
+    fields += [T.StructField(f, T.DoubleType()) for f in [*fuels, "other"]]
+    fields += [T.StructField(file_col, T.StringType())] if file_col else []
     found = existing_paths(spark, paths)
     if not found:
-        return empty_frame(spark, out_schema)
-    # as many cells as the widest line can hold; commas within quotes only add to it
-    n = spark.read.text(found).agg(F.max(F.size(F.split("value", ","))).alias("n")).first()["n"] or 1
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
-    raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(found)
-    cells = F.array(*[F.col(f"_c{i}") for i in range(n)])
-    rows = raw.select(F.col("_metadata.file_path").alias("_file"), cells.alias("_cells"))
+        return empty_frame(spark, T.StructType(fields))
+    rows = lines.scan_cells(spark, found)
     norm = lambda c: F.replace(F.lower(F.trim(c)), F.lit(" "), F.lit("_"))  # noqa: E731  (S2 on cells)
-    is_header = F.exists("_cells", lambda c: norm(c) == "date") & F.exists("_cells", lambda c: norm(c) == "hour")
-    is_header = F.coalesce(is_header, F.lit(False))
-    filled = F.size(F.filter("_cells", lambda c: F.trim(c) != ""))
-    headers = rows.where(is_header).select(
-        "_file", F.transform("_cells", lambda c: F.coalesce(norm(c), F.lit(""))).alias("_names")
-    )
-    headers = headers.dropDuplicates(["_file"])
-    data = rows.where(~is_header & (filled != 0)).join(headers, "_file", "left")
-
-    def cell(name: str):
-        pos = F.array_position("_names", F.lit(name))
-        return F.when(pos > 0, F.try_element_at("_cells", pos.cast("int")))
-
-    ts = hour_ending_to_start(
-        F.try_to_timestamp(F.trim(cell("date"))).cast("date"), F.trim(cell("hour")).try_cast("int")
-    )
-    vals = [F.nullif(F.trim(cell(f)), F.lit("")).cast("double").alias(f) for f in fuels]
+    is_header = F.exists(lines.CELLS, lambda c: norm(c) == "date") & F.exists(lines.CELLS, lambda c: norm(c) == "hour")
+    data = lines.with_headers(rows, norm, F.coalesce(is_header, F.lit(False)))
+    filled = F.size(F.filter(lines.CELLS, lambda c: F.trim(c) != ""))
+    data = data.where(filled != 0)
+    date, hour = (F.trim(lines.cell(n)) for n in ("date", "hour"))
+    ts = hour_ending_to_start(F.try_to_timestamp(date).cast("date"), hour.try_cast("int"))
+    vals = [F.nullif(F.trim(lines.cell(f)), F.lit("")).cast("double").alias(f) for f in fuels]
     if on_bad == "raise":
-        line = F.concat(F.lit("no date and hour in "), F.col("_file"), F.lit(": "), F.concat_ws(",", "_cells"))
+        line = F.concat(F.lit("no date and hour in "), F.col(lines.FILE), F.lit(": "), F.concat_ws(",", lines.CELLS))
         ts = F.coalesce(ts, F.when(filled > 1, F.raise_error(line).cast("timestamp_ntz")))
-    out = data.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"))
+    named = [F.col(lines.FILE).alias(file_col)] if file_col else []
+    out = data.select(ts.alias("timestamp"), *vals, F.lit(None).cast("double").alias("other"), *named)
     return out.filter(F.col("timestamp").isNotNull())
 
 
@@ -180,23 +169,46 @@ def label_from_path(suffix: str = ".csv") -> Column:
     return F.regexp_extract(name, r"^(.*)" + suffix.replace(".", r"\.") + "$", 1)
 
 
-def scan_hist_csv(spark: SparkSession, paths: Sequence[str], index: str = "timestamp", label: str | None = None) -> DataFrame | None:
+def scan_hist_csv(
+    spark: SparkSession,
+    paths: Sequence[str],
+    index: str = "timestamp",
+    label: str | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame | None:
     """Historical wide CSVs whose first, unnamed column is the index (S9):
     the first column is renamed to ``index`` and other headers stripped; with
     ``label`` a column derived from the file name is added (S10).
 
-    Every file (one a year or rate type) is scanned under its own header and
-    the scans are united by column name; a column that a file lacks is NULL.
-    ``_row`` orders the rows by file, then by position, for first-wins
-    dedupes (A10, U2)."""
-    parts = []
-    for rank, path in enumerate(expand_paths(spark, paths)):
-        raw = spark.read.option("header", True).csv(path)
-        raw = raw.toDF(index, *[c.strip() for c in raw.columns[1:]])
-        start = F.col("_metadata.file_block_start").alias("start")
-        extra = [F.struct(F.lit(rank).alias("file"), start, F.monotonically_increasing_id().alias("pos")).alias(ROW)]
-        parts.append(raw.select("*", *([label_from_path().alias(label)] if label else []), *extra))
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
+    All files are one scan, each line under its own file's header
+    (``sources.lines``); a column that a file lacks is NULL, cells beyond the
+    header are left out. ``columns`` names the value columns; without it they
+    are read from the headers, which takes one job while the plan is built.
+    ``_row`` orders the rows by file name, then by position, for first-wins
+    dedupes (A10, U2). No file gives None."""
+    found = expand_paths(spark, paths)
+    if not found:
+        return None
+    rows = lines.scan_cells(spark, found)
+    if columns is None:
+        columns = _header_names(rows)
+    data = lines.with_headers(rows, F.trim)
+    order = F.struct(F.col(lines.FILE).alias("file"), F.col(f"{lines.POS}.start").alias("start"), F.col(f"{lines.POS}.line").alias("pos"))
+    return data.select(
+        F.try_element_at(lines.CELLS, F.lit(1)).alias(index),
+        *[lines.cell(c).alias(c) for c in columns],
+        *([lines.file_name().alias(label)] if label else []),
+        order.alias(ROW),
+    )
+
+
+def _header_names(rows: DataFrame) -> list[str]:
+    """The names of all headers but the index, in the order of the files: one
+    row for each layout comes to the driver."""
+    headers = rows.groupBy(lines.FILE).agg(F.min_by(lines.CELLS, lines.POS).alias("names"))
+    layouts = headers.groupBy("names").agg(F.min(lines.FILE).alias("file")).orderBy("file")
+    names = (n.strip() for r in layouts.select(F.slice("names", 2, 1 << 30).alias("n")).collect() for n in r["n"] if n)
+    return [n for n in dict.fromkeys(names) if n]
 
 
 def scan_generator_xml(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -300,12 +312,13 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def table_or_empty(spark: SparkSession, path: str | None, schema: T.StructType | None) -> DataFrame | None:
-    """The table at ``path``; when absent, an empty frame of ``schema``, or
-    None where no schema is given (S14)."""
-    from ampere.sinks.tables import table_exists
+    """The table at ``path``, also one that was declared but holds no rows yet;
+    when absent, an empty frame of ``schema``, or None where no schema is
+    given (S14)."""
+    from ampere.sinks.tables import read_table, table_exists
 
     if path is not None and table_exists(spark, path):
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     return None if schema is None else empty_frame(spark, schema)
 
 

@@ -1,7 +1,7 @@
 """Landed HTML pages → rows.
 
-Regular, flat markup (headings, list links, labelled values) is extracted
-with ``regexp_extract_all`` / ``regexp_extract`` — JVM-side, no Python.
+Headings, paragraphs and list links come from the page's tag stream
+(``tag_stream``), labelled values from ``regexp_extract`` — JVM-side, no Python.
 Rate tables need a real tree walk (a heading's child count decides whether
 it names a table, cells hold nested markup), so ``html_tables`` parses each
 page with the standard library's ``html.parser`` inside ``mapInPandas``:
@@ -18,23 +18,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampere.functions.numeric import parse_numeric, strip_units
-
-LINK_PATTERN = r'(?is)<li(?:\s[^>]*)?>\s*<a\s(?:[^>]*\s)?href="([^"]*)"[^>]*>(.*?)</a>'
-TAG_PATTERN = r"<[^>]*>"
-
+from ampere.sources import tag_stream
 
 def element_texts(col: str, tag: str) -> Column:
-    """The text of every ``tag`` element in order, attributes and nested markup
-    left out (elements of the tag itself do not nest)."""
-    inner = F.regexp_extract_all(F.col(col), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), 1)
-    return F.transform(inner, lambda x: F.regexp_replace(x, TAG_PATTERN, ""))
+    """The text of every ``tag`` element in order, by the tag stream: implied
+    ends count, markup is left out, references are decoded."""
+    return tag_stream.element_texts(F.col(col), tag)
 
 
 def links(col: str) -> tuple[Column, Column]:
     """Targets and texts of the links that open a list item."""
-    href = F.regexp_extract_all(F.col(col), F.lit(LINK_PATTERN), 1)
-    text = F.regexp_extract_all(F.col(col), F.lit(LINK_PATTERN), 2)
-    return href, F.transform(text, lambda x: F.regexp_replace(x, TAG_PATTERN, ""))
+    found = tag_stream.item_links(F.col(col))
+    return F.transform(found, lambda x: x["href"]), F.transform(found, lambda x: x["text"])
 
 
 def explode_all(df: DataFrame, arrays: Sequence[Column], names: Sequence[str], keep: Sequence[str]) -> DataFrame:

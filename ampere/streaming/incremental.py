@@ -8,7 +8,6 @@ the new months are scanned.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -42,7 +41,3 @@ def incremental_merge(
     if month_col:
         batch = batch.filter(F.col(month_col) >= F.date_format(start, "yyyy-MM"))
     return upsert(target, batch, keys, batch_order)
-
-
-def month_floor(d: dt.date) -> dt.date:
-    return dt.date(d.year, d.month, 1)

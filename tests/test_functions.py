@@ -192,3 +192,22 @@ def test_exact_sums_keep_small_and_odd_values(spark):
     assert got["a"] == (0.012, 0.012 / 3) and got["b"][0] == 1e17 + 1 and math.isnan(got["c"][0])
     assert got["d"][0] is None and got["e"][0] == 2e-9
     assert spark.createDataFrame([("\tPlant\u00a0",)], "n string").select(name_key("n").alias("k")).first().k == "PLANT"
+
+
+def test_exact_sums_of_great_and_odd_values(spark):
+    """Whole numbers where they are exact, the plain sum elsewhere; both forms agree."""
+    from ampere.functions import exact_sum
+    from ampere.functions.numeric import _exact_sum
+
+    groups = {
+        "cents": [0.1] * 10 + [1e9 + 0.25], "big": [1e12 + 0.5, 1.0], "tiny": [1e-7, 1e-7], "nan": [float("nan"), 1.0], "inf": [float("inf"), 1.0],
+        "none": [None, None], "whole": [8e9] * 2000, "minus": [-0.25, 0.5, None],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    out = df.groupBy("g").agg(exact_sum("v").alias("a"), _exact_sum(F.col("v"), 6).alias("b"), F.sum("v").alias("s"))
+    got = {r.g: r for r in out.collect()}
+    for g, r in got.items():
+        assert r.a == r.b or (r.a != r.a and r.b != r.b)
+    assert got["cents"].a == 1000000001.25 and got["big"].a == 1e12 + 1.5 and got["tiny"].a == 2e-7 and got["none"].a is None
+    assert got["nan"].a != got["nan"].a and got["inf"].a == float("inf") and got["whole"].a == 1.6e13 and got["minus"].a == 0.25

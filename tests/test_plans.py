@@ -35,9 +35,20 @@ def test_aggregates_are_partial_before_shuffle(spark, name):
     assert "partial_" in plan(spark, name)
 
 
-def test_gaps_are_range_sharded(spark):
-    p = plan(spark, "gaps_global")
-    assert "rangepartitioning" in p and "hashpartitioning(_shard" in p
+def test_gaps_are_scanned_in_blocks(spark):
+    """Cells, blocks and the block summaries: no other exchange, and no global order."""
+    import re
+
+    for name, summary in (("gaps_global", set()), ("gaps_by_key", {"user_id"})):
+        p = plan(spark, name)
+        assert "rangepartitioning" not in p and "partial_min" in p
+        keys = {frozenset(re.findall(r"(\w+)#", k)) for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)}
+        assert keys - {frozenset(summary)} == {frozenset({"_cell"} | summary), frozenset({"_block"} | summary)}
+
+
+def test_ranges_are_found_in_blocks(spark):
+    p = plan(spark, "backfill_ranges")
+    assert "hashpartitioning(_phase" in p and "_block" in p
 
 
 def test_split_full_outer_has_no_full_outer_join(spark):

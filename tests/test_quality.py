@@ -77,16 +77,16 @@ def brute_gaps(ts_list, threshold):
     return [(a, b) for a, b in zip(s, s[1:]) if (b - a).total_seconds() > threshold]
 
 
-@pytest.mark.parametrize("shards", [1, 3, 7])
-def test_gaps_sharded_equals_brute_force(spark, shards):
-    rnd = random.Random(shards)
+@pytest.mark.parametrize("block", [1, 3, 7, 1 << 16])
+def test_gaps_equal_brute_force(spark, block):
+    rnd = random.Random(block)
     base = dt.datetime(2024, 1, 1)
     ts = [base + dt.timedelta(minutes=rnd.choice([1, 5, 30, 90]) * i) for i in range(300)]
     ts += ts[:20] + [None]  # duplicates and a NULL
     df = spark.createDataFrame([(t, "k%d" % (i % 3)) for i, t in enumerate(ts)], "ts timestamp_ntz, key string")
-    got = sorted((r.gap_start, r.gap_end) for r in quality.gaps(df, "ts", 3600, shards=shards).collect())
+    got = sorted((r.gap_start, r.gap_end) for r in quality.gaps(df, "ts", 3600, block=block).collect())
     assert got == brute_gaps(ts, 3600)
-    by = sorted((r.key, r.gap_start, r.gap_end) for r in quality.gaps(df, "ts", 3600, by=["key"], shards=shards).collect())
+    by = sorted((r.key, r.gap_start, r.gap_end) for r in quality.gaps(df, "ts", 3600, by=["key"], block=block).collect())
     exp = sorted(
         (k, a, b) for k in ("k0", "k1", "k2")
         for a, b in brute_gaps([t for i, t in enumerate(ts) if "k%d" % (i % 3) == k], 3600)
@@ -167,3 +167,46 @@ def test_missing_buckets_and_ranges_match_brute_force(spark):
                 start = None
         ranges = sorted(tuple(r) for r in quality.backfill_ranges(quality.missing_buckets(df, "ts", 3600)).collect())
         assert ranges == runs
+
+
+@pytest.mark.parametrize("threshold", [0, 0.000001, 0.5, 59, 60, 61, 3600, 86400])
+def test_gaps_at_cell_and_block_edges(spark, threshold):
+    base = dt.datetime(1969, 12, 31, 22)  # on both sides of the epoch
+    ts = [base + dt.timedelta(seconds=60 * i) for i in range(4)] + [base + dt.timedelta(seconds=3600 * i) for i in range(1, 6)]
+    ts += [base + dt.timedelta(microseconds=k) for k in (0, 1, 2, 500_000, 1_000_001)] + [base + dt.timedelta(days=3)]
+    df = spark.createDataFrame([(t,) for t in ts * 2], "ts timestamp_ntz").repartition(3)
+    for block in (1, 2, 1 << 16):
+        got = sorted((r.gap_start, r.gap_end) for r in quality.gaps(df, "ts", threshold, block=block).collect())
+        assert got == brute_gaps(ts, threshold)
+
+
+def test_gaps_of_dates_and_of_nothing(spark):
+    days = [dt.date(2024, 2, 27), dt.date(2024, 2, 28), dt.date(2024, 3, 1), None]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [(r.gap_start, r.gap_end, r.gap_seconds) for r in quality.gaps(df, "d", 86400).collect()]
+    assert got == [(days[1], days[2], 2 * 86400.0)]
+    assert quality.gaps(df.limit(0), "d", 86400).collect() == []
+    assert quality.backfill_ranges(df.limit(0), "d", 86400).collect() == []
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 1 << 16])
+def test_ranges_at_block_edges(spark, block):
+    rnd = random.Random(block)
+    base = dt.datetime(1969, 12, 30)
+    rows = [(k, base + dt.timedelta(hours=h)) for k in ("a", "b", None) for h in rnd.sample(range(90), 60)]
+    rows += [("a", base + dt.timedelta(hours=h, minutes=30)) for h in (1, 2, 3, 50)]  # off the raster: runs of their own
+    rows += rows[:5] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, bucket timestamp_ntz").repartition(3)
+    want = []
+    for k in ("a", "b", None):
+        for phase in (0, 30):
+            hours = sorted({t for x, t in rows if x == k and t is not None and t.minute == phase})
+            start = None
+            for i, t in enumerate(hours):
+                start = start or t
+                if i + 1 == len(hours) or hours[i + 1] - t != dt.timedelta(hours=1):
+                    want.append((k, start, t, int((t - start).total_seconds() // 3600) + 1))
+                    start = None
+    key = lambda r: (r[0] or "", r[1])
+    got = sorted((tuple(r) for r in quality.backfill_ranges(df, by=["k"], block=block).collect()), key=key)
+    assert got == sorted(want, key=key)
