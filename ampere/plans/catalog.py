@@ -984,11 +984,11 @@ def _q_decoded(x: str) -> str:
 
 
 def q_texts(tag: str) -> str:
-    parts = f"list_slice(regexp_split_to_array({_NO_CODE}, '(?i)<{tag}( [^>]*)?>'), 2, NULL)"
+    parts = f"(regexp_split_to_array({_NO_CODE}, '(?i)<{tag}( [^>]*)?>'))[2:]"
     return f"list_transform({parts}, lambda x: {_q_decoded(f"""regexp_replace(x, '(?is)({_ENDS_OF[tag]}).*', '')""")})"
 
 
-_ITEMS = f"list_filter(list_slice(regexp_split_to_array({_NO_CODE}, '(?i)<li( [^>]*)?>'), 2, NULL), lambda x: regexp_matches(x, '(?is)^\\s*<a [^>]*href='))"
+_ITEMS = f"list_filter((regexp_split_to_array({_NO_CODE}, '(?i)<li( [^>]*)?>'))[2:], lambda x: regexp_matches(x, '(?is)^\\s*<a [^>]*href='))"
 _LINK_OF = {
     1: _q_decoded("""regexp_extract(x, '(?is)^\\s*<a [^>]*href="([^"]*)"', 1)"""),
     2: _q_decoded("regexp_replace(regexp_replace(x, '(?is)^\\s*<a [^>]*>', ''), '(?is)</(a|li)>.*', '')"),
