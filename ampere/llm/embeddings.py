@@ -1,14 +1,17 @@
 """All pairs of embeddings at a cosine of 0.95 or more, by PCA-ordered tiles.
 
 Vectors are scaled to length one and turned onto principal axes, those of
-largest variance first. Tiles are ranges of the leading coordinate; two tiles
-farther apart in it than any linked pair can be are not compared. Two tiles
-are compared a block at a time, leading coordinates first: what the others
-can add is at most the product of the suffix norms, so a block stops, or goes
-on with the rows and columns still in question, once the bound falls below
-the threshold. The pairs left are decided by the cosine of the vectors as
-given, in double precision. Only sums of links and a spanning forest of each
-block leave a task, so a dense group costs no list of its pairs.
+largest variance first. Tiles are the leaves of median splits over the leading
+axes. A tile has a box, the range of its leading coordinates, and the range of
+its suffix norms, the length of what the other coordinates hold; a vector is
+sent to the tiles that it can reach: whose box and suffix norms are not
+farther from its own than any linked pair can be. Two tiles are compared a
+block at a time, leading coordinates first: what the others can add is at most
+the product of the suffix norms, so a block stops, or goes on with the rows
+and columns still in question, once the bound falls below the threshold. The
+pairs left are decided by the cosine of the vectors as given, in double
+precision. Only sums of links and a spanning forest of each block leave a
+task, so a dense group costs no list of its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +27,12 @@ from ampere.llm.base import connected_components, materialize
 LEAST = 0.95
 #: The axes are fitted on at most this many vectors; they decide speed alone.
 SAMPLE = 4096
-TILE, BLOCK, LEADING = 2048, 1024, 16
+TILE, BLOCK, LEADING = 8192, 1024, 16
+#: Leaves of the splits: so many boxes are all the driver and a task ever hold. A leaf of more
+#: vectors than a tile is cut into several tiles by hash.
+LEAVES = 1024
+#: Rows that are sent on together.
+SENT = 4096
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -117,44 +125,101 @@ def link_all(vectors: DataFrame, least: float = LEAST, vec_id: str = "vec_id", e
     return linked.unionByName(alone)
 
 
+def _rows(column: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([np.empty(0), *(c.flatten().to_numpy(zero_copy_only=False) for c in chunks)]).reshape(-1, d)
+
+
+def median_splits(z: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axis and cut of each inner node of a complete binary tree, in breadth-
+    first order: the axis along which the node's part of ``z`` varies most, cut
+    at its median."""
+    axes, cuts = np.zeros(2**depth - 1, dtype=np.int64), np.zeros(2**depth - 1)
+    parts = [z]
+    for node in range(2**depth - 1):
+        part = parts[node]
+        if len(part):
+            axes[node] = part.var(axis=0).argmax()
+            cuts[node] = np.median(part[:, axes[node]])
+        above = part[:, axes[node]] > cuts[node]
+        parts += [part[~above], part[above]]
+    return axes, cuts
+
+
+def leaves_of(z: np.ndarray, axes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The leaf of each row."""
+    node = np.zeros(len(z), dtype=np.int64)
+    for _ in range((len(axes) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (z[np.arange(len(z)), axes[node]] > cuts[node])
+    return node - len(axes)
+
+
+def in_reach(z: np.ndarray, low: np.ndarray, high: np.ndarray, reach: float) -> np.ndarray:
+    """Which boxes (rows of ``low`` and ``high``) come within ``reach`` of each row of ``z``."""
+    square = np.zeros((len(z), len(low)))
+    for k in range(z.shape[1]):  # one axis at a time: no array of rows x boxes x axes
+        gap = np.maximum(0, np.maximum(low[:, k] - z[:, k : k + 1], z[:, k : k + 1] - high[:, k]))
+        square += gap * gap
+    return square <= reach * reach
+
+
 def _linked(classes: DataFrame, d: int, count: int, least: float) -> DataFrame:
-    spark = classes.sparkSession
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toPandas()["v"]
     s = _unit(np.array(sample.tolist(), dtype=np.float64).reshape(-1, d))
     _, axes = np.linalg.eigh(s.T @ s - len(s) * np.outer(s.mean(axis=0), s.mean(axis=0)))
     axes = np.ascontiguousarray(axes[:, ::-1])
-    tiles = max(1, -(-count // TILE))
-    first = _unit(np.array(sample.tolist(), dtype=np.float64).reshape(-1, d)) @ axes[:, 0]
-    cuts = np.quantile(first, np.arange(1, tiles) / tiles) if tiles > 1 else np.zeros(0)
+    lead = min(LEADING, d)
+    depth = min(LEAVES, max(1, -(-count // TILE))).bit_length() - 1
+    depth += 2**depth < min(LEAVES, -(-count // TILE))
+    split, cuts = median_splits(s @ axes[:, :lead], depth)
+    names = [f"z{k}" for k in range(lead + 1)]
+
+    def coordinates(column) -> np.ndarray:
+        """Leading coordinates and suffix norm."""
+        x = _unit(_rows(column, d))
+        z = x @ axes[:, :lead]
+        return np.column_stack([z, np.sqrt(np.maximum((x * x).sum(axis=1) - (z * z).sum(axis=1), 0))])
 
-    def lead(batches):
+    def place(batches):
         for b in batches:
-            x = np.array(b.column(1).to_pylist(), dtype=np.float64).reshape(-1, d)
-            z = _unit(x) @ axes[:, 0]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(z), pa.array(np.searchsorted(cuts, z))], ["rep", "v", "n", "z", "tile"])
+            z = coordinates(b.column(1))
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, z.T), pa.array(leaves_of(z, split, cuts))], ["rep", "v", "n", *names, "leaf"])
 
-    placed = materialize(classes.mapInArrow(lead, "rep bigint, v array<double>, n bigint, z double, tile bigint"), "placed")
-    spans = placed.groupBy("tile").agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.count("*").alias("m")).toPandas().sort_values("tile")
+    ddl = "rep bigint, v array<double>, n bigint, " + ", ".join(f"{n} double" for n in names) + ", leaf bigint"
+    placed = materialize(classes.mapInArrow(place, ddl), "placed")
+    # one row for each leaf, of which there are at most LEAVES
+    spans = placed.groupBy("leaf").agg(F.count("*").alias("m"), *[f(n).alias(f.__name__ + n) for n in names for f in (F.min, F.max)]).toPandas().sort_values("leaf")
+    low, high = (spans[[f + n for n in names]].to_numpy() for f in ("min", "max"))
     reach = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-6
-    # tile t holds the parts start[t] to start[t + 1] - 1 and reaches the tiles first[t] to beyond[t] - 1
     subs = -(-spans["m"].to_numpy() // TILE)
-    start = np.append(0, np.cumsum(subs))
-    beyond = np.searchsorted(spans["lo"].to_numpy(), spans["hi"].to_numpy() + reach, side="right")
-    first = np.searchsorted(beyond, np.arange(len(spans)), side="right")
-    ranges = [[int(x) for x in r] for r in zip(spans["tile"], subs, start, start[first], start[beyond] - 1)]
-    ranges = spark.createDataFrame(ranges, "tile bigint, subs bigint, start bigint, lo bigint, hi bigint")
-    part = (F.col("start") + F.pmod(F.xxhash64("rep"), "subs")).alias("part")
-    rows = placed.join(ranges, "tile").select("rep", "v", "n", part, F.explode(F.sequence("lo", "hi")).alias("with"))
-    rows = rows.select(
-        "rep", "v", "n", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
-        (F.col("part") > F.col("with")).cast("int").alias("side"),
-    )
+    start = np.append(0, np.cumsum(subs))  # the parts of a leaf are start[leaf] to start[leaf + 1] - 1
+    number = np.full(2**depth, -1)
+    number[spans["leaf"].to_numpy()] = np.arange(len(spans))
+
+    def send(batches):
+        for b in batches:
+            for at in range(0, len(b), SENT):
+                part = b.slice(at, SENT)
+                leaf = number[part.column("leaf").to_numpy()]
+                z = np.column_stack([part.column(n).to_numpy() for n in names])
+                own = start[leaf] + part.column("salt").to_numpy() % subs[leaf]
+                row, to = np.nonzero(in_reach(z, low, high, reach))
+                times = subs[to]  # every part of a leaf in reach
+                row, to = np.repeat(row, times), np.repeat(start[to] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                for k in range(0, len(row), SENT):
+                    r, q = row[k : k + SENT], to[k : k + SENT]
+                    i, j, side = np.minimum(own[r], q), np.maximum(own[r], q), (own[r] > q).astype(np.int32)
+                    taken = part.select(["rep", "v", "n"]).take(pa.array(r))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, *map(pa.array, (i, j, side))], ["rep", "v", "n", "i", "j", "side"])
+
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(1 << 31)))
+    rows = salted.mapInArrow(send, "rep bigint, v array<double>, n bigint, i bigint, j bigint, side int")
 
     def one(key, table):
         ids = table.column("rep").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
-        x = _unit(np.array(table.column("v").to_pylist(), dtype=np.float64).reshape(-1, d)[order])
+        x = _unit(_rows(table.column("v"), d)[order])
         side = table.column("side").to_numpy()[order]
         weight = table.column("n").to_numpy()[order].astype(np.float64)
         same = key[0].as_py() == key[1].as_py()
