@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -14,6 +15,23 @@ from pyspark.sql import types as T
 NULL_ID = 2**63 - 1
 
 
+#: What tokenizing operators keep in a Python worker between tasks: module and name.
+_KEPT = (("packing", "_ENCODERS"), ("bpe", "_CODECS"), ("alignment", "_PAIRS"))
+
+
+def forget_tokenizers() -> None:
+    """Let go what a reused Python worker still holds from tokenizing operators.
+
+    Their tables are worth keeping between the tasks of one stage, but the same
+    worker may serve other stages afterwards, whose memory would come on top.
+    Tasks that hold arrays of their own call this first.
+    """
+    for module, name in _KEPT:
+        loaded = sys.modules.get(f"{__package__}.{module}")
+        if loaded is not None:
+            getattr(loaded, name).clear()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``).
 

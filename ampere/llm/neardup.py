@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampere.llm import words as W
-from ampere.llm.base import connected_components, materialize
+from ampere.llm.base import connected_components, forget_tokenizers, materialize
 
 SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
 #: At most about so many texts and so many shingles are in a block of a bucket;
@@ -103,6 +103,7 @@ def order_minhash(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_tokenizers()
     for b in batches:
         for lo, hi in W.slices(b.column(2)):
             part = b.slice(lo, hi - lo)
@@ -159,18 +160,19 @@ def similarity(x: np.ndarray, y: np.ndarray, least: float = LEAST) -> float:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_tokenizers()
     for b in batches:
         known: dict[int, np.ndarray] = {}
 
-        def of(i: int, text: str, known=known) -> np.ndarray:
+        def of(i: int, texts: pa.Array, k: int, known=known) -> np.ndarray:
             if i not in known:
                 if len(known) > 64:
                     known.clear()
-                known[i] = shingles(*W.hashed_words(pa.array([text], type=pa.string())))[0]
+                known[i] = shingles(*W.hashed_words(texts.slice(k, 1)))[0]
             return known[i]
 
-        cols = [b.column(i).to_pylist() for i in range(4)]
-        good = [similarity(of(i, s), of(j, t)) >= LEAST for i, j, s, t in zip(*cols)]
+        left, right, s, t = (b.column(i) for i in range(4))  # the texts stay in the batch
+        good = [similarity(of(i, s, k), of(j, t, k)) >= LEAST for k, (i, j) in enumerate(zip(left.to_pylist(), right.to_pylist()))]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(good, type=pa.bool_())], ["c", "id", "good"])
 
 
@@ -250,18 +252,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sketch = materialize(
         base.mapInArrow(_sketches, "id bigint, key bigint, e1 bigint, e2 bigint, n bigint, bands array<bigint>"), "sketch"
     )
-    classes = materialize(
-        sketch.groupBy("e1", "e2").agg(F.min(F.struct("id", "key", "n", "bands")).alias("r")).select("e1", "e2", "r.*"), "classes"
-    )
+    # a class of equal word sequences is the vertex of its smallest id and key; further texts of one id have
+    # vertices of their own, which their rows join to the id at the end
+    least = sketch.groupBy("e1", "e2").agg(F.min(F.struct("id", "key", "n", "bands")).alias("r"))
+    least = least.select("e1", "e2", F.col("r.id").alias("doc"), "r.key", "r.n", "r.bands")
+    own = least.groupBy("doc").agg(F.min("key").alias("own"))
+    apart = F.lit(2**61) + F.xxhash64("doc", "key").bitwiseAND(F.lit(2**60 - 1))
+    classes = least.join(own, "doc").withColumn("id", F.when(F.col("key") == F.col("own"), F.col("doc")).otherwise(apart)).drop("own")
+    classes = materialize(classes, "classes")
     rows = classes.select("id", "n", F.posexplode("bands").alias("i", "h"))
     center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))
     centers = rows.groupBy("i", "h").agg(F.min(center).alias("s"), F.max("id").alias("hi")).where("s.c < hi")
     members = materialize(rows.join(centers.select("i", "h", "s.c", "s.cn"), ["i", "h"]).where("id > c"), "star")
     wanted = members.select("id").unionByName(members.select(F.col("c").alias("id"))).distinct()
-    chosen = classes.select("id", "key").join(wanted, "id")
-    texts = materialize(
-        chosen.join(base, ["id", "key"]).groupBy("id").agg(F.min("text").alias("text")), "texts"
-    )
+    chosen = classes.select("id", "doc", "key").join(wanted, "id")
+    source = base.withColumnRenamed("id", "doc")
+    texts = materialize(chosen.join(source, ["doc", "key"]).groupBy("id").agg(F.min("text").alias("text")), "texts")
     pairs = members.where(F.least("n", "cn") >= F.lit(LEAST) * F.greatest("n", "cn")).select("c", "id").distinct()
     both = pairs.join(texts, "id").select("c", "id", F.col("text").alias("t"))
     both = both.join(texts.select(F.col("id").alias("c"), F.col("text").alias("s")), "c")

@@ -279,7 +279,9 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages, ``n_chars`` counted anew;
     documents that had words and of which none is left go."""
     out = remove_repeats(docs, rewrite, REWRITE_DDL, docs.columns)
-    changed = {"text": F.col("result.text"), "n_chars": F.char_length("result.text").cast(docs.schema["n_chars"].dataType)}
+    changed = {"text": F.col("result.text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.char_length("result.text").cast(docs.schema["n_chars"].dataType)
     kept = (F.col("result.n_kept") > 0) | F.col("result.text").eqNullSafe(F.col("row.text"))
     return out.where(kept).select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

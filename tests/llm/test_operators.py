@@ -370,6 +370,20 @@ def test_near_duplicates_link_texts_of_two_centres(spark):
     assert {r.id: r.class_id for r in got} == {i: i - i % 4 for i, _ in rows}
 
 
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    """Each text of a repeated doc_id is compared as itself, and its rows are one document."""
+    a, b, c = (prose(200, 900 + k) for k in range(3))
+    rows = [(5, a), (5, b), (6, edited(b, 77)), (7, edited(a, 20)), (8, c), (9, edited(c, 33)), (9, edited(b, 120)), (3, prose(90, 1)), (10, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.class_id) for r in neardup.op9_minhash_neardup(df).collect()}
+    assert got == {(5, 5), (6, 5), (7, 5), (8, 5), (9, 5), (10, 5), (3, 3)}
+    other = spark.createDataFrame([(5, a), (5, b), (6, edited(b, 77)), (8, c)], "doc_id long, text string")
+    got = {(r.doc_id, r.class_id) for r in neardup.op9_minhash_neardup(other).collect()}
+    assert got == {(5, 5), (6, 5), (8, 8)}
+    kept = neardup.stage(spark, other, "").collect()
+    assert sorted(r.doc_id for r in kept) == [5, 8]
+
+
 def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
     """Chains of variants with the same bands, against all pairs that share a band."""
     monkeypatch.setattr(neardup, "BLOCK", 400, raising=False)
