@@ -6,6 +6,12 @@ maximum; a group ends where the next range starts at that maximum, which is
 where tokens of both sides end. Within a group, each A token is expanded to the
 B tokens whose ranges overlap its own.
 
+Neither side has a token that goes on from a character into the blank, tab or
+line feed behind it, so a text falls into words (white space and what follows
+it) that are aligned apart. What a word's alignment leaves is remembered in a
+bounded table, so that the common words of a language are aligned once; new
+words are aligned together, many at a time.
+
 The links of an id pair are counted over the whole corpus. Pairs that hold at
 least one ``HEAVY``-th of all links, of which there are at most ``HEAVY``, are
 joined by a broadcast whose size that bounds; no other pair can be hot, and
@@ -18,6 +24,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +36,10 @@ from ampere.llm.packing import Encoder
 
 #: The most pairs that a broadcast can hold.
 HEAVY = 1 << 17
-#: Texts are taken together up to so many characters (one text at least).
-SLICE_CHARS = 1 << 19
-#: Remembered words of either tokenizer; each is at most so long.
-REMEMBERED, LONGEST = 300_000, 64
+#: Texts are taken together, and new words encoded together, up to so many characters (one at least).
+SLICE_CHARS, CHUNK_CHARS = 1 << 19, 1 << 15
+#: Remembered words, and parts of words on side A; a longer word is aligned anew each time.
+REMEMBERED, PARTS, LONGEST = 200_000, 300_000, 64
 
 _SPACE = "▁"
 
@@ -46,27 +53,9 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
-class Words:
-    """Ids of the words of a text, kept between calls up to a bound on their
-    number and length, so a worker's memory does not grow with the corpus."""
-
-    def __init__(self, split, encode, most: int = REMEMBERED, longest: int = LONGEST):
-        self.split, self.encode_words, self.most, self.longest = split, encode, most, longest
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        words = [self.split(t) for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = list(set(chain.from_iterable(words)))
-        fresh = dict(zip(new, self.encode_words(new)))
-        self.known.update(fresh)
-        out = [list(chain.from_iterable(map(self.known.__getitem__, w))) for w in words]
-        for w in fresh:
-            if len(w) > self.longest:
-                del self.known[w]
-        return out
+#: A word ends before one of these that follows a character which is no white space.
+BREAKS = " \t\n"
+Told = tuple[bytes, bytes, int]
 
 
 class Pair:
@@ -74,46 +63,103 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str, pattern: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(a_path)
+        self.a = Encoder(a_path, pattern, PARTS)
         to_byte = byte_level()
-        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=False)
         self.a_bytes = [b""] * (1 + max(vocabulary.values(), default=-1))
         for entry, i in vocabulary.items():
             self.a_bytes[i] = bytes(to_byte[c] for c in entry) if all(c in to_byte for c in entry) else entry.encode()
-        self.a = Encoder(a_path, pattern, REMEMBERED)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
-        self.b_split = re.compile(" *[^ ]+| +").findall
-        self.b = Words(self.b_split, self._pieces)
+        self.space = self.pieces.piece_to_id(_SPACE)
+        # a break that stands behind a character within a token, or behind the space a piece begins with, is none
+        inner = [(x.decode("utf-8", "replace"), before) for of, before in ((self.a_bytes, r"\S"), (self.b_bytes, r"[\S ]")) for x in of]
+        kept = [c for c in BREAKS if not any(c in x and re.search((r"\S" if c == " " else before) + c, x) for x, before in inner)]
+        self.split = re.compile(rf"(?<=\S)(?=[{''.join(kept)}])").split if kept else lambda text: [text]
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        # a token's digits before each of its four followers: A, then the B side; B, then the next group
+        self.bits_b = len(self.b_bytes).bit_length()
+        self.bits = len(self.a_bytes).bit_length() + self.bits_b
+        # a token's digits and what stands behind them: a comma within a side, a bar behind A's, a semicolon behind B's
         digits = [b"%d" % i for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.step = len(digits)
         self.written = [d + c for c in (b",", b"|", b";") for d in digits]
+        self.known: dict[str, Told | None] = {}
+        self.most, self.longest = REMEMBERED, LONGEST
 
     def _piece(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace(_SPACE, " ").encode()
 
-    def _pieces(self, words: list[str]) -> list[list[int]]:
-        # the processor puts the first space before a word itself, but not before an empty one
-        space = self.pieces.piece_to_id(_SPACE)
-        return [ids or [space] for ids in self.pieces.encode([w[1:] for w in words], num_threads=1)]
+    def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides; None where one does not give the text back."""
+        a = np.frombuffer(self.a.encode([text])[0], dtype="<u4").astype(np.int64)
+        # the pieces begin with a space of their own, which a text that begins with one has instead
+        spaced = text.startswith(" ")
+        b = np.array(self.pieces.encode(text[1:] if spaced else text) or [self.space], dtype=np.int64)
+        b = b if spaced else b[1:]
+        raw = text.encode()
+        faithful = all(b"".join(map(of.__getitem__, ids.tolist())) == raw for of, ids in ((self.a_bytes, a), (self.b_bytes, b)))
+        return (a, b) if faithful else None
+
+    def align(self, words: list[str]) -> dict[str, Told | None]:
+        """For each word its groups as written, its links (id pairs as 64-bit
+        words) and its number of A tokens; None if a side does not give it back."""
+        out: dict[str, Told | None] = {}
+        chunk: list[str] = []
+        size = 0
+        for w in words:
+            if w[-1].isspace():  # would run into the white space of the next one
+                out |= self._aligned([w])
+                continue
+            chunk.append(w)
+            size += len(w)
+            if size >= CHUNK_CHARS:
+                out |= self._aligned(chunk)
+                chunk, size = [], 0
+        return out | self._aligned(chunk)
+
+    def _aligned(self, words: list[str]) -> dict[str, Told | None]:
+        if not words:
+            return {}
+        ids = self._encoded("".join(words))
+        if ids is None:
+            return {words[0]: None} if len(words) == 1 else {w: t for x in words for w, t in self._aligned([x]).items()}
+        a, b = ids
+        a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        a_start, b_start = a_end - self.a_len[a], b_end - self.b_len[b]
+        a_group, b_group = coalesce(a_start, a_end, b_start, b_end)
+        left, right = overlaps(a_start, a_end, a_group, b_start, b_end, b_group)
+        a_last, b_last = (np.append(g[1:] != g[:-1], True)[: len(g)] for g in (a_group, b_group))
+        code = np.concatenate([a + self.step * a_last, b + 2 * self.step * b_last])
+        order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a_group, b_group])))
+        parts = list(map(self.written.__getitem__, code[order].tolist()))
+        links = ((a[left] << self.bits_b) | b[right]).tobytes()
+        # words end where groups end, so everything is cut by the words' bytes
+        ends = np.cumsum([len(w.encode()) for w in words])
+        a_to, b_to = np.searchsorted(a_end, ends, side="right"), np.searchsorted(b_end, ends, side="right")
+        link_to = 8 * np.searchsorted(left, a_to, side="left")
+        out, last, from_, at = {}, 0, 0, 0
+        for w, i, j, k in zip(words, a_to.tolist(), b_to.tolist(), link_to.tolist()):
+            out[w] = (b"".join(parts[from_ : i + j]), links[at:k], i - last)
+            last, from_, at = i, i + j, k
+        return out
 
-    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides for each text; none where a side's bytes are not
-        those of space and text. U+2581 in a text reads as a space in B."""
-        spaced = [" " + t if t and _SPACE not in t else "" for t in texts]
-        a = [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in self.a.encode(spaced)]
-        b = [np.array(x, dtype=np.int64) for x in self.b.encode(spaced)]
-        for i, t in enumerate(spaced):
-            raw = t.encode()
-            if not (b"".join(map(self.a_bytes.__getitem__, a[i].tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, b[i].tolist()))):
-                a[i] = b[i] = np.empty(0, dtype=np.int64)
-        return a, b
+    def texts(self, texts: list[str | None]) -> list[list[Told]]:
+        """The words of each text; none where a side's bytes are not those of
+        space and text. U+2581 in a text reads as a space in B."""
+        words = [self.split(" " + t) if t and _SPACE not in t else [] for t in texts]
+        new = list(set(chain.from_iterable(words)).difference(self.known))
+        if len(self.known) + len(new) > self.most:
+            self.known = {}
+            new = list(set(chain.from_iterable(words)))
+        self.known.update(self.align(new))
+        out = [list(map(self.known.__getitem__, w)) for w in words]
+        for w in new:
+            if len(w) > self.longest:
+                del self.known[w]
+        return [[] if None in told else told for told in out]
 
 
 def coalesce(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,40 +193,21 @@ NAMES = ["n_a", "n_b", "n_groups", "n_links"]
 def _align(pair: Pair, texts: list[str | None]):
     """Per text the counts of ``NAMES``, the groups' hash, and the id pairs
     that it links with their number of links."""
-    n = len(texts)
-    a, b = pair.encode(texts)
-    a_doc, b_doc = (np.repeat(np.arange(n), [len(x) for x in side]) for side in (a, b))
-    a, b = (np.concatenate([*side, np.empty(0, dtype=np.int64)]) for side in (a, b))
-    # the texts lie one after another, so a range never meets one of another text
-    a_end, b_end = np.cumsum(pair.a_len[a]), np.cumsum(pair.b_len[b])
-    a_start, b_start = a_end - pair.a_len[a], b_end - pair.b_len[b]
-    a_group, b_group = coalesce(a_start, a_end, b_start, b_end)
-    left, right = overlaps(a_start, a_end, a_group, b_start, b_end, b_group)
-    link_doc = a_doc[left]
-    groups = np.bincount(a_doc[np.append(True, a_group[1:] != a_group[:-1])] if len(a) else a_doc, minlength=n)
-    counts = [np.bincount(x, minlength=n) for x in (a_doc, b_doc)] + [groups, np.bincount(link_doc, minlength=n)]
-
-    # A ids end with a comma, or a bar before the B side; B ids with a comma, or a semicolon before the next group
-    a_last, b_last = (np.append(g[1:] != g[:-1], True)[: len(g)] for g in (a_group, b_group))
-    code = np.concatenate([a + pair.step * a_last, b + 2 * pair.step * b_last])
-    order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a_group, b_group])))
-    parts = list(map(pair.written.__getitem__, code[order].tolist()))
-    ends = np.cumsum(counts[0] + counts[1]).tolist()
-    hashes, at = [], 0
-    for to in ends:
-        hashes.append(hashlib.sha256(b"".join(parts[at:to])[:-1]).hexdigest() if to > at else "")
-        at = to
-
-    bits_a, bits_b = len(pair.a_bytes).bit_length(), len(pair.b_bytes).bit_length()
-    key = (link_doc << (bits_a + bits_b)) | (a[left] << bits_b) | b[right]
+    counts, hashes, links = [], [], []
+    for told in pair.texts(texts):
+        written, n_a = b"".join(map(itemgetter(0), told)), sum(map(itemgetter(2), told))
+        links.append(np.frombuffer(b"".join(map(itemgetter(1), told)), dtype=np.int64))
+        groups = written.count(b";")
+        tokens = groups + written.count(b",") + written.count(b"|")
+        counts.append((n_a, tokens - n_a, groups, len(links[-1])))
+        hashes.append(hashlib.sha256(written[:-1]).hexdigest() if told else "")
+    n, per_doc = len(texts), [len(x) for x in links]
+    key = np.concatenate([*links, np.empty(0, dtype=np.int64)]) | (np.repeat(np.arange(n), per_doc) << pair.bits)
     key, times = np.unique(key, return_counts=True)
-    per_doc = np.bincount(key >> (bits_a + bits_b), minlength=n)
-    offsets = pa.array(np.append(0, np.cumsum(per_doc)).astype(np.int32))
-    lists = [
-        pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32)))
-        for x in ((key >> bits_b) & ((1 << bits_a) - 1), key & ((1 << bits_b) - 1), times)
-    ]
-    return counts, hashes, lists
+    offsets = pa.array(np.append(0, np.cumsum(np.bincount(key >> pair.bits, minlength=n))).astype(np.int32))
+    ids = ((key & ((1 << pair.bits) - 1)) >> pair.bits_b, key & ((1 << pair.bits_b) - 1), times)
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in ids]
+    return list(np.array(counts, dtype=np.int64).reshape(-1, len(NAMES)).T), hashes, lists
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

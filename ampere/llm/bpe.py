@@ -316,7 +316,12 @@ def encode_documents(
 
 
 def op4_byte_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, valid_utf8."""
+    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, valid_utf8.
+
+    Null and empty texts have no tokens; long texts are encoded whole; ties
+    and repeated rows have equal results; an empty table gives no rows; other
+    columns are not read.
+    """
     import public_tokenizers as tokenizers
 
     return encode_documents(docs, path or tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)

@@ -270,10 +270,20 @@ NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens",
 
 
 def op8_packing(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, loss_tokens,
+    sequence_id, offset.
+
+    A null or empty text is its end id alone, one piece of one token. Long
+    texts are cut into whole sequences; rows that repeat a doc_id or a text
+    are packed each; ties of the heuristic go to the row that comes first. An
+    empty table gives no rows; other columns are not read. With these limits
+    (as many loss-bearing tokens as tokens, 512 segments) only the tokens bind.
+    """
     import public_tokenizers as tokenizers
 
     return pack_texts(docs, path or tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences, as ``op8_packing``."""
     return op8_packing(docs)

@@ -165,7 +165,14 @@ def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
 
 
 def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted."""
+    """Per document: doc_id, held_out, score, predicted.
+
+    Null and empty texts have statistics of zero and a score as any other;
+    long texts count whole. A row is scored by its text alone, so ties and
+    repeated rows score alike; a null doc_id is not held out. An empty table
+    gives no rows; other columns are not read. Labels with a null id or value
+    teach nothing.
+    """
     model = train(docs, labels)
     return scored(docs.select("doc_id", "text"), model).select(
         "row.doc_id",
@@ -176,7 +183,8 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose score is at least the threshold."""
+    """The documents whose score is at least the threshold, with all their
+    columns; repeated rows, nulls and empty texts as in ``op2_quality``."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = scored(docs, model).where(F.col("score") >= THRESHOLD)
     return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

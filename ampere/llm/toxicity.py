@@ -235,7 +235,13 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[np.nd
 
 
 def op5_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted."""
+    """Per document: doc_id, held_out, score, predicted.
+
+    Null and empty texts have no words and the score of the offset; long texts
+    count whole. A row is scored by its text alone, so ties and repeated rows
+    score alike; a null doc_id is not held out. An empty table gives no rows;
+    other columns are not read. Labels with a null id or value teach nothing.
+    """
     weights, slope, offset = train(docs, labels)
     z = decided(docs.select("doc_id", "text"), weights, "doc_id")
     score = 1.0 / (1.0 + F.exp(-(F.col("z") * slope + offset)))

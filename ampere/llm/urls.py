@@ -118,5 +118,11 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, labelled=LABELLED) ->
 
 
 def op7_url_filter(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, host, path, rule, verdict, score."""
+    """Per page: page_id, host, path, rule, verdict, score.
+
+    A null url, and one without ``://``, has an empty host and path and is
+    judged by the method; long urls count whole. Rows are judged one by one,
+    so ties and repeated rows agree; of rules of one length none can fit the
+    same url twice. An empty table gives no rows; other columns are not read.
+    """
     return judge(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
