@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -106,14 +107,27 @@ def test_empty_table(spark, docs):
     assert A.op12_alignment(docs.limit(0)).collect() == []
 
 
-def test_memory_is_bounded_and_changes_nothing():
+def test_memory_is_bounded_and_changes_nothing(monkeypatch):
     pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
     texts = [t for _, t in ROWS]
-    want = [x.tolist() for x in pair.encode(texts)[1]]
-    pair.b.most, pair.b.longest = 5, 3
+    want = [list(t) for t in pair.texts(texts)]
+    pair.most, pair.longest = 5, 3
+    monkeypatch.setattr(A, "CHUNK_CHARS", 40)
     for _ in range(3):
-        assert [x.tolist() for x in pair.encode(texts)[1]] == want
-    assert all(len(w) <= 3 for w in pair.b.known)
+        assert [list(t) for t in pair.texts(texts)] == want
+    assert all(len(w) <= 3 for w in pair.known)
+
+
+def test_words_at_random(monkeypatch):
+    """Words aligned apart, and new ones together, are the whole text's alignment."""
+    monkeypatch.setattr(A, "CHUNK_CHARS", 60)
+    r = random.Random(8)
+    bits = list(" \t\n\r\x0b\x0c\x1c\x85\xa0\u2003\u3000") * 2 + ["  ", "\r\n", "a", "Bc", "don't", "é", "漢字", "12", "345", "!?", "();", "}", "😀", "\u0301", "'s", "\u200b", "_", "<s>"]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(1, 30)))) for i in range(1500)]
+    pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+    counts, hashes, _ = A._align(pair, [t for _, t in rows])
+    want = plain(rows)
+    assert [(*map(int, c), h) for *c, h in zip(*counts, hashes)] == [(*w[1:5], w[7]) for w in want]
 
 
 def test_coalesce_and_overlaps_at_random():
