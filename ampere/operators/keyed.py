@@ -5,10 +5,10 @@ Scale notes
   Catalyst plans with a partial ``WindowGroupLimit`` *before* the shuffle: each
   map task keeps one row per key, so a hot key ships at most one row per map
   partition instead of all its rows.
-* ``upsert`` never shuffles the target when the batch is small: the batch keys
-  are broadcast (behind a row-count check) and the target is filtered
-  map-side by a left-anti join. A large batch falls back to a sort-merge anti
-  join, which AQE can split when a key is skewed.
+* ``upsert`` filters the target by a left-anti join on the batch's keys. Spark
+  broadcasts the keys below its byte threshold, by estimate or at run time;
+  beyond it the join is a sort-merge join, which AQE can split when a key is
+  skewed.
 * ``not_in`` is exact SQL ``NOT IN`` (null-aware) without the nested-loop join
   Spark falls back to for non-broadcastable ``NOT IN`` subqueries: an equi
   anti join plus two ``EXISTS`` scalar subqueries.

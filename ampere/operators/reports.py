@@ -49,10 +49,17 @@ def hour_anchor(raw: DataFrame, ts: str) -> Column:
 
 def clip(df: DataFrame, ts: str, start, end) -> DataFrame:
     """Inclusive date range on the date of ``ts`` (P10), written as a sargable
-    half-open timestamp range so the bounds reach the Parquet scan."""
-    lo = _lit_ts(start if not isinstance(start, str) else start[:10])
-    hi_day = (dt.date.fromisoformat(end[:10]) if isinstance(end, str) else end) + dt.timedelta(days=1)
-    return df.filter((F.col(ts) >= lo) & (F.col(ts) < _lit_ts(hi_day)))
+    half-open timestamp range so the bounds reach the Parquet scan. A bound is
+    a day, whatever its type: a time of day in it is not used, so the first
+    and the last day are whole."""
+    lo, hi = _lit_ts(_day(start)), _lit_ts(_day(end) + dt.timedelta(days=1))
+    return df.filter((F.col(ts) >= lo) & (F.col(ts) < hi))
+
+
+def _day(x) -> dt.date:
+    if isinstance(x, dt.datetime):
+        return x.date()
+    return x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x)[:10])
 
 
 def bucket(grain: str, ts: str) -> Column:

@@ -134,6 +134,8 @@ def q_round(expr: str, n: int) -> str:
 
 
 def q_exact_sum(expr: str) -> str:
+    """The plain rule: values are taken to six decimals, which the given tables'
+    values have at most, and summed exactly."""
     return f"CAST(sum(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
 
 

@@ -12,13 +12,16 @@ that they must win over the backfill.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampere.operators.keyed import insert_absent
 from ampere.plans.backfill import generation_history, rates_from_tables, readings_history
 from ampere.plans.catalog import register, t
-from ampere.schemas import FUELS
+from ampere.schemas import FUELS, RATES_RAW
+from ampere.session import checkpoint_dir
 
 STORED_BEFORE = "2024-01-20 00:00:00"
 RATES_STORED_BEFORE = "1995-01-01"
@@ -78,7 +81,10 @@ def rates_backfill(spark: SparkSession, d: str) -> DataFrame:
         "array('Effective date', concat('Order ', o_orderkey)) AS headers",
         "array(date_format(o_orderdate, 'MMMM d, yyyy'), concat(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING), ' ¢ per kWh')) AS cells",
     )
-    rates = rates_from_tables(tables)
+    # parsed once, for the stored rows and for the batch
+    path = f"{checkpoint_dir(spark)}/rates-{uuid.uuid4().hex}"
+    rates_from_tables(tables).write.parquet(path)
+    rates = spark.read.schema(RATES_RAW).parquet(path)
     stored = rates.where(F.col("effective_date") < F.lit(RATES_STORED_BEFORE).cast("date"))
     stored = stored.withColumn("value_cents_per_kwh", F.col("value_cents_per_kwh") + 1.0)
     return insert_absent(stored, rates, ["effective_date", "rate_type", "rate_column"])

@@ -71,17 +71,21 @@ def apply_core_conf(spark: SparkSession) -> None:
 MB = 1024 * 1024
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+def cluster_conf(
+    input_bytes: int, target_partition_bytes: int = 256 * MB, least: int = 200, most: int = 200_000
+) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
     Scan splits and post-shuffle partitions target ~256 MB, which fits
     executor memory without spill on typical 4–8 GB-per-core executors. The
     initial shuffle partition count follows the input size (AQE coalesces
     small ones down and splits skewed ones); a partition is "skewed" above
-    2× the target. Broadcasts are capped at 64 MB.
-    For 100 TB this gives ~400,000 initial partitions, capped at 200,000.
+    2× the target. Broadcasts are capped at 64 MB. The number of initial
+    partitions stays between ``least`` and ``most``, which bounds what the
+    driver keeps per map task: 100 TB would take ~400,000 and get 200,000,
+    of 512 MB each, unless ``most`` is raised.
     """
-    parts = max(200, min(200_000, input_bytes // target_partition_bytes))
+    parts = max(least, min(most, input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -94,9 +98,9 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * MB) -> di
     }
 
 
-def apply_cluster_conf(spark: SparkSession, input_bytes: int) -> None:
+def apply_cluster_conf(spark: SparkSession, input_bytes: int, **sizing: int) -> None:
     apply_core_conf(spark)
-    for k, v in cluster_conf(input_bytes).items():
+    for k, v in cluster_conf(input_bytes, **sizing).items():
         spark.conf.set(k, v)
 
 

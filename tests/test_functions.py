@@ -211,3 +211,14 @@ def test_exact_sums_of_great_and_odd_values(spark):
         assert r.a == r.b or (r.a != r.a and r.b != r.b)
     assert got["cents"].a == 1000000001.25 and got["big"].a == 1e12 + 1.5 and got["tiny"].a == 2e-7 and got["none"].a is None
     assert got["nan"].a != got["nan"].a and got["inf"].a == float("inf") and got["whole"].a == 1.6e13 and got["minus"].a == 0.25
+
+
+def test_clip_takes_whole_days(spark):
+    from ampere.operators import reports
+
+    at = [dt.datetime(2024, 1, d, h) for d in (4, 5, 6, 7) for h in (0, 23)]
+    df = spark.createDataFrame([(t,) for t in at], "ts timestamp_ntz")
+    for start, end in (
+        ("2024-01-05", "2024-01-06"), (dt.date(2024, 1, 5), dt.date(2024, 1, 6)), (dt.datetime(2024, 1, 5, 9), dt.datetime(2024, 1, 6, 1)), ("2024-01-05 09:00:00", "2024-01-06T01:00"),
+    ):
+        assert sorted(r.ts for r in reports.clip(df, "ts", start, end).collect()) == at[2:6]
