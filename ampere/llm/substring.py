@@ -175,13 +175,16 @@ def remove_repeats(
 
     Null and empty texts have no words and no windows. Rows that share a
     doc_id do not remove each other's words, as neither id is the smaller;
-    null ids count as larger than all numbers. The whole of every text is
+    null ids count as larger than all numbers, and as equal. Rows with a null
+    id are still kept apart by their texts, so no task gathers all of them. The whole of every text is
     used, and nothing depends on other columns.
     """
     carry = list(carry or [])
     kind = _arrow_of(result)
+    at, key, content = keyed_columns(doc_id, text)
+    apart = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.lit("null"), F.col(f"`{text}`"))).alias("id")
     base = docs.select(
-        *keyed_columns(doc_id, text), F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("__")).alias("row")
+        apart, key, content, F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("__")).alias("row"), at.alias("at")
     )
 
     anchors = materialize(
@@ -193,7 +196,7 @@ def remove_repeats(
     )
     listed = anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
     empty = F.array().cast("array<bigint>")
-    joined = base.join(listed, "id", "left").select("id", "key", "text", "row", F.coalesce("anchors", empty).alias("anchors"))
+    joined = base.join(listed, "id", "left").select("id", "key", "text", "row", F.coalesce("anchors", empty).alias("anchors"), "at")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -206,17 +209,17 @@ def remove_repeats(
                 told = [None if f else how(t, []) for t, f in pairs]
                 later = pa.array([t if f else None for t, f in pairs], type=pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), later, part.column(3), runs, pa.array(told, type=kind)],
-                    ["id", "key", "text", "row", "runs", "result"],
+                    [part.column(0), part.column(1), later, part.column(3), runs, pa.array(told, type=kind), part.column(5)],
+                    ["id", "key", "text", "row", "runs", "result", "at"],
                 )
 
     row_ddl = base.schema["row"].dataType.simpleString()
     state = materialize(
-        joined.mapInArrow(split, f"id bigint, key bigint, text string, row {row_ddl}, runs {RUN_DDL}, result {result}"), "state"
+        joined.mapInArrow(split, f"id bigint, key bigint, text string, row {row_ddl}, runs {RUN_DDL}, result {result}, at bigint"), "state"
     )
-    runs = state.where("result is null").select("id", "key", F.inline("runs"))
+    runs = state.where("result is null").select("id", "key", "at", F.inline("runs"))
     groups = materialize(
-        runs.groupBy("anchor", "run").agg(F.min("id").alias("rep"), F.first("hashes").alias("hashes")), "runs"
+        runs.groupBy("anchor", "run").agg(F.min("at").alias("rep"), F.first("hashes").alias("hashes")), "runs"
     )
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +246,8 @@ def remove_repeats(
     whole = F.array(F.struct(F.col("first").alias("s"), (F.col("first") + F.col("n") + (width - 1)).alias("e")))
     some = F.transform("nths", lambda j: F.struct((F.col("first") + j).alias("s"), (F.col("first") + j + width).alias("e")))
     spans = (
-        runs.drop("hashes").join(verdicts, ["anchor", "run"]).where("id > rep or nths is not null")
-        .select("id", "key", F.when(F.col("id") > F.col("rep"), whole).otherwise(some).alias("part"))
+        runs.drop("hashes").join(verdicts, ["anchor", "run"]).where("at > rep or nths is not null")
+        .select("id", "key", F.when(F.col("at") > F.col("rep"), whole).otherwise(some).alias("part"))
         .groupBy("id", "key").agg(F.flatten(F.collect_list("part")).alias("spans"))
     )
 
