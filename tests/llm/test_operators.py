@@ -103,6 +103,29 @@ def test_fingerprints(docs):
     assert by[1] == by[2] == by[17] and by[1] != by[3]
 
 
+def test_the_next_of_null_and_repeated_ids(spark):
+    """Ids that hold most rows are dealt to many ranges, and every row still has its next one."""
+    ids = [None] * 400 + [7] * 300 + [8, 8, 2**40, -5] + list(range(100, 160))
+    rows = [(i, f"text {k}") for k, i in enumerate(ids)] + [(7, "text 400"), (None, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hashed = {r.text or "": r.h for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS h").collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]], r[1]))
+    want = sorted(((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order)), key=str)
+    got = fingerprints.with_next(df).select("doc_id", "text", "next_text").collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    sizes = [r["count"] for r in fingerprints.ranged(df).groupBy("range").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    one = spark.createDataFrame([(3, "a\nb")], "doc_id long, text string")
+    assert [tuple(r) for r in fingerprints.with_next(one).collect()] == [(3, "a\nb", "a\nb")]
+
+
+def test_repeated_passages_of_rows_without_an_id(spark):
+    """Null ids are equal among each other and larger than all numbers."""
+    rows = [(None, PASSAGE + " a"), (None, PASSAGE + " b"), (None, "c " + prose(55, 99)), (None, prose(55, 99) + " d"), (5, PASSAGE)]
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substring.op3_substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 56, 0), (0, 56, 0), (0, 71, 70), (0, 71, 70), (5, 70, 0)]
+
+
 def test_sketch_retries_until_it_peels(spark):
     a = [f"p{i}" for i in range(500)]
     b = a[:450] + [f"q{i}" for i in range(80)]
