@@ -47,8 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back; ``codec``
+    is a denser compression than the session's, for tables that hold texts.
 
     This cuts the lineage, so a lost executor costs at most the running
     stage, and it keeps a table that several consumers need from being
@@ -56,7 +57,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -256,9 +256,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # vertices of their own, which their rows join to the id at the end
     least = sketch.groupBy("e1", "e2").agg(F.min(F.struct("id", "key", "n", "bands")).alias("r"))
     least = least.select("e1", "e2", F.col("r.id").alias("doc"), "r.key", "r.n", "r.bands")
-    own = least.groupBy("doc").agg(F.min("key").alias("own"))
-    apart = F.lit(2**61) + F.xxhash64("doc", "key").bitwiseAND(F.lit(2**60 - 1))
-    classes = least.join(own, "doc").withColumn("id", F.when(F.col("key") == F.col("own"), F.col("doc")).otherwise(apart)).drop("own")
+    several = sketch.groupBy("id").agg(F.min("key").alias("own"), F.max("key").alias("other")).where("own < other")
+    if several.isEmpty():  # the common case: no id needs a join to know its own vertex
+        classes = least.withColumn("id", F.col("doc"))
+    else:
+        apart = F.lit(2**61) + F.xxhash64("doc", "key").bitwiseAND(F.lit(2**60 - 1))
+        own = F.coalesce(F.col("key") == F.col("own"), F.lit(True))
+        classes = least.join(several.select(F.col("id").alias("doc"), "own"), "doc", "left")
+        classes = classes.withColumn("id", F.when(own, F.col("doc")).otherwise(apart)).drop("own")
     classes = materialize(classes, "classes")
     rows = classes.select("id", "n", F.posexplode("bands").alias("i", "h"))
     center = F.struct(F.col("id").alias("c"), F.col("n").alias("cn"))

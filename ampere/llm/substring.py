@@ -215,7 +215,7 @@ def remove_repeats(
 
     row_ddl = base.schema["row"].dataType.simpleString()
     state = materialize(
-        joined.mapInArrow(split, f"id bigint, key bigint, text string, row {row_ddl}, runs {RUN_DDL}, result {result}, at bigint"), "state"
+        joined.mapInArrow(split, f"id bigint, key bigint, text string, row {row_ddl}, runs {RUN_DDL}, result {result}, at bigint"), "state", "zstd"
     )
     runs = state.where("result is null").select("id", "key", "at", F.inline("runs"))
     groups = materialize(
