@@ -5,15 +5,16 @@ to it. Per path the lengths and the punctuation marks of its nodes are summed:
 their ratios to the number of nodes are high on the paths of running prose and
 low on those of menus, buttons and captions. The two ratios of the nodes are
 smoothed along the page by a Gaussian, so that a short paragraph between long
-ones is not lost, and fused to one score; a path is content if the mean score
-of its nodes reaches the threshold, which lies between the page's lowest and
-highest path.
-
-Markup that names its purpose is used as well: paths below ``nav``, ``footer``
-and the like, or below an element whose class or id names an advert, a menu or
-reader comments, are never content; and where the page marks its article, the
-scores only choose which marked element it is. Blocks of the chosen element
-are then returned whole, in page order.
+ones is not lost, and fused to one score between 0 and 1; a path is content if
+the mean score of its nodes reaches a share of the page's highest.
+
+Markup that names its purpose is fused in as well: paths below ``nav``,
+``footer`` and the like, or below an element whose class or id names an
+advert, a menu or reader comments, take no part; and where a page marks
+articles, the one whose nodes score highest in sum is preferred: its paths
+gain more than the ratios can give, so that a short paragraph of it is content
+and a long notice beside it is not. Blocks on content paths are returned
+whole, in page order.
 """
 
 from __future__ import annotations
@@ -68,8 +69,9 @@ _MARKS = re.compile(r"[.,;:!?…。，、；：！？،؛؟।]")
 
 _CUT_OFF = re.compile(r"<[/!?]?[a-zA-Z!?][^>]*$")
 
-#: Width of the smoothing in text nodes, and where the threshold lies between the lowest and the highest path.
-SIGMA, THRESHOLD = 1.0, 0.25
+#: Width of the smoothing in text nodes, the share of the highest path's score that content has, and what
+#: the marked article adds to scores between 0 and 1 (more than 1 / THRESHOLD, so that it decides).
+SIGMA, THRESHOLD, MARKED = 1.0, 0.25, 5.0
 #: An element is the content's if it holds this share of the text on content paths.
 SHARE = 0.8
 
@@ -151,19 +153,25 @@ def _smooth(x: np.ndarray, sigma: float) -> np.ndarray:
     return total / np.convolve(np.pad(np.ones(len(x)), reach), weights, "valid")
 
 
-def content_paths(paths: list[int], lengths: np.ndarray, marks: np.ndarray, sigma: float = SIGMA, threshold: float = THRESHOLD) -> set[int]:
-    """The content paths of a sequence of text nodes, given each node's path,
-    its characters and its punctuation marks."""
+def fused_scores(paths: list, lengths: np.ndarray, marks: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    """Each text node's score, from its path and every node's characters and
+    punctuation marks: the smoothed path ratios, fused, the highest being 1."""
     if not len(paths):
-        return set()
-    unique, path = np.unique(np.array(paths), return_inverse=True)
+        return np.zeros(0)
+    _, path = np.unique(np.array(paths), return_inverse=True)
     count = np.bincount(path)
-    ratios = [(np.bincount(path, x) / count)[path] for x in (lengths, marks)]
-    length, mark = (_smooth(r, sigma) for r in ratios)
+    length, mark = (_smooth((np.bincount(path, x) / count)[path], sigma) for x in (lengths, marks))
     fused = np.sqrt(length * (mark + 1.0))
-    score = np.bincount(path, fused) / count
-    least = score.min() + threshold * (score.max() - score.min())
-    return set(unique[score >= least].tolist())
+    return fused / fused.max()
+
+
+def content_paths(paths: list, scores: np.ndarray, threshold: float = THRESHOLD) -> set:
+    """The paths whose nodes' mean score reaches the threshold."""
+    if not len(paths):
+        return set()
+    unique, path = np.unique(np.array(paths), return_inverse=True)
+    score = np.bincount(path, scores) / np.bincount(path)
+    return set(unique[score >= threshold * score.max()].tolist())
 
 
 def _whole_tags(html: str) -> str:
@@ -195,34 +203,63 @@ def main_text(html: str | None) -> str:
     for e in range(n - 1, 0, -1):
         size[parent[e]] += size[e]
 
-    # the marked article: the one with most text that is not itself beside another
+    # nodes that markup does not name as something else
     below = [False] * n
     for e in range(1, n):
         below[e] = below[parent[e]] or page.beside[e]
     marked = [e for e in range(1, n) if page.article[e] and size[e] and not page.beside[e]]
     free = [e for e in marked if not below[e]]
-    root = max(free or marked, key=lambda e: (size[e], -e), default=0)
-    above = set()  # an element around the article is not beside it
-    e = root
-    while e > 0:
-        above.add(e)
-        e = parent[e]
-    drop = [False] * n
-    headed = [False] * n  # within a header of the article
+    marked = free or marked
+    around: set[int] = set()  # an element around a marked article is not beside it
+    for e in marked:
+        while e > 0 and e not in around:
+            around.add(e)
+            e = parent[e]
+    drop, headed, heading, holder = [False] * n, [False] * n, [False] * n, [0] * n
+    for e in marked:
+        holder[e] = e
     for e in range(1, n):
-        own = tag[e] == "header" and root > 0 and _within(parent[e], root, parent)
+        holder[e] = holder[e] or holder[parent[e]]
+        own = tag[e] == "header" and holder[parent[e]] > 0  # a header of an article
         headed[e] = headed[parent[e]] or own
-        drop[e] = drop[parent[e]] or (page.beside[e] and e not in above and not own)
-    heading = [False] * n
-    for e in range(1, n):
+        drop[e] = drop[parent[e]] or (page.beside[e] and e not in around and not own)
         heading[e] = heading[parent[e]] or tag[e] in HEADINGS
     kept = [(e, b, t) for e, b, t in nodes if not drop[e] and (heading[e] or not headed[e])]
-    if root:
-        inside = [False] * n
+    seen = [(e, b, t, sum(map(len, t.split()))) for e, b, t in kept]
+    seen = [x for x in seen if x[3]]
+    if not seen:
+        return ""
+    lengths = np.array([x[3] for x in seen], dtype=np.float64)
+    marks = np.array([len(_MARKS.findall(x[2])) for x in seen], dtype=np.float64)
+    paths = [number[x[0]] for x in seen]
+    scores = fused_scores(paths, lengths, marks)
+
+    # the marked article whose nodes score highest in sum, all within it included
+    root, inside = 0, [False] * n
+    if marked:
+        total = [0.0] * n
+        for (e, *_), s in zip(seen, scores.tolist()):
+            total[e] += s
+        for e in range(n - 1, 0, -1):
+            total[parent[e]] += total[e]
+        root = max(marked, key=lambda e: (total[e], -e))
         for e in range(1, n):
             inside[e] = e == root or inside[parent[e]]
-        return _joined(kept_in for kept_in in kept if inside[kept_in[0]])
-    return _joined(_by_ratio(kept, number, parent, heading))
+        within = np.array([inside[x[0]] for x in seen])
+        # a path within the article is another one than the same tags outside of it
+        paths = [2 * p + w for p, w in zip(paths, within.tolist())]
+        scores = scores + MARKED * within
+    chosen = content_paths(paths, scores)
+    content = [p in chosen for p in paths]
+    if root:
+        return _joined(_whole_blocks(kept, seen, content, inside))
+    return _joined(_between(kept, seen, content, parent, heading))
+
+
+def _whole_blocks(nodes, seen, content, inside):
+    """The nodes of the blocks that stand on content paths of the article."""
+    blocks = {x[1] for x, ok in zip(seen, content) if ok and inside[x[0]]}
+    return [x for x in nodes if x[1] in blocks and inside[x[0]]]
 
 
 def _within(e: int, root: int, parent: list[int]) -> bool:
@@ -233,37 +270,28 @@ def _within(e: int, root: int, parent: list[int]) -> bool:
     return False
 
 
-def _by_ratio(nodes, number, parent, heading):
+def _between(nodes, seen, content, parent, heading):
     """The nodes of a page that marks no article: the blocks on content paths
     and what stands between the first and the last of them, or heads them."""
-    seen = [(e, b, t, sum(map(len, t.split()))) for e, b, t in nodes]
-    seen = [x for x in seen if x[3]]
-    if not seen:
-        return []
-    lengths = np.array([x[3] for x in seen], dtype=np.float64)
-    marks = np.array([len(_MARKS.findall(x[2])) for x in seen], dtype=np.float64)
-    chosen = content_paths([number[x[0]] for x in seen], lengths, marks)
     weight: dict[int, int] = defaultdict(int)
-    for e, _, _, size in seen:
-        if number[e] in chosen:
-            while e >= 0:
-                weight[e] += size
-                e = parent[e]
+    share: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    for (e, b, _, size), ok in zip(seen, content):
+        share[b][ok] += size
+        while ok and e >= 0:
+            weight[e] += size
+            e = parent[e]
     container = 0
     while True:  # the innermost element that holds most of the text on content paths
         inner = [e for e in weight if parent[e] == container and weight[e] >= SHARE * weight[0]]
         if not inner:
             break
         container = inner[0]
-    share: dict[int, list[int]] = defaultdict(lambda: [0, 0])
-    for e, b, _, size in seen:
-        share[b][number[e] in chosen] += size
     inside = [(e, b, t) for e, b, t in nodes if container == 0 or _within(e, container, parent)]
     blocks = list(dict.fromkeys(b for _, b, _ in inside if b in share))
-    content = [i for i, b in enumerate(blocks) if share[b][1] >= share[b][0]]
-    if not content:
+    told = [i for i, b in enumerate(blocks) if share[b][1] >= share[b][0]]
+    if not told:
         return []
-    first, last = content[0], content[-1]
+    first, last = told[0], told[-1]
     heads = {b for e, b, _ in inside if heading[e]}
     while first and blocks[first - 1] in heads:
         first -= 1

@@ -73,9 +73,14 @@ def test_long_and_deep_pages():
 def test_paths_that_reach_the_threshold():
     lengths = np.array([5, 5, 5, 90, 4, 80, 95, 6, 6], dtype=float)
     marks = np.array([0, 0, 0, 3, 0, 2, 3, 0, 0], dtype=float)
-    assert M.content_paths([1, 1, 1, 2, 2, 2, 2, 3, 3], lengths, marks) == {2}
-    assert M.content_paths([], lengths[:0], marks[:0]) == set()
-    assert M.content_paths([7], lengths[:1], marks[:1]) == {7}
+    paths = [1, 1, 1, 2, 2, 2, 2, 3, 3]
+    scores = M.fused_scores(paths, lengths, marks, sigma=0.3)
+    assert scores.max() == 1 and M.content_paths(paths, scores) == {2}
+    assert M.content_paths([], M.fused_scores([], lengths[:0], marks[:0])) == set()
+    assert M.content_paths([7], M.fused_scores([7], lengths[:1], marks[:1])) == {7}
+    # the marked article decides whatever the ratios are
+    inside = np.array([1, 0, 0, 0, 0, 0, 0, 0, 0])
+    assert M.content_paths([9, 1, 1, 2, 2, 2, 2, 3, 3], scores + M.MARKED * inside) == {9}
 
 
 def test_table(spark):
