@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ampere.llm.base import materialize
 from ampere.llm.packing import Encoder
+from ampere.llm.pieces import byte_level
 
 #: The most pairs that a broadcast can hold.
 HEAVY = 1 << 17
@@ -44,15 +45,6 @@ REMEMBERED, PARTS, LONGEST = 200_000, 300_000, 64
 _SPACE = "▁"
 
 
-def byte_level() -> dict[str, int]:
-    """The byte behind each character of a byte-level vocabulary: printable
-    Latin-1 characters stand for themselves, all others for the characters
-    from U+0100 on, in order."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
-
-
 #: A word ends before one of these that follows a character which is no white space.
 BREAKS = " \t\n"
 Told = tuple[bytes, bytes, int]

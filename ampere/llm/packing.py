@@ -27,7 +27,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ampere.llm.pieces import splitter
+from ampere.llm.pieces import byte_level, splitter
+
+#: What the byte-level pre-tokenizer of the tokenizers library cuts at.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Below this, Unicode's classes are the same in all versions in use.
+SETTLED = "\u0530"
+#: About so many pre-tokens are looked up together, while they are in the processor's cache.
+PART = 3_000
 
 
 @dataclass(frozen=True)
@@ -145,24 +152,39 @@ def powers_of_two(seq: Sequence) -> Iterator[Sequence]:
 
 class Encoder:
     """Ids of whole texts; those of each pre-token come from the tokenizer
-    once and are remembered, as the vocabulary never joins pre-tokens."""
+    once and are remembered, as the vocabulary never joins pre-tokens. When
+    half of ``most`` pre-tokens are new, the older half is let go."""
 
-    def __init__(self, path: str, pattern: str, most: int = 1_000_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, pattern: str, most: int = 800_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = splitter(pattern)
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most = most
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [self.split(t or "") for t in texts]
-        new = list(set(chain.from_iterable(pieces)).difference(self.known))
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list(set(chain.from_iterable(pieces)))
+        cut = self.tokenizer.pre_tokenizer
+        bare = pattern == BYTE_LEVEL and self.tokenizer.normalizer is None and isinstance(cut, pre_tokenizers.ByteLevel)
+        # the model takes pre-tokens as they are where the tokenizer does nothing else to them
+        self.model = self.tokenizer.model if bare and cut.use_regex and not cut.add_prefix_space else None
+        shown = {b: c for c, b in byte_level().items()}
+        self.shown = "".join(shown[b] for b in range(255)) + "\n"  # UTF-8 has no byte 255
+
+    def _modelled(self, new: list[str]) -> None:
+        ids: list[int] = []
+        ends: list[int] = []
+        tokenize = self.model.tokenize
+        for word in b"\xff".join(map(str.encode, new)).decode("latin-1").translate(self.shown).split("\n"):
+            ids += [t.id for t in tokenize(word)]
+            ends.append(4 * len(ids))
+        raw, at = np.array(ids, dtype="<u4").tobytes(), 0
+        for p, end in zip(new, ends):
+            self.known[p] = raw[at:end]
+            at = end
+
+    def _tokenized(self, new: list[str]) -> None:
         # many pre-tokens go through the tokenizer as lines of one text; those that hold line feeds do not
         lines = [p for p in new if "\n" not in p and not p.endswith(" ")]
         for at in range(0, len(lines), 2000):
@@ -177,7 +199,44 @@ class Encoder:
         rest = [p for p in new if p not in self.known]
         for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
             self.known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.known) + len(new) > self.most // 2:
+            self.old, self.known = self.known, {}
+        self.known |= {p: self.old[p] for p in new if p in self.old}
+        rest = [p for p in new if p not in self.known]
+        settled = [p for p in rest if p.isascii() or max(p) < SETTLED] if self.model else []
+        if settled:
+            self._modelled(settled)
+            rest = [p for p in rest if p not in self.known]
+        if rest:
+            self._tokenized(rest)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        part: list[list[str]] = []
+        size = 0
+        for t in texts:
+            part.append(self.split(t or ""))
+            size += len(part[-1])
+            if size >= PART:
+                out += self._encoded(part)
+                part, size = [], 0
+        return out + self._encoded(part)
+
+    def _encoded(self, pieces: list[list[str]]) -> list[bytes]:
+        flat = list(chain.from_iterable(pieces))
+        found = list(map(self.known.get, flat))
+        gone = [i for i, x in enumerate(found) if x is None]
+        if gone:
+            self._learn({flat[i] for i in gone})
+            for i in gone:
+                found[i] = self.known[flat[i]]
+        out, at = [], 0
+        for p in pieces:
+            out.append(b"".join(found[at : at + len(p)]))
+            at += len(p)
+        return out
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}

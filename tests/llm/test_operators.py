@@ -304,6 +304,21 @@ def test_packing(docs):
         assert s.offset.tolist() == [0, *s.length.cumsum().tolist()[:-1]] and s.length.sum() <= 2048
 
 
+def test_common_pre_tokens_are_tokenized_once():
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    encoder, asked = packing.Encoder(path, tokenizers.PATTERN, most=40), []
+    model = encoder._modelled
+    encoder._modelled = lambda new: (asked.extend(new), model(new))
+    for i in range(300):
+        text = f"common {chr(97 + i % 26) * (1 + i // 26)} été\u0301 漢字 \x85\n<|endoftext|> \u0378x"
+        assert list(struct.iter_unpack("<I", encoder.encode([text, None])[0])) == [(x,) for x in own.encode(text, add_special_tokens=False).ids]
+    assert asked.count("common") == 1 and len(encoder.known) + len(encoder.old) <= 60
+
+
 @pytest.mark.parametrize("cut", [True, False])
 def test_packing_holds_three_limits(cut):
     limits = packing.Limits(100, 6, 60)
