@@ -48,14 +48,18 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Transducer:
     """``encode(piece)`` is the ids of one pre-token's bytes.
 
-    States are compiled when first met, up to ``most_states``; a piece that
-    needs another one is then simulated without them, with the same result.
+    States are compiled when first met, up to ``most_states``; where a piece
+    needs another one then, its rest is simulated without them, with the same
+    result.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 20_000):
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.prefixes = {t[:i] for t in ranks for i in range(1, len(t))}
+        self.reach: dict[bytes, int] = {}  # by three bytes, the longest entry that they begin
+        for t in sorted(ranks, key=len):
+            self.reach[t[:3]] = len(t)
         self.most_states = most_states
         self.tokens = {i: t for t, i in ranks.items()}
         self.whole: dict[bytes, bool] = {}
@@ -138,32 +142,41 @@ class Transducer:
         self.ends[state] = tuple(reversed(out))
         return self.ends[state]
 
-    def _simulate(self, piece: bytes) -> list[int]:
-        """The same run without the deterministic states: the token that ends
-        at each position, then back from the end."""
-        ranks, fitting = self.ranks, self.fitting
-        ends = [-1]
-        begins = [0]
-        for e in range(1, len(piece) + 1):
-            for s in range(e - 1, max(-1, e - 1 - self.longest), -1):
-                token = piece[s:e]
-                i = ranks.get(token)
-                if i is not None:
-                    left = ends[s]
-                    fits = fitting.get(left << 20 | i)
-                    if fits is None:
-                        fits = self._learn(left, i, token)
-                    if fits:
-                        ends.append(i)
-                        begins.append(s)
-                        break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-        out, e = [], len(piece)
-        while e:
-            out.append(ends[e])
-            e = begins[e]
-        out.reverse()
+    def _simulate(self, piece: bytes, at: int, out: list[int]) -> list[int]:
+        """The same run without the deterministic states, from a boundary on
+        behind which ``out`` is sure: the longest entry that fits is tried
+        first, and where nothing fits behind it, the next shorter one. A place
+        from which there is no way on has one token in front of it whichever
+        way it is reached, so it is left for good."""
+        ranks, fitting, reach, n = self.ranks.get, self.fitting, self.reach.get, len(piece)
+        sizes: list[int] = []
+        dead: set[int] = set()
+        left = out[-1] if out else -1
+        size = min(n - at, reach(piece[at : at + 3], 2))
+        while at < n:
+            token = piece[at : at + size]
+            i = ranks(token)
+            if i is not None and at + size not in dead:
+                fits = fitting.get(left << 20 | i)
+                if fits is None:
+                    fits = self._learn(left, i, token)
+                if fits:
+                    out.append(i)
+                    sizes.append(size)
+                    at += size
+                    left = i
+                    size = min(n - at, reach(piece[at : at + 3], 2))
+                    continue
+            size -= 1
+            while not size:
+                if not sizes:
+                    raise ValueError("the vocabulary lacks a byte")
+                dead.add(at)
+                size = sizes.pop()
+                out.pop()
+                left = out[-1] if out else -1
+                at -= size
+                size -= 1
         return out
 
     def _learn(self, left: int, i: int, token: bytes) -> bool:
@@ -178,11 +191,11 @@ class Transducer:
         if known is not None:
             return [known]
         state, out, moves = 0, [], self.moves
-        for byte in piece:
+        for at, byte in enumerate(piece):
             move = moves.get(state << 8 | byte)
             if move is None:
                 if len(self.states) >= self.most_states:
-                    return self._simulate(piece)
+                    return self._simulate(piece, at - len(self.states[state][1]), out)
                 move = self._move(state, byte)
             state = move[0]
             if move[1]:
@@ -252,7 +265,7 @@ class Codec:
         self.decimal = [str(i) for i in range(len(self.bytes_of))]
         self.split = splitter(pattern)
         self.transducer = Transducer(self.ranks)
-        self.memo = Memo(lambda piece: tuple(self.transducer.encode(piece.encode())), 300_000)
+        self.memo = Memo(lambda piece: tuple(self.transducer.encode(piece.encode())), 600_000)
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of ``text``; none for a null or empty one."""

@@ -52,15 +52,21 @@ def byte_level() -> dict[str, int]:
 
 
 class Memo(dict):
-    """A dict of computed values that forgets everything when it has grown to
-    ``most`` entries, which bounds its memory and changes no value."""
+    """A dict of computed values of at most ``most`` entries, which bounds its
+    memory and changes no value. When half of them are new, the older half is
+    let go, so that what is met often stays."""
 
     def __init__(self, compute: Callable, most: int = 400_000):
         super().__init__()
         self.compute, self.most = compute, most
+        self.old: dict = {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        if len(self) >= self.most // 2:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value

@@ -15,6 +15,7 @@ import pytest
 from ampere.llm import words as W
 from ampere.llm import bpe, embeddings, fingerprints, neardup, packing, pii, quality, substring, toxicity, urls
 from ampere.llm.labelled import fold
+from ampere.llm.pieces import Memo
 
 tokenizers = pytest.importorskip("public_tokenizers")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -223,6 +224,25 @@ def test_byte_bpe_equals_tiktoken(docs):
     assert bpe.Utf8Stream().feed(b"\xe0\x80a") == b"\xe0\x80a".decode("utf-8", "replace")
 
 
+def test_memo_keeps_what_is_met_often():
+    asked = []
+    memo = Memo(lambda x: asked.append(x) or x * 2, 10)
+    for i in range(100):
+        assert memo["often"] == "oftenoften" and memo[f"{i}"] == f"{i}{i}"
+        assert len(memo) + len(memo.old) <= 10
+    assert asked.count("often") == 1
+
+
+def test_simulation_goes_on_where_the_states_end(monkeypatch):
+    ranks = bpe.load_ranks(tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    small, begun, simulate = bpe.Transducer(ranks, most_states=300), [], bpe.Transducer._simulate
+    monkeypatch.setattr(bpe.Transducer, "_simulate", lambda self, piece, at, out: (begun.append(at), simulate(self, piece, at, out))[1])
+    for _ in range(3000):
+        piece = "".join(R.choice(["th", "e", "in", "é", "ß", "a", "n", "漢", " ", "xq", "ing"]) for _ in range(R.randint(1, 14))).encode()
+        assert small.encode(piece) == ([ranks[piece]] if piece in ranks else [ranks[t] for t in bpe.merge(piece, ranks)])
+    assert max(begun) > 0
+
+
 def test_toxicity(spark, docs, labels):
     bad = ["grobbly", "snarfer"]
     rows = []
