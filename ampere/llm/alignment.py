@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 from operator import itemgetter
 
 import numpy as np
@@ -78,6 +78,7 @@ class Pair:
         self.step = len(digits)
         self.written = [d + c for c in (b",", b"|", b";") for d in digits]
         self.known: dict[str, Told | None] = {}
+        self.old: dict[str, Told | None] = {}  # met before those, and not since
         self.most, self.longest = REMEMBERED, LONGEST
 
     def _piece(self, i: int) -> bytes:
@@ -142,11 +143,12 @@ class Pair:
         """The words of each text; none where a side's bytes are not those of
         space and text. U+2581 in a text reads as a space in B."""
         words = [self.split(" " + t) if t and _SPACE not in t else [] for t in texts]
-        new = list(set(chain.from_iterable(words)).difference(self.known))
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = list(set(chain.from_iterable(words)))
-        self.known.update(self.align(new))
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(words)))
+        if len(self.known) + len(new) > self.most // 2:
+            self.old, self.known = self.known, {}
+            new = set(chain.from_iterable(words))
+        self.known |= {w: self.old[w] for w in new if w in self.old}
+        self.known |= self.align([w for w in new if w not in self.known])
         out = [list(map(self.known.__getitem__, w)) for w in words]
         for w in new:
             if len(w) > self.longest:

@@ -118,6 +118,16 @@ def test_memory_is_bounded_and_changes_nothing(monkeypatch):
     assert all(len(w) <= 3 for w in pair.known)
 
 
+def test_common_words_are_aligned_once():
+    pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+    pair.most, asked, align = 20, [], pair.align
+    pair.align = lambda words: (asked.extend(words), align(words))[1]
+    for i in range(100):
+        text = f"x common {chr(97 + i % 26) * (1 + i // 26)}"
+        assert [len(t) for t in pair.texts([text])] == [3]
+    assert asked.count(" common") == 1 and len(pair.known) + len(pair.old) <= 30
+
+
 def test_words_at_random(monkeypatch):
     """Words aligned apart, and new ones together, are the whole text's alignment."""
     monkeypatch.setattr(A, "CHUNK_CHARS", 60)
