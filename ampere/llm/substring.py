@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampere.llm import words as W
-from ampere.llm.base import keyed_text, materialize, real_id
+from ampere.llm.base import forget_tokenizers, keyed_text, materialize, real_id
 
 ANCHOR = 16
 _NO = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -58,6 +58,7 @@ def _windows(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _anchor_batches(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for lo, hi in W.slices(b.column(1)):
@@ -199,6 +200,7 @@ def remove_repeats(
     joined = base.join(listed, "id", "left").select("id", "key", "text", "row", F.coalesce("anchors", empty).alias("anchors"), "at")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         for b in batches:
             for lo, hi in W.slices(b.column(2)):
                 part = b.slice(lo, hi - lo)
@@ -223,6 +225,7 @@ def remove_repeats(
     )
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         for b in batches:
             sizes = pc.binary_length(b.column(3)).to_numpy() // 8
             found = np.frombuffer(b"".join(b.column(3).to_pylist()), dtype=np.int64)
@@ -252,6 +255,7 @@ def remove_repeats(
     )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_tokenizers()
         for b in batches:
             told = _finish(b.column(0).to_pylist(), b.column(2).to_pylist(), how, kind)
             yield pa.RecordBatch.from_arrays([b.column(1), told], ["row", "result"])

@@ -570,3 +570,10 @@ def test_card_beside_other_numbers(spark):
 def test_fold_is_crc32(spark):
     got = spark.range(50).select("id", fold(__import__("pyspark.sql.functions", fromlist=["col"]).col("id")).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in got)
+
+
+def test_substring_tasks_let_go_of_tokenizers(monkeypatch):
+    monkeypatch.setattr(packing, "_ENCODERS", {("path", "pattern"): object()})
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", None])], ["id", "text"])
+    assert sum(b.num_rows for b in substring._anchor_batches(2)(iter([batch]))) == 1
+    assert not packing._ENCODERS
