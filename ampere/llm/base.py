@@ -32,6 +32,20 @@ def forget_tokenizers() -> None:
             getattr(loaded, name).clear()
 
 
+#: About so many bytes of rows go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers a few MB at a time, however many they are.
+
+    By Spark's default a batch takes 10,000 rows, of texts often a whole input
+    split; an executor would hold it for each of its tasks, in the JVM and in
+    the worker, and a worker that is used again keeps much of that memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``).
 

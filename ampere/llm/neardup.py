@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampere.llm import words as W
-from ampere.llm.base import connected_components, forget_tokenizers, materialize
+from ampere.llm.base import connected_components, forget_tokenizers, materialize, small_batches
 
 SHINGLE, LEAST, FUNCTIONS, KEPT = 5, 0.8, 16, 2
 #: At most about so many texts and so many shingles are in a block of a bucket;
 #: so many columns of the matrix of texts and shingles are held at once.
-BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 4096
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 1024
 _SEEDS = W.mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -321,6 +321,7 @@ def op9_minhash_neardup(docs: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, the one of the smallest doc_id; of rows
     that repeat it, one. Texts without words all stay."""
+    small_batches(spark)
     groups = near_duplicates(docs)
     first = groups.where("id = class_id").groupBy("id").agg(F.min("key").alias("key"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ampere.llm.base import small_batches
 from ampere.llm.pieces import byte_level, splitter
 
 #: What the byte-level pre-tokenizer of the tokenizers library cuts at.
@@ -345,4 +346,5 @@ def op8_packing(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences, as ``op8_packing``."""
+    small_batches(spark)
     return op8_packing(docs)

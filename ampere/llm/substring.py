@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampere.llm import words as W
-from ampere.llm.base import forget_tokenizers, keyed_text, materialize, real_id
+from ampere.llm.base import forget_tokenizers, keyed_text, materialize, real_id, small_batches
 
 ANCHOR = 16
 _NO = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -285,6 +285,7 @@ def op3_substring_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages, ``n_chars`` counted anew;
     documents that had words and of which none is left go."""
+    small_batches(spark)
     out = remove_repeats(docs, rewrite, REWRITE_DDL, docs.columns)
     changed = {"text": F.col("result.text")}
     if "n_chars" in docs.columns:

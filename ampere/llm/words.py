@@ -15,7 +15,7 @@ import pyarrow as pa
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 _IS_SEP = np.zeros(256, dtype=bool)
 _IS_SEP[list(SEPARATORS)] = True
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))

@@ -5,7 +5,9 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -577,3 +579,44 @@ def test_substring_tasks_let_go_of_tokenizers(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", None])], ["id", "text"])
     assert sum(b.num_rows for b in substring._anchor_batches(2)(iter([batch]))) == 1
     assert not packing._ENCODERS
+
+
+def test_stages_hand_texts_to_workers_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(name)
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 1000) AS text").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    few = docs.limit(3)
+    for stage in (neardup.stage, substring.stage, packing.stage):
+        try:
+            stage(spark, few, None)
+            got = [r.n for r in docs.mapInArrow(sizes, "n bigint").collect()]
+        finally:
+            spark.conf.set(name, was)
+        assert sum(got) > 15e6 and max(got) < 6e6
+
+
+def test_word_tables_stay_small(monkeypatch):
+    monkeypatch.setattr(W, "_POW", {})
+    texts = [" ".join(f"w{i * j % 99991}" for j in range(300)) for i in range(1, 2001)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(range(2000)), pa.array(texts)], ["id", "key", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in neardup._sketches(iter([batch]))) == 2000
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+        tracemalloc.reset_peak()
+        assert sum(b.num_rows for b in substring._anchor_batches(50)(iter([batch.select(["id", "text"])]))) > 2000
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+        tracemalloc.reset_peak()
+        rng = np.random.default_rng(1)
+        blocks = [rng.integers(0, 20_000, 100).astype(np.uint64) for _ in range(1024)]
+        common = neardup._common(blocks, np.arange(512), np.arange(512, 1024))
+        assert tracemalloc.get_traced_memory()[1] < 25e6
+    finally:
+        tracemalloc.stop()
+    for i, j in ((0, 0), (7, 300), (511, 511)):
+        assert common[i, j] == (Counter(blocks[i].tolist()) & Counter(blocks[512 + j].tolist())).total()
