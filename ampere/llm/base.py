@@ -3,10 +3,13 @@ connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +31,23 @@ def forget_tokenizers() -> None:
     """
     for module, name in _KEPT:
         loaded = sys.modules.get(f"{__package__}.{module}")
-        if loaded is not None:
+        if loaded is not None and getattr(loaded, name):
             getattr(loaded, name).clear()
+            gc.collect()
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give the system back what this process has freed.
+
+    The C library and Arrow's pool both keep freed memory for later. A worker
+    that is used again would hold what its largest earlier stage needed, and
+    tokenizers leave many small pieces of which little fits a later stage.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 #: About so many bytes of rows go to a Python worker at once.

@@ -2,9 +2,13 @@
 
 import hashlib
 import math
+import os
+import platform
 import random
 import re
 import struct
+import subprocess
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
@@ -581,6 +585,31 @@ def test_substring_tasks_let_go_of_tokenizers(monkeypatch):
     assert not packing._ENCODERS
 
 
+HELD = """
+import os, sys
+from ampere.llm import packing
+from ampere.llm.base import forget_tokenizers
+rss = lambda: int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+forget_tokenizers()
+before = rss()
+pieces = [bytes(800) for _ in range(100_000)]  # beyond Python's own small blocks
+last = bytes(800)  # the freed pieces do not end the heap
+packing._ENCODERS["path", "pattern"] = pieces
+del pieces
+held = rss()
+forget_tokenizers()
+print(held - before, rss() - before)
+"""
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="reads /proc, and glibc keeps what is freed")
+def test_tasks_give_back_what_tokenizers_held():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", HELD], cwd=root, capture_output=True, text=True, timeout=100, check=True)
+    held, left = map(int, run.stdout.split())
+    assert held > 60 and left < 10
+
+
 def test_stages_hand_texts_to_workers_in_small_batches(spark):
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     was = spark.conf.get(name)
