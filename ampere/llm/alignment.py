@@ -7,10 +7,13 @@ where tokens of both sides end. Within a group, each A token is expanded to the
 B tokens whose ranges overlap its own.
 
 Neither side has a token that goes on from a character into the blank, tab or
-line feed behind it, so a text falls into words (white space and what follows
-it) that are aligned apart. What a word's alignment leaves is remembered in a
+line feed behind it, or from a letter into the mark behind it, so a text falls
+into words (white space and what follows it, or marks and what follows them)
+that are aligned apart. What a word's alignment leaves is remembered in a
 bounded table, so that the common words of a language are aligned once; new
-words are aligned together, many at a time.
+words are aligned together, many at a time. Texts are taken in slices small
+enough that a slice's words are still in the processor's cache when they are
+put together.
 
 The links of an id pair are counted over the whole corpus. Pairs that hold at
 least one ``HEAVY``-th of all links, of which there are at most ``HEAVY``, are
@@ -23,8 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain, filterfalse
-from operator import itemgetter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +40,25 @@ from ampere.llm.pieces import byte_level
 #: The most pairs that a broadcast can hold.
 HEAVY = 1 << 17
 #: Texts are taken together, and new words encoded together, up to so many characters (one at least).
-SLICE_CHARS, CHUNK_CHARS = 1 << 19, 1 << 15
-#: Remembered words, and parts of words on side A; a longer word is aligned anew each time.
-REMEMBERED, PARTS, LONGEST = 200_000, 300_000, 64
+SLICE_CHARS, CHUNK_CHARS = 1 << 17, 1 << 13
+#: Remembered words, and parts of unsettled words on side A; a longer word is aligned anew each time.
+REMEMBERED, PARTS, LONGEST = 500_000, 50_000, 64
 
 _SPACE = "▁"
+_UNMET = object()
 
 
 #: A word ends before one of these that follows a character which is no white space.
 BREAKS = " \t\n"
-Told = tuple[bytes, bytes, int]
+#: A word also ends before one of these that follows one of the letters.
+MARKS, LETTERS = ".,;:!?", "A-Za-z"
+#: A word that any other may stand before, and a mark behind.
+BEFORE_MARK = " a"
+#: What a word's alignment leaves, in units of ``Pair.word``: its links (id pairs), which have the top bit set, and its
+#: groups as written, which do not, with ``COMMA`` for A's commas and filled up with NUL.
+Told = bytes
+COMMA = b"\x01"
+_COMMAS = bytes.maketrans(COMMA, b",")
 
 
 class Pair:
@@ -65,18 +76,18 @@ class Pair:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.space = self.pieces.piece_to_id(_SPACE)
-        # a break that stands behind a character within a token, or behind the space a piece begins with, is none
-        inner = [(x.decode("utf-8", "replace"), before) for of, before in ((self.a_bytes, r"\S"), (self.b_bytes, r"[\S ]")) for x in of]
-        kept = [c for c in BREAKS if not any(c in x and re.search((r"\S" if c == " " else before) + c, x) for x, before in inner)]
-        self.split = re.compile(rf"(?<=\S)(?=[{''.join(kept)}])").split if kept else lambda text: [text]
+        self.split = re.compile(self._breaks()).split
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        self.bits_b = len(self.b_bytes).bit_length()
-        self.bits = len(self.a_bytes).bit_length() + self.bits_b
-        # a token's digits and what stands behind them: a comma within a side, a bar behind A's, a semicolon behind B's
+        self.bits_b = (len(self.b_bytes) - 1).bit_length()
+        self.bits = (len(self.a_bytes) - 1).bit_length() + self.bits_b
+        self.word = np.dtype("<u4" if self.bits < 32 else "<u8")
+        self.top = self.word.type(1 << (8 * self.word.itemsize - 1))
+        # a token's digits and what stands behind them: within a side (A, B) or at its end
         digits = [b"%d" % i for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.step = len(digits)
-        self.written = [d + c for c in (b",", b"|", b";") for d in digits]
+        self.written = np.array([d + c for c in (COMMA, b"|", b",", b";") for d in digits])  # filled up with NUL
+        self.written_len = np.char.str_len(self.written)
         self.known: dict[str, Told | None] = {}
         self.old: dict[str, Told | None] = {}  # met before those, and not since
         self.most, self.longest = REMEMBERED, LONGEST
@@ -85,9 +96,22 @@ class Pair:
         piece = self.pieces.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace(_SPACE, " ").encode()
 
+    def _breaks(self) -> str:
+        """Where texts fall into words, which no token of either side goes across."""
+        # a break that stands behind a character within a token, or behind the space a piece begins with, is none
+        inner = [(x.decode("utf-8", "replace"), before) for of, before in ((self.a_bytes, r"\S"), (self.b_bytes, r"[\S ]")) for x in of]
+        blanks = [c for c in BREAKS if not any(c in x and re.search((r"\S" if c == " " else before) + c, x) for x, before in inner)]
+        marks = [c for c in MARKS if not any(c in x and re.search(f"[{LETTERS}]{re.escape(c)}", x) for x, _ in inner)]
+        self.marks = frozenset(marks if " " in blanks and self._encoded(BEFORE_MARK) else ())
+        if not blanks:
+            return "(?!)"
+        blank, mark = "".join(blanks), "".join(self.marks)
+        behind_letter = f"|(?<=[{LETTERS}])(?=[{mark}])" if mark else ""
+        return rf"(?=[{blank}{mark}])(?:(?<=\S)(?=[{blank}]){behind_letter})"  # what is behind a place is looked at only where need be
+
     def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides; None where one does not give the text back."""
-        a = np.frombuffer(self.a.encode([text])[0], dtype="<u4").astype(np.int64)
+        a = self.a.fresh(text).astype(np.int64)
         # the pieces begin with a space of their own, which a text that begins with one has instead
         spaced = text.startswith(" ")
         b = np.array(self.pieces.encode(text[1:] if spaced else text) or [self.space], dtype=np.int64)
@@ -97,63 +121,83 @@ class Pair:
         return (a, b) if faithful else None
 
     def align(self, words: list[str]) -> dict[str, Told | None]:
-        """For each word its groups as written, its links (id pairs as 64-bit
-        words) and its number of A tokens; None if a side does not give it back."""
+        """For each word what its alignment leaves; None if a side does not give
+        it back."""
         out: dict[str, Told | None] = {}
-        chunk: list[str] = []
-        size = 0
+        apart = {w for w in words if w[-1].isspace()}  # would run into the white space of the next one
+        for w in apart:
+            out |= self._aligned([w])
+        settled, others = [], []
         for w in words:
-            if w[-1].isspace():  # would run into the white space of the next one
-                out |= self._aligned([w])
-                continue
-            chunk.append(w)
-            size += len(w)
-            if size >= CHUNK_CHARS:
-                out |= self._aligned(chunk)
-                chunk, size = [], 0
-        return out | self._aligned(chunk)
+            if w not in apart:
+                (settled if self.a.settled(w) else others).append(w)
+        for kind in (settled, others):
+            at, ends = 0, np.cumsum([len(w) for w in kind])
+            while at < len(kind):
+                to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_CHARS)) + 1
+                out |= self._aligned(kind[at:to])
+                at = to
+        return out
 
     def _aligned(self, words: list[str]) -> dict[str, Told | None]:
-        if not words:
-            return {}
-        ids = self._encoded("".join(words))
+        marked = [w for w in words if w[0] in self.marks]
+        together = words if not marked else [w for w in words if w[0] not in self.marks]
+        for w in marked:
+            together += (BEFORE_MARK, w)
+        text = "".join(together)
+        ids = self._encoded(text)
         if ids is None:
-            return {words[0]: None} if len(words) == 1 else {w: t for x in words for w, t in self._aligned([x]).items()}
+            half = len(words) // 2
+            return self._aligned(words[:half]) | self._aligned(words[half:]) if half else {words[0]: None}
         a, b = ids
         a_end, b_end = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         a_start, b_start = a_end - self.a_len[a], b_end - self.b_len[b]
         a_group, b_group = coalesce(a_start, a_end, b_start, b_end)
         left, right = overlaps(a_start, a_end, a_group, b_start, b_end, b_group)
         a_last, b_last = (np.append(g[1:] != g[:-1], True)[: len(g)] for g in (a_group, b_group))
-        code = np.concatenate([a + self.step * a_last, b + 2 * self.step * b_last])
-        order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a_group, b_group])))
-        parts = list(map(self.written.__getitem__, code[order].tolist()))
-        links = ((a[left] << self.bits_b) | b[right]).tobytes()
+        code = np.concatenate([a + self.step * a_last, b + self.step * (2 + b_last)])
+        code = code[np.argsort(np.concatenate([a_group, b_group]), kind="stable")]  # A's before B's within a group
+        written = np.frombuffer(self.written[code].tobytes().translate(None, b"\0"), dtype=np.uint8)
+        links = ((a[left] << self.bits_b) | b[right]).astype(self.word) | self.top
         # words end where groups end, so everything is cut by the words' bytes
-        ends = np.cumsum([len(w.encode()) for w in words])
+        ends = np.cumsum(list(map(len, together if text.isascii() else map(str.encode, together))))
         a_to, b_to = np.searchsorted(a_end, ends, side="right"), np.searchsorted(b_end, ends, side="right")
-        link_to = 8 * np.searchsorted(left, a_to, side="left")
-        out, last, from_, at = {}, 0, 0, 0
-        for w, i, j, k in zip(words, a_to.tolist(), b_to.tolist(), link_to.tolist()):
-            out[w] = (b"".join(parts[from_ : i + j]), links[at:k], i - last)
-            last, from_, at = i, i + j, k
-        return out
+        n_written = np.diff(np.append(0, np.cumsum(self.written_len[code]))[a_to + b_to], prepend=0)
+        n_links = np.diff(np.searchsorted(left, a_to, side="left"), prepend=0)
+        wide = self.word.itemsize
+        size = n_links - -n_written // wide
+        start = np.cumsum(size) - size
+        out = np.zeros(int(size.sum()), dtype=self.word)
+        out[runs(start, n_links)] = links
+        out.view(np.uint8)[runs(wide * (start + n_links), n_written)] = written
+        raw, to = out.tobytes(), (wide * np.cumsum(size)).tolist()
+        return {w: raw[i:j] for w, i, j in zip(together, [0, *to], to)}
 
     def texts(self, texts: list[str | None]) -> list[list[Told]]:
         """The words of each text; none where a side's bytes are not those of
         space and text. U+2581 in a text reads as a space in B."""
         words = [self.split(" " + t) if t and _SPACE not in t else [] for t in texts]
-        new = set(filterfalse(self.known.__contains__, chain.from_iterable(words)))
+        flat = list(chain.from_iterable(words))
+        found = list(map(self.known.get, flat, repeat(_UNMET)))
+        gone = [i for i, told in enumerate(found) if told is _UNMET]
+        if gone:
+            learned = self._learned({flat[i] for i in gone})
+            for i in gone:
+                found[i] = learned[flat[i]]
+        out, at = [], 0
+        for w in words:
+            told = found[at : at + len(w)]
+            out.append([] if None in told else told)
+            at += len(w)
+        return out
+
+    def _learned(self, new: set[str]) -> dict[str, Told | None]:
         if len(self.known) + len(new) > self.most // 2:
             self.old, self.known = self.known, {}
-            new = set(chain.from_iterable(words))
-        self.known |= {w: self.old[w] for w in new if w in self.old}
-        self.known |= self.align([w for w in new if w not in self.known])
-        out = [list(map(self.known.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > self.longest:
-                del self.known[w]
-        return [[] if None in told else told for told in out]
+        out = {w: self.old[w] for w in new if w in self.old}
+        out |= self.align([w for w in new if w not in out])
+        self.known |= {w: told for w, told in out.items() if len(w) <= self.longest}
+        return out
 
 
 def coalesce(a_start: np.ndarray, a_end: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,9 +219,12 @@ def overlaps(a_start, a_end, a_group, b_start, b_end, b_group) -> tuple[np.ndarr
     first = np.maximum(low, np.searchsorted(b_end, a_start, side="right"))
     beyond = np.minimum(high, np.searchsorted(b_start, a_end, side="left"))
     n = np.maximum(beyond - first, 0)
-    left = np.repeat(np.arange(len(a_start)), n)
-    right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    return left, right
+    return np.repeat(np.arange(len(a_start)), n), runs(first, n)
+
+
+def runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` numbers from each ``start`` on, one run behind the other."""
+    return np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
 
 
 _PAIRS: dict[tuple[str, str, str], Pair] = {}
@@ -189,12 +236,13 @@ def _align(pair: Pair, texts: list[str | None]):
     that it links with their number of links."""
     counts, hashes, links = [], [], []
     for told in pair.texts(texts):
-        written, n_a = b"".join(map(itemgetter(0), told)), sum(map(itemgetter(2), told))
-        links.append(np.frombuffer(b"".join(map(itemgetter(1), told)), dtype=np.int64))
+        words = np.frombuffer(b"".join(told), dtype=pair.word)
+        link = words >= pair.top
+        links.append((words[link] ^ pair.top).astype(np.int64))
+        written = words[~link].tobytes()
         groups = written.count(b";")
-        tokens = groups + written.count(b",") + written.count(b"|")
-        counts.append((n_a, tokens - n_a, groups, len(links[-1])))
-        hashes.append(hashlib.sha256(written[:-1]).hexdigest() if told else "")
+        counts.append((written.count(COMMA) + written.count(b"|"), written.count(b",") + groups, groups, len(links[-1])))
+        hashes.append(hashlib.sha256(written.translate(_COMMAS, b"\0")[:-1]).hexdigest() if told else "")
     n, per_doc = len(texts), [len(x) for x in links]
     key = np.concatenate([*links, np.empty(0, dtype=np.int64)]) | (np.repeat(np.arange(n), per_doc) << pair.bits)
     key, times = np.unique(key, return_counts=True)

@@ -173,11 +173,15 @@ class Encoder:
         shown = {b: c for c, b in byte_level().items()}
         self.shown = "".join(shown[b] for b in range(255)) + "\n"  # UTF-8 has no byte 255
 
+    def _words(self, pieces: list[str]) -> list[str]:
+        """Pre-tokens as the model takes them."""
+        return b"\xff".join(map(str.encode, pieces)).decode("latin-1").translate(self.shown).split("\n")
+
     def _modelled(self, new: list[str]) -> None:
         ids: list[int] = []
         ends: list[int] = []
         tokenize = self.model.tokenize
-        for word in b"\xff".join(map(str.encode, new)).decode("latin-1").translate(self.shown).split("\n"):
+        for word in self._words(new):
             ids += [t.id for t in tokenize(word)]
             ends.append(4 * len(ids))
         raw, at = np.array(ids, dtype="<u4").tobytes(), 0
@@ -206,13 +210,24 @@ class Encoder:
             self.old, self.known = self.known, {}
         self.known |= {p: self.old[p] for p in new if p in self.old}
         rest = [p for p in new if p not in self.known]
-        settled = [p for p in rest if p.isascii() or max(p) < SETTLED] if self.model else []
+        settled = list(filter(self.settled, rest))
         if settled:
             self._modelled(settled)
             rest = [p for p in rest if p not in self.known]
         if rest:
             self._tokenized(rest)
 
+    def settled(self, text: str) -> bool:
+        """Whether the model takes the text's pre-tokens as they are."""
+        return self.model is not None and (text.isascii() or max(text) < SETTLED)
+
+    def fresh(self, text: str) -> np.ndarray:
+        """Ids of a text of words not met before; those of settled texts are not remembered."""
+        if text and self.settled(text):
+            tokenize = self.model.tokenize
+            return np.array([t.id for word in self._words(self.split(text)) for t in tokenize(word)], dtype="<u4")
+        return np.frombuffer(self.encode([text])[0], dtype="<u4")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         part: list[list[str]] = []

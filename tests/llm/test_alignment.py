@@ -128,6 +128,44 @@ def test_common_words_are_aligned_once():
     assert asked.count(" common") == 1 and len(pair.known) + len(pair.old) <= 30
 
 
+def test_a_word_before_marks_is_aligned_once():
+    pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+    asked, align = [], pair.align
+    pair.align = lambda words: (asked.extend(words), align(words))[1]
+    rows = [(i, f"x common{m} x") for i, m in enumerate(["", ",", ".", "!?", ":", "; ", "..\r\n", ".b/c?d=e"])]
+    counts, hashes, _ = A._align(pair, [t for _, t in rows[:1]])
+    for _, t in rows[1:]:
+        more, h, _ = A._align(pair, [t])
+        counts, hashes = [np.append(a, b) for a, b in zip(counts, more)], hashes + h
+    assert [(*map(int, c), h) for *c, h in zip(*counts, hashes)] == [(*w[1:5], w[7]) for w in plain(rows)]
+    assert asked.count(" common") == 1 and not any(w.startswith(" common") and w != " common" for w in asked)
+
+
+def test_one_unfaithful_word_costs_little():
+    pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+    calls, aligned = [], pair._aligned
+    pair._aligned = lambda words: (calls.append(len(words)), aligned(words))[1]
+    words = [f" w{i}x" for i in range(500)] + [" a▁b"]
+    told = pair.align(words)
+    assert [w for w in words if told[w] is None] == [" a▁b"] and len(calls) < 40
+
+
+@pytest.mark.parametrize("word", ["<u4", "<u8"])
+def test_marks_at_random(monkeypatch, word):
+    """Words cut before marks, in any company, are the whole text's alignment, with either width of links."""
+    monkeypatch.setattr(A, "CHUNK_CHARS", 40)
+    r = random.Random(5)
+    bits = list(".,;:!?.,") + [" ", " ", "\r", "\n", "\xa0", "a", "Bc", "the", "'s", "'", "é", "ﬁ", "я", "12", "http://", "e.g", "...", "(", ")", "😀", "—", "\u0301"]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(1, 30)))) for i in range(1500)]
+    pair = A.Pair(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+    pair.word = np.dtype(word)
+    pair.top = pair.word.type(1 << (8 * pair.word.itemsize - 1))
+    counts, hashes, lists = A._align(pair, [t for _, t in rows])
+    want = plain(rows)
+    assert [(*map(int, c), h) for *c, h in zip(*counts, hashes)] == [(*w[1:5], w[7]) for w in want]
+    assert [sum(n) for n in lists[2].to_pylist()] == [w[4] for w in want]
+
+
 def test_words_at_random(monkeypatch):
     """Words aligned apart, and new ones together, are the whole text's alignment."""
     monkeypatch.setattr(A, "CHUNK_CHARS", 60)
